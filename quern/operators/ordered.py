@@ -105,7 +105,9 @@ def ordered_sums(
             *totals.values(),
         )
     )
-    joined = rows.join(block_base, [*groups, _BLOCK])
+    # The window leaves rows partitioned and sorted by (group, block): a merge join moves only
+    # the block table, and nothing whose size grows with the data is broadcast.
+    joined = rows.join(block_base.hint("merge"), [*groups, _BLOCK])
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in sums],

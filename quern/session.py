@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,14 +35,17 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a fresh temporary folder: on a cluster a
     machine-local folder would be lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="quern-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="quern-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
