@@ -27,22 +27,25 @@ def render_turns(
     First and last messages are found by an aggregate that combines before its shuffle and
     are joined back on (conversation, turn), so a huge conversation spreads over many tasks.
     """
+    # Turn and role in one integer keep the aggregate in the hash path with code generation.
+    opens = F.col(role).isin("user", "system").cast("int")
+    answers = (F.col(role) == "assistant").cast("int")
     edges = df.groupBy(conversation).agg(
-        F.min(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"))).alias("first"),
-        F.max(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"))).alias("last"),
+        F.min(F.col(turn) * 2 + opens).alias("first"), F.max(F.col(turn) * 2 + answers).alias("last")
     )
-    opening = F.when(F.col("first.role").isin("user", "system"), F.lit(BOS)).otherwise(F.lit(""))
+    opening = F.when(F.col("first") % 2 == 1, F.lit(BOS)).otherwise(F.lit(""))
     if add_generation_prompt:
         closing = F.lit(GENERATION_PROMPT)
     else:
-        closing = F.when(F.col("last.role") == "assistant", F.lit(EOS)).otherwise(F.lit(""))
+        closing = F.when(F.col("last") % 2 == 1, F.lit(EOS)).otherwise(F.lit(""))
+    turn_of = lambda edge: F.shiftright(edge, 1).alias(turn)
     marks = (
         edges.select(
             conversation,
             F.explode(
                 F.array(
-                    F.struct(F.col("first.turn").alias(turn), opening.alias("before"), F.lit("").alias("after")),
-                    F.struct(F.col("last.turn").alias(turn), F.lit("").alias("before"), closing.alias("after")),
+                    F.struct(turn_of("first"), opening.alias("before"), F.lit("").alias("after")),
+                    F.struct(turn_of("last"), F.lit("").alias("before"), closing.alias("after")),
                 )
             ).alias("mark"),
         )

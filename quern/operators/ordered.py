@@ -115,6 +115,22 @@ def ordered_sums(
     )
 
 
+def attach_group_values(
+    rows: DataFrame, values: DataFrame, group: str | Sequence[str], order: str
+) -> DataFrame:
+    """Join one-row-per-group ``values`` to ``rows`` without gathering a group in one task.
+
+    The values go to the group's blocks first, one row per block, and the rows are joined on
+    ``(group, block)``.
+    """
+    groups = _as_list(group)
+    blocked = with_blocks(rows, order)
+    blocks = blocked.select(*groups, _BLOCK).distinct().join(values, groups)
+    return blocked.join(blocks.hint("merge"), [*groups, _BLOCK]).select(
+        *[F.col(f"`{c}`") for c in rows.columns], *[c for c in values.columns if c not in groups]
+    )
+
+
 def with_ordinal(
     df: DataFrame,
     group: str | Sequence[str],
