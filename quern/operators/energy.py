@@ -69,11 +69,7 @@ def elapsed_hours(
 ) -> DataFrame:
     """Add ``runtime_hours``, the time since the run's first sample by ``order``."""
     seconds = F.col(timestamp).cast("double")
-    first = (
-        df.select(run, F.struct(F.col(order).alias("o"), seconds.alias("s")).alias("at"))
-        .groupBy(run)
-        .agg(F.min("at")["s"].alias("__first"))
-    )
+    first = df.groupBy(run).agg(F.min_by(seconds, F.col(order)).alias("__first"))
     out = attach_group_values(df, first, run, order)
     return out.withColumn("runtime_hours", (seconds - F.col("__first")) / 3600).drop("__first")
 
@@ -115,7 +111,7 @@ def index_samples(df: DataFrame, run: str = "run_id", order: str = "sample_index
 def power_threshold(
     df: DataFrame, run: str = "run_id", fraction: float = 0.4, value: str = "power_kw"
 ) -> DataFrame:
-    """Exact percentile per run, interpolated linearly: ``(run, threshold)``.
+    """Exact percentile per run, interpolated linearly: ``(run, n, threshold)``.
 
     Equal values are counted first, the counts are summed in value order over cells of 0.1 W,
     and only the two values around the wanted rank are kept. No run's values are gathered.
@@ -132,13 +128,14 @@ def power_threshold(
         F.when(holds(low), F.col(value)).alias("a"),
         F.when(holds(high), F.col(value)).alias("b"),
         (position - low).alias("t"),
+        "n",
     )
     a, b, t = F.col("a"), F.col("b"), F.col("t")
     between = F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
     return (
         ends.groupBy(run)
-        .agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("t").alias("t"))
-        .select(run, between.alias("threshold"))
+        .agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("t").alias("t"), F.max("n").alias("n"))
+        .select(run, "n", between.alias("threshold"))
     )
 
 
@@ -258,9 +255,15 @@ def locate_tail(
 
 
 def _marked(indexed: DataFrame, run: str, fraction: float) -> DataFrame:
-    thresholds = power_threshold(indexed, run, fraction)
-    with_threshold = attach_group_values(indexed, thresholds, run, "idx")
-    return _low_stretch(smooth_power(with_threshold, run), run)
+    smoothed = smooth_power(indexed, run)
+    thresholds = _per_block(power_threshold(indexed, run, fraction), run)
+    return _low_stretch(smoothed.join(thresholds.drop("n").hint("merge"), [run, "__block"]), run)
+
+
+def _per_block(runs: DataFrame, run: str) -> DataFrame:
+    """Repeat each run's row, which carries ``n``, for every block of its samples."""
+    last = F.shiftright(F.col("n") - 1, BLOCK_BITS)
+    return runs.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
 
 
 def _cutoffs(marked: DataFrame, run: str, min_minutes: float) -> DataFrame:
@@ -295,10 +298,8 @@ def exclude_tail(
     run's blocks, so that samples stay where the smoothing window put them.
     """
     marked = _marked(indexed, run, fraction)
-    cuts = _cutoffs(marked, run, min_minutes).select(
-        run,
-        F.coalesce("cutoff", "n").alias("__end"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("n") - 1, BLOCK_BITS))).alias("__block"),
+    cuts = _per_block(_cutoffs(marked, run, min_minutes), run).select(
+        run, "__block", F.coalesce("cutoff", "n").alias("__end")
     )
     kept = marked.join(cuts.hint("merge"), [run, "__block"]).where(F.col("idx") < F.col("__end"))
     return kept.select(*indexed.columns, "prev_kw", "prev_hours")
