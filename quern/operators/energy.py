@@ -1,8 +1,9 @@
 """Energy of training runs from power samples, for whole fleets of runs at once.
 
-Samples are keyed by ``(run_id, order)``. One run may hold any share of all samples: ordered
-steps work on blocks of a run (see :mod:`quern.operators.ordered`), everything else is an
-aggregate that combines before its shuffle.
+Samples are keyed by ``(run_id, order)``. Steps that look at a run in order exist in two plans
+with equal results. By default a run is one window partition, so that a fleet needs a single
+shuffle. With ``blocked`` a run is cut into blocks (see :mod:`quern.operators.ordered`) and may
+hold any share of all samples; :func:`by_group_size` sends each run to the plan it needs.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from quern.operators.ordered import BLOCK_BITS, attach_group_values, ordered_sums, with_ordinal
+from quern.operators.ordered import BLOCK_BITS, ordered_sums, with_blocks, with_ordinal
 
 # Power column names, tried in this order for devices 0 to 15.
 POWER_PATTERNS = (
@@ -65,16 +66,39 @@ def with_power_kw(df: DataFrame, columns: Sequence[str], name: str = "power_kw")
 
 
 def elapsed_hours(
-    df: DataFrame, run: str = "run_id", order: str = "sample_index", timestamp: str = "_timestamp"
+    df: DataFrame,
+    run: str = "run_id",
+    order: str = "sample_index",
+    timestamp: str = "_timestamp",
+    blocked: bool = False,
 ) -> DataFrame:
     """Add ``runtime_hours``, the time since the run's first sample by ``order``."""
     seconds = F.col(timestamp).cast("double")
-    first = df.groupBy(run).agg(F.min_by(seconds, F.col(order)).alias("__first"))
-    out = attach_group_values(df, first, run, order)
-    return out.withColumn("runtime_hours", (seconds - F.col("__first")) / 3600).drop("__first")
+    if not blocked:
+        first = F.first(seconds).over(Window.partitionBy(run).orderBy(order))
+        return df.withColumn("runtime_hours", (seconds - first) / 3600)
+    cut = with_blocks(df, order)
+    per_block = cut.groupBy(run, "__block").agg(
+        F.min(order).alias("__at"), F.min_by(seconds, F.col(order)).alias("__first")
+    )
+    earliest = Window.partitionBy(run).orderBy("__at")
+    first = per_block.select(run, "__block", F.first("__first").over(earliest).alias("__first"))
+    out = cut.join(first.hint("merge"), [run, "__block"])
+    hours = (seconds - F.col("__first")) / 3600
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], hours.alias("runtime_hours"))
+
 
+def _positions(df: DataFrame, run: str, order: str, name: str, total: str | None, blocked: bool) -> DataFrame:
+    if blocked:
+        return with_ordinal(df, run, order, name, total=total)
+    at = F.row_number().over(Window.partitionBy(run).orderBy(order)).cast("long") - 1
+    out = df.withColumn(name, at)
+    return out.withColumn(total, F.count("*").over(Window.partitionBy(run))) if total else out
 
-def with_runtime(df: DataFrame, run: str = "run_id", order: str = "sample_index") -> DataFrame:
+
+def with_runtime(
+    df: DataFrame, run: str = "run_id", order: str = "sample_index", blocked: bool = False
+) -> DataFrame:
     """Usable samples as ``(run, order, power_kw, runtime_hours)``.
 
     Hours come from ``_runtime`` seconds, else ``_timestamp`` since the first sample, else one
@@ -83,9 +107,9 @@ def with_runtime(df: DataFrame, run: str = "run_id", order: str = "sample_index"
     if "_runtime" in df.columns:
         timed = df.withColumn("runtime_hours", F.col("_runtime").cast("double") / 3600)
     elif "_timestamp" in df.columns:
-        timed = elapsed_hours(df.select(run, order, "power_kw", "_timestamp"), run, order)
+        timed = elapsed_hours(df.select(run, order, "power_kw", "_timestamp"), run, order, blocked=blocked)
     else:
-        timed = with_ordinal(df.select(run, order, "power_kw"), run, order, "__i")
+        timed = _positions(df.select(run, order, "power_kw"), run, order, "__i", None, blocked)
         timed = timed.withColumn("runtime_hours", F.col("__i") / 60)
     usable = timed.select(run, order, "power_kw", "runtime_hours")
     for name in ("power_kw", "runtime_hours"):
@@ -103,9 +127,11 @@ def require_samples(usable: DataFrame) -> DataFrame:
 # -- post-processing tail ----------------------------------------------------------------
 
 
-def index_samples(df: DataFrame, run: str = "run_id", order: str = "sample_index") -> DataFrame:
+def index_samples(
+    df: DataFrame, run: str = "run_id", order: str = "sample_index", blocked: bool = False
+) -> DataFrame:
     """Add ``idx``, the position among the run's usable samples, and their number ``n``."""
-    return with_ordinal(df, run, order, "idx", total="n")
+    return _positions(df, run, order, "idx", "n", blocked)
 
 
 def power_threshold(
@@ -119,40 +145,54 @@ def power_threshold(
     counts = df.groupBy(run, value).agg(F.count("*").alias("c"))
     cell = F.floor(F.col(value) * 10000)
     ranked = ordered_sums(counts, run, value, {"before": F.col("c")}, {"before": "n"}, block=cell)
-    position = (F.col("n") - 1) * F.lit(fraction)
-    low = F.floor(position)
-    high = F.least(low + 1, F.col("n") - 1)
+    low, high, position = _ranks(fraction)
     holds = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("c"))
     ends = ranked.where(holds(low) | holds(high)).select(
         run,
         F.when(holds(low), F.col(value)).alias("a"),
         F.when(holds(high), F.col(value)).alias("b"),
-        (position - low).alias("t"),
         "n",
     )
-    a, b, t = F.col("a"), F.col("b"), F.col("t")
-    between = F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
-    return (
-        ends.groupBy(run)
-        .agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("t").alias("t"), F.max("n").alias("n"))
-        .select(run, "n", between.alias("threshold"))
-    )
+    found = ends.groupBy(run).agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("n").alias("n"))
+    return found.select(run, "n", _between(F.col("a"), F.col("b"), position - low).alias("threshold"))
+
+
+def _ranks(fraction: float) -> tuple[Column, Column, Column]:
+    """Ranks below and above the wanted position among ``n`` sorted values, and the position."""
+    position = (F.col("n") - 1) * F.lit(fraction)
+    low = F.floor(position)
+    return low, F.least(low + 1, F.col("n") - 1), position
 
 
-def smooth_power(indexed: DataFrame, run: str = "run_id") -> DataFrame:
+def _between(a: Column, b: Column, t: Column) -> Column:
+    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
+
+
+def _with_threshold(df: DataFrame, run: str, fraction: float) -> DataFrame:
+    """Attach :func:`power_threshold` where a run is one window partition: a sort, no shuffle."""
+    low, high, position = _ranks(fraction)
+    rank = F.row_number().over(Window.partitionBy(run).orderBy("power_kw")) - 1
+    whole = Window.partitionBy(run)
+    value = lambda at: F.max(F.when(F.col("__rank") == at, F.col("power_kw"))).over(whole)
+    ranked = df.withColumn("__rank", rank).select("*", value(low).alias("__a"), value(high).alias("__b"))
+    return ranked.withColumn(
+        "threshold", _between(F.col("__a"), F.col("__b"), position - low)
+    ).drop("__rank", "__a", "__b")
+
+
+def smooth_power(indexed: DataFrame, run: str = "run_id", blocked: bool = False) -> DataFrame:
     """Add ``smooth_kw``, the centred rolling mean, and the previous sample.
 
     The window has ``min(5, n // 10)`` samples and applies from three up; where it does not fit
-    the raw value stands. Input rows carry ``idx`` and ``n``. Runs are cut into blocks of
-    consecutive ``idx``; a few samples of the neighbouring blocks come along as context, with
-    ``own`` false, so that windows never span more than a block. Context rows are repeated
-    samples and must be dropped by ``own`` once windows over ``(run, __block)`` are done.
+    the raw value stands. Input rows carry ``idx`` and ``n``.
+
+    With ``blocked``, runs are cut into blocks of consecutive ``idx``; a few samples of the
+    neighbouring blocks come along as context, with ``own`` false, so that windows never span
+    more than a block. Context rows repeat samples and are dropped by ``own`` once windows
+    over ``(run, __block)`` are done.
     """
-    before, after = MAX_SMOOTH // 2, LOW_RUN + MAX_SMOOTH // 2
-    first = F.greatest(F.shiftright(F.col("idx") - after, BLOCK_BITS), F.lit(0))
-    last = F.least(F.shiftright(F.col("idx") + before, BLOCK_BITS), F.shiftright(F.col("n") - 1, BLOCK_BITS))
-    spread = indexed.withColumn("__block", F.explode(F.sequence(first, last)))
-    along = Window.partitionBy(run, "__block").orderBy("idx")
+    spread = _with_context(indexed) if blocked else indexed
+    along = Window.partitionBy(*_keys(run, blocked)).orderBy("idx")
     p = F.col("power_kw")
     near = {k: (F.lag(p, -k) if k < 0 else F.lead(p, k)).over(along) for k in (-2, -1, 1, 2)}
     spread = spread.select(
@@ -176,16 +216,27 @@ def smooth_power(indexed: DataFrame, run: str = "run_id") -> DataFrame:
         left = size // 2
         fits = (F.col("idx") >= left) & (F.col("idx") + (size - 1 - left) < F.col("n"))
         smooth = F.when((width == size) & fits, mean).otherwise(smooth)
+    if blocked:
+        own = [F.col("__block"), (F.shiftright("idx", BLOCK_BITS) == F.col("__block")).alias("own")]
+    else:
+        own = [F.lit(True).alias("own")]
     return spread.select(
-        *indexed.columns,
-        "__block",
-        (F.shiftright("idx", BLOCK_BITS) == F.col("__block")).alias("own"),
-        smooth.alias("smooth_kw"),
-        F.col("__m1").alias("prev_kw"),
-        "prev_hours",
+        *indexed.columns, *own, smooth.alias("smooth_kw"), F.col("__m1").alias("prev_kw"), "prev_hours"
     )
 
 
+def _keys(run: str, blocked: bool) -> list[str]:
+    return [run, "__block"] if blocked else [run]
+
+
+def _with_context(indexed: DataFrame) -> DataFrame:
+    """Every sample in its own block and, near a border, in the block that looks at it."""
+    before, after = MAX_SMOOTH // 2, LOW_RUN + MAX_SMOOTH // 2
+    first = F.greatest(F.shiftright(F.col("idx") - after, BLOCK_BITS), F.lit(0))
+    last = F.least(F.shiftright(F.col("idx") + before, BLOCK_BITS), F.shiftright(F.col("n") - 1, BLOCK_BITS))
+    return indexed.withColumn("__block", F.explode(F.sequence(first, last)))
+
+
 def tail_mean(smoothed: DataFrame, run: str = "run_id") -> DataFrame:
     """Mean of the last ``min(20, n // 3)`` smoothed samples of each run."""
     tail = F.least(F.lit(TAIL), F.floor(F.col("n") / 3))
@@ -193,7 +244,7 @@ def tail_mean(smoothed: DataFrame, run: str = "run_id") -> DataFrame:
     return last.groupBy(run).agg(F.avg("smooth_kw").alias("tail_mean"))
 
 
-def low_runs(smoothed: DataFrame, run: str = "run_id") -> DataFrame:
+def low_runs(smoothed: DataFrame, run: str = "run_id", blocked: bool = False) -> DataFrame:
     """Start of the last low stretch of each run: ``(run, cutoff, cutoff_hours)``.
 
     Input rows carry ``threshold``. A stretch is at least five samples below the threshold
@@ -201,11 +252,16 @@ def low_runs(smoothed: DataFrame, run: str = "run_id") -> DataFrame:
     that are, so the latest such place is a plain maximum. A stretch that reaches back to
     sample 21 counts from sample 20.
     """
-    return _low_stretch(smoothed, run).groupBy(run).agg(*_cut_aggregates()).select(run, *_cut_columns())
+    names = ("__last_start", "__is_open", "__back_hours")
+    per_run = _low_stretch(smoothed, run, blocked).groupBy(run).agg(
+        *[a.alias(k) for k, a in _tail_aggregates().items() if k in names]
+    )
+    cutoff, hours = _last_low_start()
+    return per_run.select(run, cutoff.alias("cutoff"), hours.alias("cutoff_hours"))
 
 
-def _low_stretch(smoothed: DataFrame, run: str) -> DataFrame:
-    along = Window.partitionBy(run, "__block").orderBy("idx")
+def _low_stretch(smoothed: DataFrame, run: str, blocked: bool) -> DataFrame:
+    along = Window.partitionBy(*_keys(run, blocked)).orderBy("idx")
     flagged = smoothed.withColumn("__low", F.col("smooth_kw") < F.col("threshold"))
     following = [F.coalesce(F.lead("__low", k).over(along), F.lit(False)) for k in range(1, LOW_RUN + 1)]
     ahead = flagged.select(
@@ -229,35 +285,23 @@ def _low_stretch(smoothed: DataFrame, run: str) -> DataFrame:
     )
 
 
-def _cut_aggregates() -> list[Column]:
-    idx, hours = F.col("idx"), F.col("runtime_hours")
-    return [
-        F.max("__start").alias("__start"),
-        F.max("__open").alias("__open"),
-        F.max(F.when(idx == LOOK_BACK, hours)).alias("__back_hours"),
-    ]
-
-
-def _cut_columns() -> list[Column]:
-    start = F.col("__start")
-    back = F.when(F.col("__open"), F.lit(LOOK_BACK).cast("long"))
-    return [
-        F.coalesce(start["i"], back).alias("cutoff"),
-        F.when(start.isNotNull(), start["h"]).when(F.col("__open"), F.col("__back_hours")).alias("cutoff_hours"),
-    ]
-
-
 def locate_tail(
-    indexed: DataFrame, run: str = "run_id", fraction: float = 0.4, min_minutes: float = 3
+    indexed: DataFrame,
+    run: str = "run_id",
+    fraction: float = 0.4,
+    min_minutes: float = 3,
+    blocked: bool = False,
 ) -> DataFrame:
     """Per run: ``n``, ``threshold``, ``tail_mean`` and ``cutoff``, NULL where nothing is excluded."""
-    return _cutoffs(_marked(indexed, run, fraction), run, min_minutes)
+    return _cutoffs(_marked(indexed, run, fraction, blocked), run, min_minutes)
 
 
-def _marked(indexed: DataFrame, run: str, fraction: float) -> DataFrame:
-    smoothed = smooth_power(indexed, run)
+def _marked(indexed: DataFrame, run: str, fraction: float, blocked: bool) -> DataFrame:
+    if not blocked:
+        return _low_stretch(smooth_power(_with_threshold(indexed, run, fraction), run), run, False)
+    smoothed = smooth_power(indexed, run, True)
     thresholds = _per_block(power_threshold(indexed, run, fraction), run)
-    return _low_stretch(smoothed.join(thresholds.drop("n").hint("merge"), [run, "__block"]), run)
+    return _low_stretch(smoothed.join(thresholds.drop("n").hint("merge"), [run, "__block"]), run, True)
 
 
 def _per_block(runs: DataFrame, run: str) -> DataFrame:
@@ -266,43 +310,71 @@ def _per_block(runs: DataFrame, run: str) -> DataFrame:
     return runs.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
 
 
-def _cutoffs(marked: DataFrame, run: str, min_minutes: float) -> DataFrame:
-    idx, n = F.col("idx"), F.col("n")
+def _tail_aggregates() -> dict[str, Column]:
+    """What the cut-off of a run depends on, as aggregates over its marked samples."""
+    idx, n, hours = F.col("idx"), F.col("n"), F.col("runtime_hours")
     tail = F.least(F.lit(TAIL), F.floor(n / 3))
-    per_run = marked.groupBy(run).agg(
-        F.max("n").alias("n"),
-        F.max("threshold").alias("threshold"),
-        F.avg(F.when(idx >= n - tail, F.col("smooth_kw"))).alias("tail_mean"),
-        F.max(F.when(idx == n - 1, F.col("runtime_hours"))).alias("__end_hours"),
-        *_cut_aggregates(),
-    )
-    found = per_run.select(run, "n", "threshold", "tail_mean", "__end_hours", *_cut_columns())
-    long_enough = (F.col("__end_hours") - F.col("cutoff_hours")) * 60 >= min_minutes
+    return {
+        "tail_mean": F.avg(F.when(idx >= n - tail, F.col("smooth_kw"))),
+        "__end_hours": F.max(F.when(idx == n - 1, hours)),
+        "__last_start": F.max("__start"),
+        "__is_open": F.max("__open"),
+        "__back_hours": F.max(F.when(idx == LOOK_BACK, hours)),
+    }
+
+
+def _cutoff(min_minutes: float) -> Column:
+    """The cut-off from the aggregates, NULL where nothing is excluded."""
+    cutoff, cutoff_hours = _last_low_start()
     applies = (
         (F.col("n") >= MIN_SAMPLES)
         & (F.col("tail_mean") <= F.col("threshold"))
-        & (F.col("cutoff") < F.col("n") - 1)
-        & long_enough
+        & (cutoff < F.col("n") - 1)
+        & ((F.col("__end_hours") - cutoff_hours) * 60 >= min_minutes)
     )
-    return found.select(
-        run, "n", "threshold", "tail_mean", F.when(applies, F.col("cutoff")).alias("cutoff")
+    return F.when(applies, cutoff)
+
+
+def _last_low_start() -> tuple[Column, Column]:
+    start, is_open = F.col("__last_start"), F.col("__is_open")
+    cutoff = F.coalesce(start["i"], F.when(is_open, F.lit(LOOK_BACK).cast("long")))
+    hours = F.when(start.isNotNull(), start["h"]).when(is_open, F.col("__back_hours"))
+    return cutoff, hours
+
+
+def _cutoffs(marked: DataFrame, run: str, min_minutes: float) -> DataFrame:
+    per_run = marked.groupBy(run).agg(
+        F.max("n").alias("n"),
+        F.max("threshold").alias("threshold"),
+        *[a.alias(k) for k, a in _tail_aggregates().items()],
     )
+    return per_run.select(run, "n", "threshold", "tail_mean", _cutoff(min_minutes).alias("cutoff"))
 
 
 def exclude_tail(
-    indexed: DataFrame, run: str = "run_id", fraction: float = 0.4, min_minutes: float = 3
+    indexed: DataFrame,
+    run: str = "run_id",
+    fraction: float = 0.4,
+    min_minutes: float = 3,
+    blocked: bool = False,
 ) -> DataFrame:
     """Samples before the post-processing tail, with their predecessor's power and time.
 
-    Input is :func:`index_samples`. The cut-off of a run reaches its samples through the
-    run's blocks, so that samples stay where the smoothing window put them.
+    Input is :func:`index_samples`. With ``blocked`` the cut-off of a run reaches its samples
+    through the run's blocks, so that samples stay where the smoothing window put them.
     """
-    marked = _marked(indexed, run, fraction)
+    marked = _marked(indexed, run, fraction, blocked)
+    columns = [*indexed.columns, "prev_kw", "prev_hours"]
+    if not blocked:
+        whole = Window.partitionBy(run)
+        seen = marked.select("*", *[a.over(whole).alias(k) for k, a in _tail_aggregates().items()])
+        end = F.coalesce(_cutoff(min_minutes), F.col("n"))
+        return seen.where(F.col("idx") < end).select(*columns)
     cuts = _per_block(_cutoffs(marked, run, min_minutes), run).select(
         run, "__block", F.coalesce("cutoff", "n").alias("__end")
     )
     kept = marked.join(cuts.hint("merge"), [run, "__block"]).where(F.col("idx") < F.col("__end"))
-    return kept.select(*indexed.columns, "prev_kw", "prev_hours")
+    return kept.select(*columns)
 
 
 # -- integration and statistics ----------------------------------------------------------

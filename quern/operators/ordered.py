@@ -9,7 +9,7 @@ of partitions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -115,22 +115,6 @@ def ordered_sums(
     )
 
 
-def attach_group_values(
-    rows: DataFrame, values: DataFrame, group: str | Sequence[str], order: str
-) -> DataFrame:
-    """Join one-row-per-group ``values`` to ``rows`` without gathering a group in one task.
-
-    The values go to the group's blocks first, one row per block, and the rows are joined on
-    ``(group, block)``.
-    """
-    groups = _as_list(group)
-    blocked = with_blocks(rows, order)
-    blocks = blocked.select(*groups, _BLOCK).distinct().join(values, groups)
-    return blocked.join(blocks.hint("merge"), [*groups, _BLOCK]).select(
-        *[F.col(f"`{c}`") for c in rows.columns], *[c for c in values.columns if c not in groups]
-    )
-
-
 def with_ordinal(
     df: DataFrame,
     group: str | Sequence[str],
@@ -158,6 +142,44 @@ def with_offsets(
     return out.withColumn(end, F.col(start) + F.col(length))
 
 
+#: A group up to this many narrow rows may be handled by one task.
+GROUP_ROWS = 1 << 20
+#: At most this many groups can be oversized, so their list may be broadcast.
+OVERSIZED_GROUPS = 100_000
+
+
+def oversized_groups(df: DataFrame, group: str) -> DataFrame | None:
+    """Groups with too many rows for one task, or None when there is none.
+
+    The limit is ``GROUP_ROWS``, or a hundred-thousandth of all rows if that is more: the
+    list can then not exceed ``OVERSIZED_GROUPS`` entries.
+    """
+    counts = df.groupBy(group).agg(F.count("*").alias("rows"))
+    largest, total = counts.agg(F.max("rows"), F.sum("rows")).first()
+    limit = max(GROUP_ROWS, (total or 0) // OVERSIZED_GROUPS)
+    if (largest or 0) <= limit:
+        return None
+    return counts.where(F.col("rows") > limit).select(group)
+
+
+def by_group_size(
+    df: DataFrame,
+    group: str,
+    whole: Callable[[DataFrame], DataFrame],
+    blocked: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Apply ``whole`` to groups that fit a task and ``blocked`` to the others.
+
+    Both must compute the same; ``blocked`` is the plan for groups of any size.
+    """
+    hot = oversized_groups(df, group)
+    if hot is None:
+        return whole(df)
+    listed = F.broadcast(hot)
+    small = whole(df.join(listed, group, "left_anti"))
+    return small.unionByName(blocked(df.join(listed, group, "left_semi")))
+
+
 def seeded_key(seed: int | str, *parts: Column | str) -> Column:
     """A hash order that any engine with MD5 can reproduce: ``md5('seed-part-part…')``."""
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]

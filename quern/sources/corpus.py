@@ -143,36 +143,46 @@ def read_json_lines(
     ``document`` and ``data`` are tried as well. Spark decompresses ``.zst`` while reading.
     """
     keys = RECORD_TEXT_KEYS if compressed else RECORD_TEXT_KEYS[:1]
-    lines = _lines(spark, paths, "*.zst" if compressed else "*.jsonl").where(not_blank(F.col("value")))
-    parsed = lines.withColumn("text", record_text(F.col("value"), keys))
+    return parse_json_lines(_lines(spark, paths, "*.zst" if compressed else "*.jsonl"), keys)
+
+
+def parse_json_lines(lines: DataFrame, keys: tuple[str, ...] = RECORD_TEXT_KEYS) -> tuple[DataFrame, DataFrame]:
+    """Documents of JSON ``value`` lines, and the lines that hold none; blank lines are skipped."""
+    others = [c for c in lines.columns if c != "value"]
+    parsed = lines.where(not_blank(F.col("value"))).withColumn("text", record_text(F.col("value"), keys))
     good, bad = with_quarantine(parsed, F.col("text").isNotNull(), "value", "parse")
-    return good.select("source", "row_index", "text"), bad.drop("text")
+    return good.select(*others, "text"), bad.drop("text")
 
 
 def read_json_documents(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Documents of ``.json`` files holding an array of strings or of objects with ``text``.
-
-    A file is one JSON value and hence one record; files of any other shape are returned as
-    bad rows. Objects without ``text`` are left out.
-    """
+    """Documents of ``.json`` files (a file is one JSON value, hence one record), and bad files."""
     whole = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
         .text(paths, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), "value")
     )
+    return parse_json_arrays(whole)
+
+
+def parse_json_arrays(values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of JSON arrays in ``value``: all strings, or all objects with ``text``.
+
+    Values of any other shape are returned as bad rows. Objects without ``text`` are left out.
+    """
+    others = [c for c in values.columns if c != "value"]
     parsed = F.try_parse_json("value")
     items = F.try_variant_get(parsed, "$", "array<variant>")
     kinds = F.transform(items, lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID")))
     strings = F.forall(kinds, lambda k: k == "STRING")
     objects = F.forall(kinds, lambda k: k.startswith("OBJECT"))
-    shaped = whole.withColumn("__items", items).withColumn("__ok", items.isNotNull() & (strings | objects))
+    shaped = values.withColumn("__items", items).withColumn("__ok", items.isNotNull() & (strings | objects))
     good, bad = with_quarantine(shaped, F.col("__ok"), "value", "parse")
-    spread = good.select("source", F.posexplode("__items").alias("row_index", "item"))
+    spread = good.select(*others, F.posexplode("__items").alias("row_index", "item"))
     text = F.when(
         F.schema_of_variant("item") == "STRING", F.variant_get("item", "$", "string")
     ).otherwise(F.try_variant_get("item", "$.text", "string"))
-    docs = spread.select("source", F.col("row_index").cast("long").alias("row_index"), text.alias("text"))
+    docs = spread.select(*others, F.col("row_index").cast("long").alias("row_index"), text.alias("text"))
     return docs.where(F.col("text").isNotNull()), bad.drop("__items", "__ok")
 
 

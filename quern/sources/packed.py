@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quern.functions.tokens import TYPE_CODES
@@ -128,14 +128,18 @@ def _filesystem(uri: str):
 def write_chunks(
     chunks: DataFrame,
     path: str,
-    prefix: str,
+    prefix: str | Column,
     dtype: str,
     number: str = "counter",
     tokens: str = "tokens",
 ) -> None:
-    """Write one chunk file per row, named ``{prefix}_{counter:010d}.bin``."""
+    """Write one chunk file per row, named ``{prefix}_{counter:010d}.bin``.
+
+    ``prefix`` may be a column, such as split and source, within which ``number`` counts.
+    """
     chunks.sparkSession.dataSource.register(PackedTokens)
-    name = F.format_string(f"{prefix}_%010d.bin", F.col(number).cast("long"))
+    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
+    name = F.format_string("%s_%010d.bin", prefix, F.col(number).cast("long"))
     rows = chunks.select(name.alias("file"), F.col(tokens).alias("tokens"))
     rows.write.format("packed_tokens").option("dtype", dtype).mode("append").save(path)
 
@@ -199,3 +203,24 @@ def _decode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 ],
                 names=["path", "dtype", "chunk_size", "tokens"],
             )
+
+
+def read_shards(spark: SparkSession, path: str, token_size: int) -> DataFrame:
+    """Headerless shard files as ``(path, tokens)``."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.ds")
+        .load(path)
+        .select("path", "content")
+    )
+    kind = np.dtype({2: "<u2", 4: "<u4"}[token_size])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for where, content in zip(batch.column("path"), batch.column("content")):
+                ids = np.frombuffer(content.as_buffer(), kind).astype(np.int64)
+                tokens = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([pa.array([where.as_py()]), tokens], names=["path", "tokens"])
+
+    return files.mapInArrow(decode, "path string, tokens array<bigint>")

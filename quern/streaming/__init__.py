@@ -1,0 +1,22 @@
+"""Operators that are stateless per row and so accept a streaming DataFrame as they are.
+
+The prepared corpus and the telemetry tables are bounded, so there are no windows, watermarks
+or state here: these names only mark what may be used between ``readStream`` and ``writeStream``.
+"""
+
+from quern.functions.text import drop_blank, drop_null, with_subset
+from quern.functions.tokens import with_specials
+from quern.operators.encode import encode_file, encode_words
+from quern.operators.energy import with_power_kw
+from quern.sources.requests import parse_requests
+
+__all__ = [
+    "drop_blank",
+    "drop_null",
+    "encode_file",
+    "encode_words",
+    "parse_requests",
+    "with_power_kw",
+    "with_specials",
+    "with_subset",
+]
