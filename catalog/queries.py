@@ -154,14 +154,13 @@ def _zst_writer(path: str):
     """Write each partition as one compressed file; Spark itself only reads this codec."""
 
     def write(batches):
-        import uuid
-
         import pyarrow as pa
+        from pyspark import TaskContext
 
         files, root = packed._filesystem(path)
         files.create_dir(root, recursive=True)
         count = 0
-        with files.open_output_stream(f"{root}/{uuid.uuid4().hex}.jsonl.zst", compression="zstd") as out:
+        with files.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05d}.jsonl.zst", compression="zstd") as out:
             for batch in batches:
                 count += batch.num_rows
                 out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
@@ -768,7 +767,7 @@ def energy_report_plain(spark, sf):
 @query
 def energy_text(spark, sf):
     orders = table(spark, sf, "orders")
-    return orders.select("o_orderkey", energy.format_energy(F.col("o_totalprice") / 77).alias("energy"))
+    return orders.select("o_orderkey", energy.format_energy(F.col("o_totalprice") * 0.01234567).alias("energy"))
 
 
 @query
