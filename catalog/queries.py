@@ -14,7 +14,7 @@ from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, id_range, specials_le
 from quern.operators import chat, encode, energy, ordered, packing, sampling, stats
 from quern.plans.energy_report import energy_report
 from quern.plans.prepare import prepare_chunks, prepare_sequences
-from quern.session import materialize, scratch_path
+from quern.session import materialize, scratch_path, widen
 from quern.sources import corpus, export, packed, requests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,11 +41,11 @@ def text_md5(text: str) -> Column:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    return widen(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return encode.word_vocabulary(table(spark, sf, "documents"))
+    return encode.word_vocabulary(widen(table(spark, sf, "documents").select("text")))
 
 
 def word_count() -> Column:
@@ -467,9 +467,10 @@ def order_subsets(spark, sf):
 
 
 def _sharded(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks dealt to shards in the order of their names."""
-    named = chunks(spark, sf).withColumn("path", F.format_string("%s_%010d", F.col("lang"), F.col("chunk_no")))
-    return sampling.assign_shards(named, 3)
+    """Chunks dealt to shards in the order of their names; only the names are ranked."""
+    name = F.format_string("%s_%010d", F.col("lang"), F.col("chunk_no"))
+    named = materialize(chunks(spark, sf).select(name.alias("path"), "tokens"), "chunks")
+    return named.join(sampling.assign_shards(named.select("path"), 3), "path")
 
 
 @query

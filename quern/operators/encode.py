@@ -7,6 +7,7 @@ DataFrame ``(token, id)``, maps blank-separated words and can be checked in plai
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -205,6 +206,8 @@ class TokenizerFile:
 
                 self._loaded[self.name] = SentencePieceProcessor(model_file=path)
             else:
+                # One thread per task: Spark already runs a task on every core.
+                os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
                 from tokenizers import Tokenizer
 
                 self._loaded[self.name] = Tokenizer.from_file(path)

@@ -36,12 +36,28 @@ def with_blocks(df: DataFrame, order: str | Sequence[str], n_ranges: int | None
     """
     keys = _as_list(order)
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _INTEGRAL):
-        return df.withColumn(_BLOCK, F.shiftright(F.col(keys[0]).cast("long"), BLOCK_BITS))
+        return df.withColumn(_BLOCK, _never_null(F.shiftright(F.col(keys[0]).cast("long"), BLOCK_BITS)))
     n_ranges = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n_ranges, *keys)
     return materialize(ranged.withColumn(_BLOCK, F.spark_partition_id().cast("long")), "ranges")
 
 
+def _never_null(block: Column) -> Column:
+    return F.coalesce(block.cast("long"), F.lit(-(1 << 62)).cast("long"))
+
+
+def _join_key(df: DataFrame, group: str) -> Column:
+    """A group column in a form that joins NULL with NULL.
+
+    Being non-nullable it also spares the joins their null filters, which would make the
+    otherwise equal scans below them differ and be read twice.
+    """
+    column = F.col(f"`{group}`")
+    if not df.schema[group].nullable:
+        return column
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+
+
 def ordered_sums(
     df: DataFrame,
     group: str | Sequence[str],
@@ -56,12 +72,18 @@ def ordered_sums(
     ``(group, order)`` must identify a row; ``block``, if given, must not decrease along
     ``order`` (callers with a hash order pass its leading digits).
     """
-    groups, keys, totals = _as_list(group), _as_list(order), dict(totals or {})
+    keys, totals = _as_list(order), dict(totals or {})
     if block is None:
         blocked = with_blocks(df, keys)
     else:
-        blocked = df.withColumn(_BLOCK, block.cast("long"))
-    blocked = blocked.select("*", *[v.cast("long").alias(f"__v_{n}") for n, v in sums.items()])
+        blocked = df.withColumn(_BLOCK, _never_null(block))
+    names = _as_list(group)
+    groups = [f"__g{i}" for i in range(len(names))]
+    blocked = blocked.select(
+        "*",
+        *[_join_key(df, n).alias(g) for n, g in zip(names, groups)],
+        *[v.cast("long").alias(f"__v_{n}") for n, v in sums.items()],
+    )
 
     in_block = Window.partitionBy(*groups, _BLOCK).orderBy(*keys)
     before = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -61,3 +61,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than there are task slots over all of them.
+
+    A file with one row group is read by one task, however large. Inputs with enough splits,
+    which is every large corpus, are returned as they are.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(slots) if splits < slots else df
