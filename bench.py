@@ -56,7 +56,7 @@ def main() -> None:
         .appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", cpus)
     )
     for key, value in DEFAULTS.items():

@@ -52,15 +52,14 @@ def corpus_metadata(
     by_subset = labelled.agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("subset", entry)))).alias("subset_stats")
     )
-    key = F.lit(1).alias("__one")
     totals = corpus_totals(packed, source=source).select(
-        key,
         *[F.lit(v).alias(k) for k, v in settings.items()],
         "total_sequences",
         "total_tokens",
         F.col("total_files").alias("total_files_processed"),
     )
-    return totals.join(by_subset.select(key, "subset_stats"), "__one").drop("__one")
+    both = totals.unionByName(by_subset, allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
 
 
 def with_quarantine(df: DataFrame, valid: Column, text: str, stage: str) -> tuple[DataFrame, DataFrame]:

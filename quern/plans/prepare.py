@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quern.functions.text import drop_blank
-from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, require_specials, specials_length, with_specials
-from quern.operators.encode import TokenizerFile, encode_file, encode_words, words
-from quern.operators.packing import pack_chunks, pack_sequences, with_batches
+from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, require_specials, with_specials
+from quern.operators.encode import TokenizerFile, encode_file, encode_words
+from quern.operators.ordered import ordered_sums
+from quern.operators.packing import cut_pieces, join_pieces, pack_sequences, padded, with_batches
 from quern.operators.sampling import ratio_split
 from quern.session import materialize
 
@@ -72,17 +73,22 @@ def prepare_chunks(
 ) -> DataFrame:
     """Documents to padded chunks per split and source: ``(split, source, chunk_no, tokens, n_real)``.
 
-    ``splitter`` may replace the ratio split; it adds the column ``split``. With a vocabulary the
-    lengths come from a word count alone; with a tokenizer file, whose lengths are only
-    known once it has run, the tokens are written out once and read twice.
+    ``splitter`` may replace the ratio split; it adds the column ``split`` to the documents.
+
+    Text is tokenized once, into a table. Splits and offsets are worked out on its narrow
+    columns and joined back by row, so tokens are shuffled twice: to meet their offset, by a
+    key that spreads a huge source evenly, and to be assembled.
     """
     narrow = docs.select(source, order, "text")
-    split = splitter(narrow) if splitter else ratio_split(narrow, source, order, train_ratio)
-    length: Column | None = None
-    if isinstance(tokenizer, DataFrame):
-        count = specials_length(F.size(words(F.col("text"))), bos is not None, eos is not None)
-        tokens = tokenize(split.withColumn("__length", count), tokenizer, bos, eos)
-        length = F.col("__length")
-    else:
-        tokens = materialize(tokenize(split, tokenizer, bos, eos), "tokens")
-    return pack_chunks(tokens, ["split", source], order, chunk_size, pad, length=length)
+    ready = tokenize(splitter(narrow) if splitter else narrow, tokenizer, bos, eos)
+    numbered = ready.select(
+        "*", F.size("tokens").cast("long").alias("__n"), F.monotonically_increasing_id().alias("__row")
+    )
+    tokens = materialize(numbered, "tokens")
+    rows = tokens.drop("tokens")
+    rows = rows if splitter else ratio_split(rows, source, order, train_ratio)
+    placed = ordered_sums(rows, ["split", source], order, {"start": F.col("__n")})
+    whole = tokens.select("__row", "tokens").join(placed, "__row")
+    keys = ["split", source]
+    chunks = join_pieces(cut_pieces(whole, keys, chunk_size, "chunk_no"), keys, "chunk_no")
+    return chunks.withColumn("tokens", padded(F.col("tokens"), chunk_size, pad))
