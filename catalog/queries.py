@@ -413,7 +413,7 @@ def shard_files(spark, sf):
     rows = prepare_sequences(docs, vocabulary(spark, sf), seq_length=256, batch_size=16)
     shards = rows.select(
         F.regexp_extract("source", "(\\d+)", 1).cast("long").alias("shard_id"),
-        F.floor(F.col("batch_no") / 2).alias("part"),
+        ordered.whole_div(F.col("batch_no"), 2).alias("part"),
         F.lit("train").alias("subset"),
         "batch_no",
         "seq_no",
@@ -599,11 +599,19 @@ def telemetry(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def samples(spark: SparkSession, sf: str, blocked: bool = False) -> DataFrame:
+def samples(raw: DataFrame, blocked: bool = False) -> DataFrame:
+    usable = energy.with_runtime(raw, blocked=blocked)
+    return energy.index_samples(usable, blocked=blocked)
+
+
+def per_run(spark: SparkSession, sf: str, measure: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """Measure every run, an oversized one block by block."""
     raw = telemetry(spark, sf)
     powered = energy.with_power_kw(raw, energy.detect_power_columns(raw.schema))
-    usable = energy.with_runtime(powered, blocked=blocked)
-    return energy.index_samples(usable, blocked=blocked)
+    powered = powered.select("run_id", "sample_index", "_timestamp", "power_kw")
+    return ordered.by_group_size(
+        powered, "run_id", lambda r: measure(samples(r), False), lambda r: measure(samples(r, True), True)
+    )
 
 
 @query
@@ -615,32 +623,40 @@ def power_kw(spark, sf):
 
 @query
 def runtime_hours(spark, sf):
-    rows = samples(spark, sf)
+    rows = per_run(spark, sf, lambda rows, blocked: rows)
     return rows.select("run_id", "sample_index", "idx", "n", F.round("runtime_hours", 8).alias("runtime_hours"))
 
 
 @query
 def power_threshold(spark, sf):
-    found = energy.power_threshold(samples(spark, sf))
+    found = per_run(spark, sf, lambda rows, blocked: energy.power_threshold(rows))
     return found.select("run_id", "n", F.round("threshold", 10).alias("threshold"))
 
 
 @query
 def smooth_power(spark, sf):
-    rows = energy.smooth_power(samples(spark, sf))
+    rows = per_run(
+        spark, sf, lambda rows, blocked: energy.smooth_power(rows, blocked=blocked).where("own").drop("__block")
+    )
     return rows.select("run_id", "idx", F.round("smooth_kw", 10).alias("smooth_kw"))
 
 
 @query
 def tail_mean(spark, sf):
-    means = energy.tail_mean(energy.smooth_power(samples(spark, sf)))
+    means = per_run(
+        spark, sf, lambda rows, blocked: energy.tail_mean(energy.smooth_power(rows, blocked=blocked))
+    )
     return means.select("run_id", F.round("tail_mean", 12).alias("tail_mean"))
 
 
 @query
 def low_runs(spark, sf):
-    rows = energy.smooth_power(samples(spark, sf)).withColumn("threshold", F.lit(0.5))
-    return energy.low_runs(rows).select("run_id", "cutoff", F.round("cutoff_hours", 8).alias("cutoff_hours"))
+    def last_low(rows: DataFrame, blocked: bool) -> DataFrame:
+        smoothed = energy.smooth_power(rows, blocked=blocked).withColumn("threshold", F.lit(0.5))
+        return energy.low_runs(smoothed, blocked=blocked)
+
+    found = per_run(spark, sf, last_low)
+    return found.select("run_id", "cutoff", F.round("cutoff_hours", 8).alias("cutoff_hours"))
 
 
 def _tail(found: DataFrame) -> DataFrame:
@@ -651,39 +667,48 @@ def _tail(found: DataFrame) -> DataFrame:
 
 @query
 def tail_cutoff(spark, sf):
-    return _tail(energy.locate_tail(samples(spark, sf)))
+    return _tail(per_run(spark, sf, lambda rows, blocked: energy.locate_tail(rows, blocked=blocked)))
 
 
 @query
 def tail_cutoff_blocked(spark, sf):
     """The plan for runs of any size, on all runs."""
-    rows = materialize(samples(spark, sf, blocked=True), "samples")
+    raw = telemetry(spark, sf)
+    powered = energy.with_power_kw(raw, energy.detect_power_columns(raw.schema))
+    rows = materialize(samples(powered, blocked=True), "samples")
     return _tail(energy.locate_tail(rows, blocked=True))
 
 
+def kept(spark: SparkSession, sf: str, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Measure the samples before each run's tail."""
+    return per_run(
+        spark, sf, lambda rows, blocked: measure(energy.exclude_tail(rows, blocked=blocked))
+    )
+
+
 @query
 def kept_samples(spark, sf):
-    kept = energy.exclude_tail(samples(spark, sf))
-    return kept.groupBy("run_id").agg(F.count("*").alias("n_kept"), F.max("idx").alias("last_idx"))
+    count = [F.count("*").alias("n_kept"), F.max("idx").alias("last_idx")]
+    return kept(spark, sf, lambda rows: rows.groupBy("run_id").agg(*count))
 
 
 @query
 def run_energy(spark, sf):
-    per_run = energy.energy(energy.exclude_tail(samples(spark, sf)))
-    return per_run.select("run_id", F.round("energy_per_node_kwh", 7).alias("energy_per_node_kwh"))
+    found = kept(spark, sf, energy.energy)
+    return found.select("run_id", F.round("energy_per_node_kwh", 7).alias("energy_per_node_kwh"))
 
 
 @query
 def power_stats(spark, sf):
-    per_run = energy.power_stats(energy.exclude_tail(samples(spark, sf)), 2)
-    return per_run.select("run_id", *[F.round(c, 9).alias(c) for c in ("avg_node_w", "peak_node_w", "avg_gpu_w")])
+    found = kept(spark, sf, lambda rows: energy.power_stats(rows, 2))
+    return found.select("run_id", *[F.round(c, 9).alias(c) for c in ("avg_node_w", "peak_node_w", "avg_gpu_w")])
 
 
 @query
 def run_duration(spark, sf):
-    per_run = energy.run_duration(energy.exclude_tail(samples(spark, sf)))
+    found = kept(spark, sf, energy.run_duration)
     hours = F.col("duration_hours")
-    return per_run.select(
+    return found.select(
         "run_id", F.round(hours, 8).alias("duration_hours"), F.round(hours * 2 * 4, 7).alias("gpu_hours")
     )
 

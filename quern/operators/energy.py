@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from quern.operators.ordered import BLOCK_BITS, ordered_sums, with_blocks, with_ordinal
+from quern.operators.ordered import BLOCK_BITS, ordered_sums, whole_div, with_blocks, with_ordinal
 
 # Power column names, tried in this order for devices 0 to 15.
 POWER_PATTERNS = (
@@ -203,7 +203,7 @@ def smooth_power(indexed: DataFrame, run: str = "run_id", blocked: bool = False)
         near[2].alias("__p2"),
         F.lag("runtime_hours").over(along).alias("prev_hours"),
     )
-    width = F.least(F.lit(MAX_SMOOTH), F.floor(F.col("n") / 10))
+    width = F.least(F.lit(MAX_SMOOTH), whole_div(F.col("n"), 10))
     smooth = p
     for size, names in (
         (3, ("__m1", "power_kw", "__p1")),
@@ -239,7 +239,7 @@ def _with_context(indexed: DataFrame) -> DataFrame:
 
 def tail_mean(smoothed: DataFrame, run: str = "run_id") -> DataFrame:
     """Mean of the last ``min(20, n // 3)`` smoothed samples of each run."""
-    tail = F.least(F.lit(TAIL), F.floor(F.col("n") / 3))
+    tail = F.least(F.lit(TAIL), whole_div(F.col("n"), 3))
     last = smoothed.where(F.col("own") & (F.col("idx") >= F.col("n") - tail))
     return last.groupBy(run).agg(F.avg("smooth_kw").alias("tail_mean"))
 
@@ -313,7 +313,7 @@ def _per_block(runs: DataFrame, run: str) -> DataFrame:
 def _tail_aggregates() -> dict[str, Column]:
     """What the cut-off of a run depends on, as aggregates over its marked samples."""
     idx, n, hours = F.col("idx"), F.col("n"), F.col("runtime_hours")
-    tail = F.least(F.lit(TAIL), F.floor(n / 3))
+    tail = F.least(F.lit(TAIL), whole_div(n, 3))
     return {
         "tail_mean": F.avg(F.when(idx >= n - tail, F.col("smooth_kw"))),
         "__end_hours": F.max(F.when(idx == n - 1, hours)),

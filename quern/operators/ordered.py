@@ -42,6 +42,12 @@ def with_blocks(df: DataFrame, order: str | Sequence[str], n_ranges: int | None
     return materialize(ranged.withColumn(_BLOCK, F.spark_partition_id().cast("long")), "ranges")
 
 
+def whole_div(value: Column, divisor: int | Column) -> Column:
+    """Integer division, exact for every long; ``/`` would go through a double."""
+    divisor = divisor if isinstance(divisor, Column) else F.lit(divisor)
+    return F.call_function("div", value, divisor)
+
+
 def _never_null(block: Column) -> Column:
     return F.coalesce(block.cast("long"), F.lit(-(1 << 62)).cast("long"))
 

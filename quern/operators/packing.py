@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quern.operators.ordered import _as_list, ordered_sums, with_ordinal
+from quern.operators.ordered import _as_list, ordered_sums, whole_div, with_ordinal
 
 #: Default context window and number of sequences per chunk; each sequence carries one
 #: extra token because the last position predicts the next one.
@@ -23,7 +23,7 @@ def with_batches(
 ) -> DataFrame:
     """Number consecutive documents of a group into batches of ``batch_size``."""
     out = with_ordinal(df, group, order, name="__ordinal")
-    return out.withColumn(name, F.floor(F.col("__ordinal") / batch_size).cast("long")).drop("__ordinal")
+    return out.withColumn(name, whole_div(F.col("__ordinal"), batch_size)).drop("__ordinal")
 
 
 def cut_pieces(
@@ -34,8 +34,8 @@ def cut_pieces(
     A row of n tokens gives at most ``n/size + 2`` pieces, each with its first position.
     """
     n = F.size(tokens)
-    first = F.floor(F.col(start) / size).cast("long")
-    last = F.floor((F.col(start) + n - 1) / size).cast("long")
+    first = whole_div(F.col(start), size)
+    last = whole_div(F.col(start) + n - 1, size)
     spread = df.where(n > 0).select(
         *keys, start, tokens, F.explode(F.sequence(first, last)).alias(number)
     )
@@ -114,7 +114,7 @@ def pack_sequences(
 
 def explode_blocks(df: DataFrame, block_size: int, tokens: str = "tokens") -> DataFrame:
     """One row per full block of each chunk, widened to 64 bits; the rest of a chunk is ignored."""
-    n_blocks = F.floor(F.size(tokens) / block_size).cast("int")
+    n_blocks = whole_div(F.size(tokens), block_size).cast("int")
     others = [c for c in df.columns if c != tokens]
     spread = df.where(n_blocks > 0).select(
         *others, tokens, F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block_no")

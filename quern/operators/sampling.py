@@ -9,10 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from quern.functions.text import subset_rank
-from quern.operators.ordered import seeded_block, seeded_key, with_ordinal
+from quern.operators.ordered import seeded_block, seeded_key, whole_div, with_ordinal
 
 #: Hash draws are integers below this bound.
 DRAW_RANGE = 1 << 32
+#: Ratios are exact fractions up to this denominator.
+MAX_DENOMINATOR = 10**9
 
 
 def limit_files(files: DataFrame, k: int, path: str = "path") -> DataFrame:
@@ -30,15 +32,18 @@ def ratio_split(
     number of train documents among the first d is ceil(p·d/q), so document d is validation
     exactly when that count does not grow. Integer arithmetic throughout.
     """
-    share = Fraction(str(ratio))
+    share = Fraction(str(ratio)).limit_denominator(MAX_DENOMINATOR)
     if not 0 <= share <= 1:
         raise ValueError("ratio must lie between 0 and 1")
     if share == 1:
         return df.withColumn(name, F.lit("train"))
     p, q = share.numerator, share.denominator
     ranked = with_ordinal(df, group, order, name="__before")
-    before = F.floor((F.col("__before") * p + (q - 1)) / q)
-    upto = F.floor(((F.col("__before") + 1) * p + (q - 1)) / q)
+    # The count of train documents grows by p with every q documents: only d mod q matters,
+    # which also keeps the products within a long.
+    inside = F.col("__before") % q
+    before = whole_div(inside * p + (q - 1), q)
+    upto = whole_div((inside + 1) * p + (q - 1), q)
     return ranked.withColumn(
         name, F.when(before == upto, F.lit("validation")).otherwise(F.lit("train"))
     ).drop("__before")
@@ -72,12 +77,12 @@ def subsample_files(
 def split_even(files: DataFrame, n: int, order: str = "path", name: str = "slice_no") -> DataFrame:
     """Cut the ordered files into ``n`` runs whose sizes differ by at most one, larger first."""
     ranked = with_ordinal(files, [], order, "__rank", total="__files")
-    small = F.floor(F.col("__files") / n)
+    small = whole_div(F.col("__files"), n)
     longer = F.col("__files") % n
     border = longer * (small + 1)
     slice_no = F.when(
-        F.col("__rank") < border, F.floor(F.col("__rank") / (small + 1))
-    ).otherwise(longer + F.floor((F.col("__rank") - border) / F.greatest(small, F.lit(1))))
+        F.col("__rank") < border, whole_div(F.col("__rank"), small + 1)
+    ).otherwise(longer + whole_div(F.col("__rank") - border, F.greatest(small, F.lit(1))))
     return ranked.withColumn(name, slice_no.cast("long")).drop("__rank", "__files")
 
 
@@ -88,12 +93,12 @@ def assign_shards(files: DataFrame, n_shards: int, order: str = "path") -> DataF
     ``files_in_shard``.
     """
     ranked = with_ordinal(files, [], order, "__rank", total="__files")
-    rounds = F.floor(F.col("__files") / n_shards).cast("long")
+    rounds = whole_div(F.col("__files"), n_shards)
     kept = ranked.where(F.col("__rank") < rounds * n_shards)
     return kept.select(
         *files.columns,
         (F.col("__rank") % n_shards).alias("shard"),
-        F.floor(F.col("__rank") / n_shards).cast("long").alias("file_no"),
+        whole_div(F.col("__rank"), n_shards).alias("file_no"),
         rounds.alias("files_in_shard"),
     )
 
@@ -127,9 +132,9 @@ def shuffle_blocks(
     if n_blocks < 1:
         raise ValueError("a chunk holds no full block")
     source = chunks if "epoch" in chunks.columns else chunks.withColumn("epoch", F.lit(0))
-    run = F.floor(F.col("file_no") / n_chunks).cast("long")
+    run = whole_div(F.col("file_no"), n_chunks)
     in_run = (F.col("file_no") % n_chunks).cast("int")
-    complete = F.floor(F.col("files_in_shard") / n_chunks)
+    complete = whole_div(F.col("files_in_shard"), n_chunks)
     others = [c for c in source.columns if c not in (tokens, "files_in_shard")]
     base = source.where(run < complete).select(
         *others, tokens, run.alias("run_no"), in_run.alias("__chunk")
@@ -140,7 +145,7 @@ def shuffle_blocks(
         F.transform(indices, lambda i: F.struct(F.md5(F.concat_ws("-", prefix, i)).alias("k"), i.alias("i")))
     )
     placed = F.transform(shuffled, lambda e, p: F.struct(p.alias("position"), e["i"].alias("i")))
-    mine = F.filter(placed, lambda e: F.floor(e["i"] / n_blocks) == F.col("__chunk"))
+    mine = F.filter(placed, lambda e: whole_div(e["i"], n_blocks) == F.col("__chunk"))
     spread = base.select(*others, "run_no", tokens, F.explode(mine).alias("__e"))
     block_no = F.col("__e.i") % n_blocks
     return spread.select(

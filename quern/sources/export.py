@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from quern.operators.ordered import with_ordinal
+from quern.operators.ordered import whole_div, with_ordinal
 from quern.sources.packed import _filesystem
 
 MANIFEST = "path string, target string, chunk_id long, status string, error string, started double, finished double"
@@ -25,7 +25,7 @@ def export_plan(
     Files that the manifest records as copied are left out; chunk numbers do not depend on it.
     """
     ranked = with_ordinal(files, [], "path", "__rank")
-    plan = ranked.withColumn("chunk_id", F.floor(F.col("__rank") / chunk_size).cast("long")).drop("__rank")
+    plan = ranked.withColumn("chunk_id", whole_div(F.col("__rank"), chunk_size)).drop("__rank")
     plan = plan.where(F.col("chunk_id") >= start_chunk)
     if manifest is not None:
         done = manifest.where(F.col("status") == "ok").select("path").distinct()
