@@ -624,7 +624,7 @@ def power_kw(spark, sf):
 @query
 def runtime_hours(spark, sf):
     rows = per_run(spark, sf, lambda rows, blocked: rows)
-    return rows.select("run_id", "sample_index", "idx", "n", F.round("runtime_hours", 8).alias("runtime_hours"))
+    return rows.select("run_id", "sample_index", "idx", "n", F.round("runtime_hours", 6).alias("runtime_hours"))
 
 
 @query
@@ -656,7 +656,7 @@ def low_runs(spark, sf):
         return energy.low_runs(smoothed, blocked=blocked)
 
     found = per_run(spark, sf, last_low)
-    return found.select("run_id", "cutoff", F.round("cutoff_hours", 8).alias("cutoff_hours"))
+    return found.select("run_id", "cutoff", F.round("cutoff_hours", 6).alias("cutoff_hours"))
 
 
 def _tail(found: DataFrame) -> DataFrame:
@@ -709,7 +709,7 @@ def run_duration(spark, sf):
     found = kept(spark, sf, energy.run_duration)
     hours = F.col("duration_hours")
     return found.select(
-        "run_id", F.round(hours, 8).alias("duration_hours"), F.round(hours * 2 * 4, 7).alias("gpu_hours")
+        "run_id", F.round(hours, 6).alias("duration_hours"), F.round(hours * 2 * 4, 5).alias("gpu_hours")
     )
 
 
@@ -753,7 +753,7 @@ def _report(spark: SparkSession, sf: str, **targets: float) -> DataFrame:
 
 
 _REPORT = {
-    "duration_hours": 7,
+    "duration_hours": 6,
     "total_energy_kwh": 6,
     "gpu_hours": 6,
     "predicted_energy_kwh": 4,

@@ -44,3 +44,28 @@ def test_query(spark, con, name):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"encode_tokenizer_file"}
+
+
+TELEMETRY = [
+    "runtime_hours",
+    "power_threshold",
+    "smooth_power",
+    "tail_mean",
+    "low_runs",
+    "tail_cutoff",
+    "kept_samples",
+    "run_energy",
+    "run_duration",
+    "energy_report_tokens",
+]
+
+
+@pytest.mark.parametrize("name", TELEMETRY)
+def test_oversized_runs_give_the_same_rows(spark, con, name, monkeypatch):
+    """A limit between the runs' sizes sends some to each plan; small blocks cross every run."""
+    from quern.operators import energy, ordered
+
+    monkeypatch.setattr(ordered, "GROUP_ROWS", 70)
+    monkeypatch.setattr(ordered, "BLOCK_BITS", 4)
+    monkeypatch.setattr(energy, "BLOCK_BITS", 4)
+    test_query(spark, con, name)
