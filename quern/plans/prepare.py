@@ -76,7 +76,7 @@ def prepare_chunks(
     ``splitter`` may replace the ratio split; it adds the column ``split`` to the documents.
 
     Text is tokenized once, into a table. Splits and offsets are worked out on its narrow
-    columns and joined back by row, so tokens are shuffled twice: to meet their offset, by a
+    columns, splits kept as a narrow table too, and joined back by row, so tokens are shuffled twice: to meet their offset, by a
     key that spreads a huge source evenly, and to be assembled.
     """
     narrow = docs.select(source, order, "text")
@@ -86,7 +86,8 @@ def prepare_chunks(
     )
     tokens = materialize(numbered, "tokens")
     rows = tokens.drop("tokens")
-    rows = rows if splitter else ratio_split(rows, source, order, train_ratio)
+    # The split is itself an ordered scan; the next one would otherwise repeat it per branch.
+    rows = rows if splitter else materialize(ratio_split(rows, source, order, train_ratio), "split")
     placed = ordered_sums(rows, ["split", source], order, {"start": F.col("__n")})
     whole = tokens.select("__row", "tokens").join(placed, "__row")
     keys = ["split", source]
