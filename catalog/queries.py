@@ -6,6 +6,7 @@ Token arrays are compared by the MD5 of their ids joined by commas.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -302,11 +303,9 @@ def token_ids_by_source(spark, sf):
     return id_range(ids).withColumn("width", F.lit(token_width(encode.BASE_VOCAB)))
 
 
-def _tokenizer_file(spark: SparkSession) -> encode.TokenizerFile | None:
-    try:
-        import public_tokenizers
-    except ImportError:
-        return None
+def _tokenizer_file(spark: SparkSession) -> encode.TokenizerFile:
+    import public_tokenizers
+
     return encode.TokenizerFile(spark, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -801,3 +800,8 @@ def energy_csv(spark, sf):
     report = _report(spark, sf, target_tokens=5e9)
     names = F.lit("team/project").alias("project_path")
     return energy.energy_summary_csv(report.select("*", names))
+
+
+if find_spec("public_tokenizers") is None:
+    for name in ("encode_tokenizer_file", "decode_tokenizer_file"):
+        QUERIES.pop(name)

@@ -17,6 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from quern.functions.tokens import BOS_ID, EOS_ID, UNK_ID
+from quern.session import materialize
 
 #: Ids below this one belong to the base vocabulary, ids from it on to added tokens.
 BASE_VOCAB = 32000
@@ -99,8 +100,7 @@ def encode_words_by_join(
     Words become rows, meet the vocabulary in a salted join (frequent words are spread over
     ``SALTS`` tasks) and are gathered per document, a group no larger than one document.
     """
-    keyed = df.withColumn("__doc", F.monotonically_increasing_id())
-    keyed = _pin(keyed)
+    keyed = _pin(df.withColumn("__doc", F.monotonically_increasing_id()))
     spread = keyed.select("__doc", F.posexplode(words(F.col(text))).alias("__pos", "token"))
     ids = lookup_ids(spread, vocabulary, broadcast_limit=0).select(
         "__doc", F.struct("__pos", F.coalesce("id", F.lit(unknown)).cast("int").alias("id")).alias("__t")
@@ -113,8 +113,6 @@ def encode_words_by_join(
 
 def _pin(df: DataFrame) -> DataFrame:
     """Write out rows carrying generated keys, which a second evaluation could renumber."""
-    from quern.session import materialize
-
     return materialize(df, "keyed")
 
 
@@ -158,7 +156,7 @@ def decode_words(
         )
     rows = bounded_rows(table, BROADCAST_ENTRIES)
     if rows is None:
-        raise ValueError(f"decoding needs a vocabulary of at most {BROADCAST_ENTRIES} entries")
+        return _decode_by_join(df, table, tokens, text, skip_special_tokens)
     shared = df.sparkSession.sparkContext.broadcast([(r.id, r.token, r.special) for r in rows])
 
     @F.arrow_udf(T.StringType())
@@ -183,6 +181,24 @@ def decode_words(
     return df.withColumn(text, decode(F.col(tokens)))
 
 
+def _decode_by_join(
+    df: DataFrame, table: DataFrame, tokens: str, text: str, skip_special_tokens: bool
+) -> DataFrame:
+    """As :func:`decode_words` for a vocabulary too large to broadcast, by the salted join."""
+    keyed = _pin(df.withColumn("__doc", F.monotonically_increasing_id()))
+    spread = keyed.select("__doc", F.posexplode(tokens).alias("__pos", "token"))
+    names = table.select(F.col("id").alias("token"), F.struct("token", "special").alias("id"))
+    found = lookup_ids(spread, names, broadcast_limit=0)
+    if skip_special_tokens:
+        found = found.where(~F.coalesce(F.col("id.special"), F.lit(False)))
+    word = F.coalesce(F.col("id.token"), F.lit("<unk>")).alias("word")
+    gathered = found.select("__doc", F.struct("__pos", word).alias("__t")).groupBy("__doc").agg(
+        F.array_join(F.sort_array(F.collect_list("__t"))["word"], " ").alias(text)
+    )
+    joined = keyed.join(gathered, "__doc", "left").withColumn(text, F.coalesce(text, F.lit("")))
+    return joined.select(*df.columns, text)
+
+
 # -- tokenizer files ---------------------------------------------------------------------
 
 

@@ -44,7 +44,9 @@ def test_null_text_gives_no_tokens(spark, vocab):
     assert encode.encode_words(df, vocab).first().tokens == []
 
 
-def test_decode(spark, docs, vocab):
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_decode(spark, docs, vocab, monkeypatch, limit):
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", limit)
     ids = encode.encode_words(docs, vocab).drop("text")
     specials = spark.createDataFrame([("<s>", 1), ("<|im_end|>", 2)], "token string, id int")
     wrapped = ids.withColumn("tokens", with_specials(F.col("tokens"), 1, 2))
