@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +30,36 @@ def build_session(app_name: str = "quern", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Functions that run in Python workers are pickled by name, so a worker has to be able to
+    import the package whatever folder it was started in.
+    """
+    _ship(spark.sparkContext.applicationId, spark)
+
+
+_shipped: set[str] = set()
+
+
+def _ship(application: str, spark: SparkSession) -> None:
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, str(file.relative_to(root.parent)))
+    # The driver's own copy, from which Spark serves it to the executors.
+    name = os.path.join(tempfile.mkdtemp(prefix="quern-code-"), f"quern-{uuid.uuid4().hex}.zip")
+    Path(name).write_bytes(packed.getvalue())
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(application)
 
 
 def scratch_dir(spark: SparkSession) -> str:
