@@ -7,11 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.text import split_share
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned outside a fifth of them."""
+    from quern.llm.language import identify, train
+
+    docs = table(spark, folder, "documents")
+    held_out = split_share(F.col("doc_id"), 5) == 0
+    found = identify(docs, train(docs.filter(~held_out)), ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, by weak supervision."""
+    from quern.llm.toxicity import score_toxicity, train
+
+    docs = table(spark, folder, "documents")
+    model, _, _ = train(docs, table(spark, folder, "labels"))
+    scored = score_toxicity(docs, model, ["doc_id"])
+    return _judged(scored, 0.3)
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, by naive Bayes support vectors."""
+    from quern.llm.quality_model import score_quality, train
+
+    docs = table(spark, folder, "documents")
+    scored = score_quality(docs, train(docs, table(spark, folder, "labels")), ["doc_id"])
+    return _judged(scored, 0.7)
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    held_out = split_share(F.col("doc_id"), 4) == 2
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that contain four fifths or more of a benchmark item's shingles."""
     from quern.llm.decontaminate import find_leaks
@@ -60,9 +98,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
+        op3_toxicity,
         op4_benchmark_decontamination,
         op6_license_scan,
         op7_pii,
+        op9_quality_classifier,
         op10_quality_rules,
     )
 }
