@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +45,10 @@ PATTERNS = {
     "stretched": r"\b(?:s+t+u{2,}p+i+d+|l+o+s+e{2,}r+|d+u+m{2,}b+)\b",
 }
 
+#: Lengths of word stems, and voters' shares of stems in a thousand words.
+STEM_LENGTHS = range(3, 8)
+DENSITIES = (2, 4, 8, 12, 15, 20, 30)
+
 _EDGES = ".,;:!?\"'()[]{}<>#*$%&|-_ "
 
 
@@ -52,63 +57,107 @@ class ToxicitySetup:
     """Bounds of the samples, number and purity of induced voters, and rounds of the fits."""
 
     sample_rows: int = 8000
-    induced_voters: int = 40
+    induced_voters: int = 64
     least_support: int = 8
-    least_precision: float = 0.6
+    least_precision: float = 0.2
     rounds: int = 12
     descent_rounds: int = 400
     lasso: float = 2e-4
 
 
-def word_set(text: str | None) -> set[str]:
-    """Distinct lower-case words of the whole text, without punctuation at their ends."""
-    return {w.strip(_EDGES) for w in set((text or "").lower().split())} - {""}
+def profile(text: str | None) -> Counter[str]:
+    """Counts of the lower-case words of the whole text, without punctuation at their ends."""
+    counts: Counter[str] = Counter()
+    for raw, n in Counter((text or "").lower().split()).items():
+        if word := raw.strip(_EDGES):
+            counts[word] += n
+    return counts
 
 
 def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1)
 
 
+def stems(word: str) -> list[str]:
+    """The word itself, and its beginnings of three to seven characters, which end in ``*``."""
+    return [word, *(f"{word[:k]}*" for k in STEM_LENGTHS if k < len(word))]
+
+
 def induce_lexicon(sample: DataFrame, setup: ToxicitySetup) -> list[str]:
-    """Words of the labelled sample that tell label 1, best first.
+    """Words and word stems of the labelled sample that tell label 1, best first.
 
-    Each word is counted once per text and class; words are grouped by Spark, and those with
-    enough support and precision are ranked by the lower bound of their precision.
+    Each counts once per text and class; Spark groups them, and those with enough support and
+    precision are ranked by their log-odds ratio in standard errors. Of a stem and its continuations
+    only the best is kept, so that few voters say the same.
     """
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(w, y) for t, y in zip(batch["text"], batch["label"], strict=True) for w in word_set(t)]
-            yield pd.DataFrame(rows, columns=["word", "label"]).astype({"word": str, "label": "int64"})
-
+            rows = [
+                (s, int(y))
+                for t, y in zip(batch["text"], batch["label"], strict=True)
+                for s in {s for w in profile(t) for s in stems(w)}
+            ]
+            yield pd.DataFrame(rows, columns=["stem", "label"]).astype({"stem": object, "label": "int64"})
+
+    total = sample.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
+    if not total.n or not total.t or total.t == total.n:
+        return []
     counts = (
-        sample.mapInPandas(spread, "word string, label long")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"), F.sum("label").alias("n_toxic"))
-        .filter((F.col("n_toxic") >= setup.least_support) & (F.col("n_toxic") >= F.col("n") * setup.least_precision))
+        sample.mapInPandas(spread, "stem string, label long")
+        .groupBy("stem")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("t"))
+        .filter((F.col("t") >= setup.least_support) & (F.col("t") >= F.col("n") * setup.least_precision))
     )
-    p, n = F.col("n_toxic") / F.col("n"), F.col("n")
-    ranked = counts.withColumn("bound", p - F.sqrt(p * (1 - p) / n) - 1 / (n + 1))
-    return [r.word for r in ranked.orderBy(F.desc("bound"), "word").limit(setup.induced_voters).collect()]
+    a, b = F.col("t") + 0.5, F.col("n") - F.col("t") + 0.5
+    c, d = total.t - F.col("t") + 0.5, total.n - total.t - (F.col("n") - F.col("t")) + 0.5
+    # Log-odds ratio in standard errors: a stem with many continuations beats each of them.
+    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    ranked = counts.withColumn("z", z).filter("z > 5").orderBy(F.desc("z"), F.length("stem"), "stem")
+    chosen: list[str] = []
+    for r in ranked.limit(50 * setup.induced_voters).collect():
+        own = r.stem.rstrip("*")
+        if not any(own.startswith(x) or x.startswith(own) for x in (c.rstrip("*") for c in chosen)):
+            chosen.append(r.stem)
+    return chosen[: setup.induced_voters]
 
 
 class Voters:
-    """All voters, in a fixed order: the lexicon, the induced words, the patterns."""
+    """All voters, in a fixed order: lexicon and induced stems, densities of stems, patterns."""
 
     def __init__(self, induced: list[str]):
-        self.words = list(dict.fromkeys([*LEXICON, *induced]))
-        self.names = [f"word:{w}" for w in self.words] + [f"pattern:{p}" for p in PATTERNS]
-        self._at = {w: i for i, w in enumerate(self.words)}
-
-    def vote(self, text: str | None, words: set[str] | None = None) -> list[int]:
+        self.stems = list(dict.fromkeys([*LEXICON, *induced]))
+        self.names = (
+            [f"stem:{s}" for s in self.stems] + [f"density:{d}" for d in DENSITIES] + [f"pattern:{p}" for p in PATTERNS]
+        )
+        self._at = {s: i for i, s in enumerate(self.stems)}
+        #: Beginnings that a word must have to be looked up at all.
+        self._heads = {s.rstrip("*")[:3] for s in self.stems}
+
+    def vote(self, text: str | None, words: Counter[str] | None = None) -> list[int]:
         """Numbers of the voters that fire on a text, ascending."""
         if not hasattr(self, "_compiled"):
             self._compiled = [re.compile(p) for p in PATTERNS.values()]
-        words = word_set(text) if words is None else words
-        fired = [self._at[w] for w in words & self._at.keys()]
+        words = profile(text) if words is None else words
+        fired, hits, total = set(), 0, 0
+        for w, n in words.items():
+            total += n
+            if w[:3] in self._heads and (found := [self._at[s] for s in stems(w) if s in self._at]):
+                hits += n
+                fired.update(found)
+        first = len(self.stems)
+        fired.update(first + i for i, d in enumerate(DENSITIES) if hits and 1000 * hits >= d * total)
         low = (text or "").lower()
-        fired += [len(self.words) + i for i, p in enumerate(self._compiled) if p.search(low)]
+        first += len(DENSITIES)
+        fired.update(first + i for i, p in enumerate(self._compiled) if p.search(low))
         return sorted(fired)
 
+    def features(self, text: str | None) -> tuple[list[int], np.ndarray]:
+        """The votes, and the buckets of the text's words and of the voters that fire."""
+        words = profile(text)
+        fired = self.vote(text, words)
+        idx = {bucket(w) for w in words} | {bucket(f"<{self.names[i]}>") for i in fired}
+        return fired, np.sort(np.fromiter(idx, np.int64, len(idx)))
+
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_compiled"}
 
@@ -145,15 +194,21 @@ def fit_label_model(patterns: DataFrame, n_voters: int, share: float, setup: Tox
         return 1 / (1 + F.exp(-odds))
 
     def sums(m: LabelModel) -> tuple[float, float, np.ndarray]:
-        weighed = patterns.withColumn("p", posterior(m))
-        one = weighed.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("t")).first()
-        each = weighed.select("n", "p", F.explode("fired").alias("i")).groupBy("i").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("t")
-        ).collect()
-        fired = np.zeros((2, n_voters))
+        # The number -1 stands for all patterns, whatever fires.
+        each = (
+            patterns.withColumn("p", posterior(m))
+            .select("n", "p", F.explode(F.array_append("fired", -1)).alias("i"))
+            .groupBy("i")
+            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("t"))
+            .collect()
+        )
+        fired, n, t = np.zeros((2, n_voters)), 0.0, 0.0
         for r in each:
-            fired[:, r.i] = r.n - r.t, r.t
-        return float(one.n or 0), float(one.t or 0), fired
+            if r.i < 0:
+                n, t = float(r.n), float(r.t)
+            else:
+                fired[:, r.i] = r.n - r.t, r.t
+        return n, t, fired
 
     def rounds(m: LabelModel, times: int) -> tuple[LabelModel, float, float]:
         n = t = 0.0
@@ -194,27 +249,28 @@ def fit_label_model(patterns: DataFrame, n_voters: int, share: float, setup: Tox
 
 @dataclass
 class ToxicityModel:
-    """Word weights and bias of the classifier."""
+    """Weights and bias of the classifier over words and voters."""
 
     weights: np.ndarray
     bias: float
+    voters: Voters
 
     def score(self, text: str | None) -> float:
         """Probability of label 1 of the whole text; NULL and empty texts get the bias."""
-        idx = {bucket(w) for w in word_set(text)}
-        value = self.bias + float(self.weights[np.fromiter(idx, np.int64, len(idx))].sum())
+        _, idx = self.voters.features(text)
+        value = self.bias + float(self.weights[idx].sum())
         return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
 
-def logistic_regression(rows: list[np.ndarray], target: np.ndarray, setup: ToxicitySetup) -> ToxicityModel:
+def logistic_regression(rows: list[np.ndarray], target: np.ndarray, setup: ToxicitySetup) -> tuple[np.ndarray, float]:
     """Weights for indicator rows and soft labels, by adaptive proximal gradient descent.
 
     The penalty on absolute weights leaves none to words that do not tell the classes apart, so
     a long text does not gather the noise of its many words.
     """
-    weights, bias = np.zeros(1 << BITS), 0.0
+    weights = np.zeros(1 << BITS)
     if not rows:
-        return ToxicityModel(weights, float(np.log(0.1 / 0.9)))
+        return weights, float(np.log(0.1 / 0.9))
     used, flat = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     n, d = len(rows), used.size
@@ -232,7 +288,7 @@ def logistic_regression(rows: list[np.ndarray], target: np.ndarray, setup: Toxic
         w = np.sign(w) * np.maximum(np.abs(w) - rate * setup.lasso, 0.0)
         c -= 0.1 * gc / np.sqrt(squares_c)
     weights[used] = w
-    return ToxicityModel(weights, c)
+    return weights, c
 
 
 def train(
@@ -274,9 +330,8 @@ def train(
         for batch in batches:
             out = []
             for t in batch["text"]:
-                words = word_set(t)
-                odds = start + sum(terms[i] for i in shared.value.vote(t, words))
-                idx = np.unique(np.fromiter(map(bucket, words), np.int64, len(words)))
+                fired, idx = shared.value.features(t)
+                odds = start + sum(terms[i] for i in fired)
                 out.append((float(1 / (1 + np.exp(-np.clip(odds, -30, 30)))), idx.astype("<i4").tobytes()))
             yield pd.DataFrame(out, columns=["p", "words"])
 
@@ -284,7 +339,8 @@ def train(
     found = sample.mapInPandas(encode, "p double, words binary").collect()
     found.sort(key=lambda r: (bytes(r.words), r.p))
     rows = [np.frombuffer(r.words, "<i4").astype(np.int64) for r in found]
-    return logistic_regression(rows, np.array([r.p for r in found]), setup), model, voters
+    weights, bias = logistic_regression(rows, np.array([r.p for r in found]), setup)
+    return ToxicityModel(weights, bias, voters), model, voters
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
