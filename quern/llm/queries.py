@@ -34,6 +34,16 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(scored, 0.3)
 
 
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document by the byte-level BPE of a public vocabulary, and the ids decoded."""
+    import public_tokenizers
+
+    from quern.llm.byte_bpe import encode_and_decode
+
+    docs = table(spark, folder, "documents")
+    return encode_and_decode(docs, ["doc_id"], public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, by naive Bayes support vectors."""
     from quern.llm.quality_model import score_quality, train
@@ -103,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_benchmark_decontamination,
         op6_license_scan,
         op7_pii,
+        op8_byte_bpe,
         op9_quality_classifier,
         op10_quality_rules,
     )
