@@ -67,6 +67,13 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    from quern.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and detections of every document."""
     from quern.llm.license_rules import scan_licenses
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language_id,
         op3_toxicity,
         op4_benchmark_decontamination,
+        op5_near_duplicates,
         op6_license_scan,
         op7_pii,
         op8_byte_bpe,
