@@ -233,25 +233,30 @@ def _compare(members: DataFrame, nodes: DataFrame, setup: NearSetup, choose: Cal
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, comp): the least node that can be reached, for every node of an edge (a, b).
 
-    Each round takes the least label of the neighbours and then the label of that label, so the
-    number of rounds grows with the logarithm of a chain's length. Labels are tables; no component
-    is ever in one task. The rounds end when no label has changed.
+    Every node has a parent, at first the least of its neighbours and itself. In a round each
+    edge offers the grandparent at its other end both to its node and to its node's parent, and
+    every node moves up to its own grandparent; each takes the least offer. Trees are hooked on to
+    each other and flattened at once, so the number of rounds grows with the logarithm of a
+    chain's length. Parents are tables; no component is ever in one task.
     """
     both = materialize(
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
     )
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("comp")), "labels")
+    parents = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("up")), "parents")
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        least = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        onward = labels.select(F.col("node").alias("comp"), F.col("comp").alias("onward"))
-        moved = materialize(least.join(onward, "comp").select("node", "old", F.least("comp", "onward").alias("comp")), "labels")
-        labels = moved.select("node", "comp")
-        if moved.filter("comp != old").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return labels
+        above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        tops = materialize(parents.join(above, "up").select("node", "up", "top"), "parents")
+        offers = both.join(tops.select(F.col("node").alias("b"), "top"), "b").groupBy(F.col("a").alias("node")).agg(F.min("top").alias("offer"))
+        offered = tops.join(offers, "node")
+        each = F.array(
+            F.struct("node", F.least("offer", "top", "up").alias("up")), F.struct(F.col("up").alias("node"), F.col("offer").alias("up"))
+        )
+        moved = offered.select(F.explode(each).alias("x")).groupBy("x.node").agg(F.min("x.up").alias("up"))
+        moved = materialize(moved.join(parents.withColumnRenamed("up", "old"), "node"), "parents")
+        parents = moved.select("node", "up")
+        if moved.filter("up != old").isEmpty():
+            return parents.select("node", F.col("up").alias("comp"))
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, setup: NearSetup) -> DataFrame:
