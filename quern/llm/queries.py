@@ -24,6 +24,20 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every document, learned outside a tenth of them."""
+    from quern.llm.language_model import score_texts, train
+
+    docs = table(spark, folder, "documents")
+    held_out = split_share(F.col("doc_id"), 10) == 0
+    model, counts = train(docs.filter(~held_out))
+    scored = score_texts(docs, model, counts)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, by weak supervision."""
     from quern.llm.toxicity import score_toxicity, train
@@ -116,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_lm_score,
         op3_toxicity,
         op4_benchmark_decontamination,
         op5_near_duplicates,
