@@ -5,6 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Least probability of good quality with which a document stays.
+QUALITY = 0.7
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labelled ones, accepts."""
+    from quern.llm.quality_model import score_quality, train
+    from quern.llm.text import free_name
+
+    score = free_name(docs.columns, "quality_score")
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_quality(docs, model, docs.columns, name=score).filter(F.col(score) >= QUALITY).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near-duplicates."""
+    from quern.llm.near_duplicates import NearSetup, drop_near_duplicates
+
+    return drop_near_duplicates(docs, setup=NearSetup(percent=80))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +42,22 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return mask_pii(docs)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens of each document, and digests of its ids and of the ids decoded."""
+    import public_tokenizers
+
+    from quern.llm.byte_bpe import encode_and_decode
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_and_decode(docs, ["doc_id"], path, public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_quality),
+    ("MinHash near-dedup", drop_copies),
     ("benchmark decontamination", decontaminate),
     ("PII", mask_personal_data),
+    ("byte-level BPE encoding and decoding", tokenize),
 ]
 
 #: Trained models, iterated graphs and tokenizers are nothing that SQL can express.
