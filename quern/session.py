@@ -105,3 +105,19 @@ def widen(df: DataFrame) -> DataFrame:
     slots = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
     return df.repartition(slots) if splits < slots else df
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000, mb: int = 16) -> None:
+    """Lower this session's bounds of the Arrow batches that go to Python workers.
+
+    A row of text or of a set may be large, so a batch is bounded by rows and by bytes. Bounds
+    that are already lower stay.
+    """
+    for key, most in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", mb << 20),
+    ):
+        now = spark.conf.get(key, None)
+        value = int(now.rstrip("b")) if now and now.rstrip("b").isdigit() else 0
+        if not 0 < value <= most:
+            spark.conf.set(key, str(most))
