@@ -19,7 +19,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 HEADLINE = [
     "word_vocabulary",
     "encode_words",
-    "encode_tokenizer_file",
     "pack_sequences",
     "pack_sequences_long",
     "pack_chunks",

@@ -6,12 +6,11 @@ Token arrays are compared by the MD5 of their ids joined by commas.
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quern.functions import text as tx
-from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, id_range, specials_length, token_width, with_specials
+from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, TWO_BYTE_VOCAB, id_range, specials_length, token_width, with_specials
 from quern.operators import chat, encode, energy, ordered, packing, sampling, stats
 from quern.plans.energy_report import energy_report
 from quern.plans.prepare import prepare_chunks, prepare_sequences
@@ -300,27 +299,9 @@ def token_lookup(spark, sf):
 def token_ids_by_source(spark, sf):
     """Ids in use and the storage type for the vocabulary."""
     ids = encoded(spark, sf).select("tokens")
-    return id_range(ids).withColumn("width", F.lit(token_width(encode.BASE_VOCAB)))
-
-
-def _tokenizer_file(spark: SparkSession) -> encode.TokenizerFile:
-    import public_tokenizers
-
-    return encode.TokenizerFile(spark, public_tokenizers.path("byte_bpe_50k.json"))
-
-
-@query
-def encode_tokenizer_file(spark, sf):
-    ids = encode.encode_file(documents(spark, sf), _tokenizer_file(spark))
-    return ids.select("doc_id", F.size("tokens").alias("n_tokens"), ids_md5())
-
-
-@query
-def decode_tokenizer_file(spark, sf):
-    """Byte-level tokens decode to the very text they came from."""
-    tokenizer = _tokenizer_file(spark)
-    ids = encode.encode_file(documents(spark, sf), tokenizer).select("doc_id", "tokens")
-    return encode.decode_file(ids, tokenizer, skip_special_tokens=False).select("doc_id", text_md5("text"))
+    narrow, wide = token_width(0), token_width(1 << 31)
+    width = F.when(F.col("max_id") < TWO_BYTE_VOCAB, narrow).otherwise(wide)
+    return id_range(ids).withColumn("width", width)
 
 
 @query
@@ -387,7 +368,7 @@ def pack_chunks_by_source(spark, sf):
 def pack_chunks_split(spark, sf):
     docs = documents(spark, sf).withColumnRenamed("doc_id", "row_index")
     packed_rows = prepare_chunks(docs, vocabulary(spark, sf), 2048, train_ratio="0.9")
-    return packed_rows.select("split", "source", "chunk_no", "n_real", ids_md5())
+    return packed_rows.select("split", "source", "chunk_no", "counter", "n_real", ids_md5())
 
 
 @query
@@ -398,11 +379,14 @@ def explode_blocks(spark, sf):
 
 @query
 def chunk_files(spark, sf):
-    """Chunks written as binary files and read back."""
+    """Chunks of all sources written as the files of one prefix per split, and read back."""
+    docs = documents(spark, sf).withColumnRenamed("doc_id", "row_index")
+    rows = prepare_chunks(docs, vocabulary(spark, sf), 2048, train_ratio="0.9")
     path = scratch_path(spark, "chunks")
-    packed.write_chunks(chunks(spark, sf), path, F.col("lang"), token_width(encode.BASE_VOCAB), "chunk_no")
+    prefix = F.concat(F.col("split"), F.lit("/"), F.col("split"))
+    packed.write_chunks(rows, path, prefix, "int32")
     back = packed.read_chunks(spark, path)
-    return back.select(F.substring_index("path", "/", -1).alias("file"), "dtype", "chunk_size", ids_md5())
+    return back.select(F.substring_index("path", "/", -2).alias("file"), "dtype", "chunk_size", ids_md5())
 
 
 @query
@@ -419,8 +403,8 @@ def shard_files(spark, sf):
         "tokens",
     )
     path = scratch_path(spark, "shards")
-    packed.write_shards(shards, path, 2)
-    back = packed.read_shards(spark, path, 2)
+    packed.write_shards(shards, path, 4)
+    back = packed.read_shards(spark, path, 4)
     return back.select(F.substring_index("path", "/", -2).alias("file"), F.size("tokens").alias("n_tokens"), ids_md5())
 
 
@@ -801,7 +785,3 @@ def energy_csv(spark, sf):
     names = F.lit("team/project").alias("project_path")
     return energy.energy_summary_csv(report.select("*", names))
 
-
-if find_spec("public_tokenizers") is None:
-    for name in ("encode_tokenizer_file", "decode_tokenizer_file"):
-        QUERIES.pop(name)

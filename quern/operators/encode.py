@@ -1,28 +1,26 @@
 """Text to token ids and back.
 
-Two tokenizers are supported. A *tokenizer file* (``tokenizer.json`` or a SentencePiece
-``.model``) runs inside an Arrow UDF, loaded once per Python worker. A *vocabulary*, a
-DataFrame ``(token, id)``, maps blank-separated words and can be checked in plain SQL.
+A *vocabulary*, a DataFrame ``(token, id)``, maps blank-separated words and can be checked in
+plain SQL. A token that it lists more than once has its smallest id.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quern.functions.tokens import BOS_ID, EOS_ID, UNK_ID
-from quern.session import materialize
+from quern.functions.tokens import BOS_ID, END_OF_TURN_ID, EOS_ID, IM_START_ID, PAD_ID, UNK_ID
+from quern.operators.ordered import with_ordinal
+from quern.session import materialize, ship_package
 
-#: Ids below this one belong to the base vocabulary, ids from it on to added tokens.
-BASE_VOCAB = 32000
 #: The first ids are taken by the unknown, begin and end tokens.
 FIRST_WORD_ID = max(UNK_ID, BOS_ID, EOS_ID) + 1
+#: Ids of added tokens, which no word gets.
+ADDED_IDS = (END_OF_TURN_ID, PAD_ID, IM_START_ID)
 #: A vocabulary up to this many entries is broadcast; a larger one is joined by shuffle.
 BROADCAST_ENTRIES = 1_000_000
 #: Copies of a large vocabulary, so that one frequent token is spread over as many tasks.
@@ -34,17 +32,26 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
-def word_vocabulary(df: DataFrame, text: str = "text", size: int = BASE_VOCAB) -> DataFrame:
-    """Ids for the most frequent words, as ``(token, id)``, at most ``size`` ids in all.
+def word_vocabulary(df: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
+    """An id for every word, the most frequent first, as ``(token, id)``.
 
     Stands in for a vocabulary file, of which none is shipped. Counting combines before the
-    shuffle and the top words are taken by a bounded top-k, so the ranking window sees at
-    most ``size`` rows whatever the corpus.
+    shuffle. All words are ranked by ordered blocks, so no task sees more than one of them;
+    only if ``size`` asks for at most so many ids in all is the rest left to ``<unk>``.
     """
     counted = df.select(F.explode(words(F.col(text))).alias("token")).groupBy("token").count()
-    top = counted.orderBy(F.desc("count"), F.asc("token")).limit(size - FIRST_WORD_ID)
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("token")))
-    return top.select("token", (rank - 1 + FIRST_WORD_ID).cast("int").alias("id"))
+    least = counted.select("token", (-F.col("count")).alias("least"))
+    if size is not None:
+        least = least.orderBy("least", "token").limit(size - FIRST_WORD_ID)
+    ranked = with_ordinal(least, [], ["least", "token"], "rank")
+    number = F.col("rank") + FIRST_WORD_ID
+    passed = F.when(number >= END_OF_TURN_ID, len(ADDED_IDS)).otherwise(0)
+    return ranked.select("token", (number + passed).cast("int").alias("id"))
+
+
+def one_id(vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary with every token once."""
+    return vocabulary.groupBy("token").agg(F.min("id").cast("int").alias("id"))
 
 
 def bounded_rows(df: DataFrame, limit: int) -> list | None:
@@ -78,7 +85,8 @@ def encode_words(
     A vocabulary of checked size travels once to every worker and the text never leaves its
     partition. A larger vocabulary is joined (:func:`encode_words_by_join`).
     """
-    rows = bounded_rows(vocabulary.select("token", "id"), BROADCAST_ENTRIES)
+    ship_package(df.sparkSession)
+    rows = bounded_rows(one_id(vocabulary), BROADCAST_ENTRIES)
     if rows is None:
         return encode_words_by_join(df, vocabulary, text, tokens, unknown)
     shared = df.sparkSession.sparkContext.broadcast(([r.token for r in rows], [r.id for r in rows]))
@@ -102,7 +110,7 @@ def encode_words_by_join(
     """
     keyed = _pin(df.withColumn("__doc", F.monotonically_increasing_id()))
     spread = keyed.select("__doc", F.posexplode(words(F.col(text))).alias("__pos", "token"))
-    ids = lookup_ids(spread, vocabulary, broadcast_limit=0).select(
+    ids = lookup_ids(spread, one_id(vocabulary), broadcast_limit=0).select(
         "__doc", F.struct("__pos", F.coalesce("id", F.lit(unknown)).cast("int").alias("id")).alias("__t")
     )
     gathered = ids.groupBy("__doc").agg(F.sort_array(F.collect_list("__t"))["id"].alias(tokens))
@@ -119,7 +127,10 @@ def _pin(df: DataFrame) -> DataFrame:
 def lookup_ids(
     tokens: DataFrame, vocabulary: DataFrame, broadcast_limit: int = BROADCAST_ENTRIES
 ) -> DataFrame:
-    """Left join of ``token`` rows with ``(token, id)``; ``id`` is NULL where unknown."""
+    """Left join of ``token`` rows with ``(token, id)``; ``id`` is NULL where unknown.
+
+    ``vocabulary`` must list a token once (:func:`one_id`).
+    """
     vocab = vocabulary.select("token", "id")
     small = broadcast_limit > 0 and vocab.limit(broadcast_limit + 1).count() <= broadcast_limit
     if small:
@@ -132,7 +143,7 @@ def lookup_ids(
 def token_to_id(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """:func:`lookup_ids` that fails the job on the first unknown token."""
     message = F.concat(F.lit("token not in the vocabulary: "), F.col("token"))
-    found = lookup_ids(tokens, vocabulary)
+    found = lookup_ids(tokens, one_id(vocabulary))
     return found.withColumn("id", F.when(F.col("id").isNull(), F.raise_error(message)).otherwise(F.col("id")))
 
 
@@ -154,6 +165,9 @@ def decode_words(
         table = table.unionByName(
             specials.select("token", F.col("id").cast("int"), F.lit(True).alias("special"))
         )
+    ship_package(df.sparkSession)
+    # Of two tokens with the same id the special one counts, and then the first by name.
+    table = table.groupBy("id").agg(F.min_by(F.struct("token", "special"), F.struct(~F.col("special"), F.col("token"))).alias("t")).select("t.token", "id", "t.special")
     rows = bounded_rows(table, BROADCAST_ENTRIES)
     if rows is None:
         return _decode_by_join(df, table, tokens, text, skip_special_tokens)
@@ -197,102 +211,3 @@ def _decode_by_join(
     )
     joined = keyed.join(gathered, "__doc", "left").withColumn(text, F.coalesce(text, F.lit("")))
     return joined.select(*df.columns, text)
-
-
-# -- tokenizer files ---------------------------------------------------------------------
-
-
-class TokenizerFile:
-    """A ``tokenizer.json`` or SentencePiece ``.model`` shipped to the executors.
-
-    The driver distributes the file with ``addFile``; each Python worker loads it once.
-    """
-
-    _loaded: dict[str, object] = {}
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.name = path.rstrip("/").rsplit("/", 1)[-1]
-        spark.sparkContext.addFile(path)
-
-    def load(self):
-        if self.name not in self._loaded:
-            path = SparkFiles.get(self.name)
-            if self.name.endswith(".model"):
-                from sentencepiece import SentencePieceProcessor
-
-                self._loaded[self.name] = SentencePieceProcessor(model_file=path)
-            else:
-                # One thread per task: Spark already runs a task on every core.
-                os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-                from tokenizers import Tokenizer
-
-                self._loaded[self.name] = Tokenizer.from_file(path)
-        return self._loaded[self.name]
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        codec = self.load()
-        if self.name.endswith(".model"):
-            return codec.encode(texts, num_threads=1)
-        return [e.ids for e in codec.encode_batch(texts, add_special_tokens=False)]
-
-    def decode_batch(self, lists: list[list[int]], skip_special_tokens: bool) -> list[str]:
-        codec = self.load()
-        if self.name.endswith(".model"):
-            control = codec.IsControl
-            return [codec.decode([i for i in ids if not (skip_special_tokens and control(i))]) for ids in lists]
-        return codec.decode_batch(lists, skip_special_tokens=skip_special_tokens)
-
-    def token_to_id(self, token: str) -> int:
-        codec = self.load()
-        if self.name.endswith(".model"):
-            found = codec.piece_to_id(token)
-            found = None if found == codec.unk_id() and token != codec.id_to_piece(found) else found
-        else:
-            found = codec.token_to_id(token)
-        if found is None:
-            raise ValueError(f"token {token!r} is not in the vocabulary")
-        return found
-
-    def vocab_size(self) -> int:
-        codec = self.load()
-        return codec.vocab_size() if self.name.endswith(".model") else codec.get_vocab_size(with_added_tokens=False)
-
-    def check_pad(self, pad_id: int | None) -> str:
-        """The text of the pad token; fails when it is no id or cannot be decoded."""
-        if not isinstance(pad_id, int):
-            raise ValueError(f"pad token id {pad_id!r} is not an integer")
-        if not 0 <= pad_id < self._all_ids():
-            raise ValueError(f"pad token id {pad_id} cannot be decoded")
-        return self.decode_batch([[pad_id]], False)[0]
-
-    def _all_ids(self) -> int:
-        codec = self.load()
-        return codec.vocab_size() if self.name.endswith(".model") else codec.get_vocab_size()
-
-
-def encode_file(df: DataFrame, tokenizer: TokenizerFile, text: str = "text", tokens: str = "tokens") -> DataFrame:
-    """Add ``tokens``: the ids of ``text`` under a tokenizer file, without special tokens."""
-
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array(tokenizer.encode_batch(texts.to_pylist()), pa.list_(pa.int32()))
-
-    return df.withColumn(tokens, encode(F.coalesce(F.col(text), F.lit(""))))
-
-
-def decode_file(
-    df: DataFrame,
-    tokenizer: TokenizerFile,
-    tokens: str = "tokens",
-    text: str = "text",
-    skip_special_tokens: bool = True,
-) -> DataFrame:
-    """Add ``text``: ``tokens`` decoded by a tokenizer file."""
-
-    @F.arrow_udf(T.StringType())
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            yield pa.array(tokenizer.decode_batch(lists.to_pylist(), skip_special_tokens), pa.string())
-
-    return df.withColumn(text, decode(F.col(tokens)))

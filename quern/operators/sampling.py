@@ -13,7 +13,7 @@ from quern.operators.ordered import seeded_block, seeded_key, whole_div, with_or
 
 #: Hash draws are integers below this bound.
 DRAW_RANGE = 1 << 32
-#: Ratios are exact fractions up to this denominator.
+#: Ratios are exact fractions; a larger denominator is refused.
 MAX_DENOMINATOR = 10**9
 
 
@@ -23,7 +23,7 @@ def limit_files(files: DataFrame, k: int, path: str = "path") -> DataFrame:
 
 
 def ratio_split(
-    df: DataFrame, group: str | Sequence[str], order: str, ratio: float | str, name: str = "split"
+    df: DataFrame, group: str | Sequence[str], order: str | Sequence[str], ratio: float | str, name: str = "split"
 ) -> DataFrame:
     """Send each document to 'train' or 'validation' so that every prefix keeps the ratio.
 
@@ -32,9 +32,11 @@ def ratio_split(
     number of train documents among the first d is ceil(p·d/q), so document d is validation
     exactly when that count does not grow. Integer arithmetic throughout.
     """
-    share = Fraction(str(ratio)).limit_denominator(MAX_DENOMINATOR)
+    share = Fraction(str(ratio))
     if not 0 <= share <= 1:
         raise ValueError("ratio must lie between 0 and 1")
+    if share.denominator > MAX_DENOMINATOR:
+        raise ValueError(f"ratio {ratio} is no fraction with a denominator of at most {MAX_DENOMINATOR}")
     if share == 1:
         return df.withColumn(name, F.lit("train"))
     p, q = share.numerator, share.denominator

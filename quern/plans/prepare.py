@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from quern.functions.text import drop_blank
 from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, require_specials, with_specials
-from quern.operators.encode import TokenizerFile, encode_file, encode_words
-from quern.operators.ordered import ordered_sums
+from quern.operators.encode import encode_words
+from quern.operators.ordered import ordered_sums, whole_div
 from quern.operators.packing import cut_pieces, join_pieces, pack_sequences, padded, with_batches
 from quern.operators.sampling import ratio_split
 from quern.session import materialize
 
-#: A tokenizer: a file, a ``(token, id)`` vocabulary, or a function adding ``tokens`` to ``text``.
-Tokenizer = TokenizerFile | DataFrame | Callable[[DataFrame], DataFrame]
+#: A tokenizer: a ``(token, id)`` vocabulary, or a function adding ``tokens`` to ``text``.
+Tokenizer = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 def tokenize(
@@ -26,12 +26,7 @@ def tokenize(
     max_length: int = -1,
 ) -> DataFrame:
     """Replace ``text`` by ``tokens`` with the wanted special tokens around them."""
-    if isinstance(tokenizer, TokenizerFile):
-        encoded = encode_file(docs, tokenizer)
-    elif isinstance(tokenizer, DataFrame):
-        encoded = encode_words(docs, tokenizer)
-    else:
-        encoded = tokenizer(docs)
+    encoded = encode_words(docs, tokenizer) if isinstance(tokenizer, DataFrame) else tokenizer(docs)
     return encoded.withColumn("tokens", with_specials(F.col("tokens"), bos, eos, max_length)).drop("text")
 
 
@@ -70,14 +65,18 @@ def prepare_chunks(
     source: str = "source",
     order: str = "row_index",
     splitter: Callable[[DataFrame], DataFrame] | None = None,
+    split_within: str | None = None,
 ) -> DataFrame:
-    """Documents to padded chunks per split and source: ``(split, source, chunk_no, tokens, n_real)``.
+    """Documents to padded chunks: ``(split, source, chunk_no, counter, tokens, n_real)``.
 
-    ``splitter`` may replace the ratio split; it adds the column ``split`` to the documents.
+    ``chunk_no`` counts within a split and source, ``counter`` within a split over all sources in
+    order, so that the chunks of a split can be files of one prefix. The ratio split counts over
+    all documents, by source and order, or starts anew in each group of ``split_within``.
+    ``splitter`` may replace it; it adds the column ``split`` to the documents.
 
     Text is tokenized once, into a table. Splits and offsets are worked out on its narrow
-    columns, splits kept as a narrow table too, and joined back by row, so tokens are shuffled twice: to meet their offset, by a
-    key that spreads a huge source evenly, and to be assembled.
+    columns, splits kept as a narrow table too, and joined back by row, so tokens are shuffled
+    twice: to meet their offset, by a key that spreads a huge source evenly, and to be assembled.
     """
     narrow = docs.select(source, order, "text")
     ready = tokenize(splitter(narrow) if splitter else narrow, tokenizer, bos, eos)
@@ -87,9 +86,17 @@ def prepare_chunks(
     tokens = materialize(numbered, "tokens")
     rows = tokens.drop("tokens")
     # The split is itself an ordered scan; the next one would otherwise repeat it per branch.
-    rows = rows if splitter else materialize(ratio_split(rows, source, order, train_ratio), "split")
+    if not splitter:
+        group, along = ([split_within], order) if split_within else ([], [source, order])
+        rows = materialize(ratio_split(rows, group, along, train_ratio), "split")
     placed = ordered_sums(rows, ["split", source], order, {"start": F.col("__n")})
     whole = tokens.select("__row", "tokens").join(placed, "__row")
     keys = ["split", source]
     chunks = join_pieces(cut_pieces(whole, keys, chunk_size, "chunk_no"), keys, "chunk_no")
-    return chunks.withColumn("tokens", padded(F.col("tokens"), chunk_size, pad))
+    totals = rows.groupBy(*keys).agg(F.sum("__n").alias("n"))
+    sizes = totals.withColumn("n", whole_div(F.col("n") + (chunk_size - 1), chunk_size))
+    bases = ordered_sums(sizes, "split", source, {"base": F.col("n")}).drop("n")
+    bases = bases.select(F.col("split").alias("__split"), F.col(source).alias("__source"), "base")
+    of_source = chunks["split"].eqNullSafe(bases["__split"]) & chunks[source].eqNullSafe(bases["__source"])
+    numbered = chunks.join(bases, of_source).withColumn("counter", F.col("base") + F.col("chunk_no"))
+    return numbered.drop("base", "__split", "__source").withColumn("tokens", padded(F.col("tokens"), chunk_size, pad))

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import struct
 import uuid
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quern.functions.tokens import TYPE_CODES
+from quern.session import ship_package
 
 # File format.
 MAGIC = b"LITPKDS"
@@ -55,8 +58,9 @@ class PackedTokens(DataSource):
 
     Rows of one file must be consecutive within a task (:func:`write_chunks` and
     :func:`write_shards` see to that). Options: ``dtype``; ``header`` ("true" for chunk
-    files). Every file is written under a temporary name and renamed when complete, so a
-    retried or speculative task replaces it by identical content.
+    files, which have one row each). Tasks write into a folder of their own attempt; files get
+    their names when the job commits, so nothing of a failed job or of a lost attempt is ever
+    seen. A name that two rows or tasks claim, or that is already taken, fails the job.
     """
 
     @classmethod
@@ -70,46 +74,72 @@ class PackedTokens(DataSource):
         return PackedWriter(self.options)
 
 
+@dataclass
+class WrittenFiles(WriterCommitMessage):
+    """Names of an attempt's files, by the path that each has until the commit."""
+
+    files: list[tuple[str, str]]
+
+
 class PackedWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.root = options["path"].rstrip("/")
         self.dtype = options.get("dtype", "uint16")
         self.with_header = options.get("header", "true").lower() == "true"
+        self.staging = f"_staging-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, root = _filesystem(self.root)
-        current, stream, temp = None, None, None
-
-        def close() -> None:
-            if stream is not None:
-                stream.close()
-                fs.move(temp, f"{root}/{current}")
-
+        attempt = f"{root}/{self.staging}/{uuid.uuid4().hex}"
+        fs.create_dir(attempt, recursive=True)
+        current, stream, written = None, None, {}
         for batch in iterator:
             files = batch.column("file").to_pylist()
             lists = batch.column("tokens")
             for i, name in enumerate(files):
                 ids = lists[i].values.to_numpy(zero_copy_only=False)
-                if name != current:
-                    close()
-                    folder = f"{root}/{name}".rsplit("/", 1)[0]
-                    fs.create_dir(folder, recursive=True)
-                    current, temp = name, f"{folder}/.{uuid.uuid4().hex}.tmp"
-                    stream = fs.open_output_stream(temp)
+                if name != current or self.with_header:
+                    if stream is not None:
+                        stream.close()
+                    if name in written:
+                        raise ValueError(f"two rows for the file {name}")
+                    current, written[name] = name, f"{attempt}/{len(written)}"
+                    stream = fs.open_output_stream(written[name])
                     if self.with_header:
                         stream.write(header(self.dtype, len(ids)))
                 stream.write(narrow(ids, self.dtype))
-        close()
-        return WriterCommitMessage()
+        if stream is not None:
+            stream.close()
+        return WrittenFiles(list(written.items()))
 
     def commit(self, messages) -> None:
+        from pyarrow import fs as pafs
+
         fs, root = _filesystem(self.root)
-        fs.create_dir(root, recursive=True)
+        written = [f for m in messages if m is not None for f in m.files]
+        names = [name for name, _ in written]
+        twice = {n for n, k in Counter(names).items() if k > 1}
+        taken = [i.path for i in fs.get_file_info([f"{root}/{n}" for n in names]) if i.type != pafs.FileType.NotFound]
+        if twice or taken:
+            self.abort(messages)
+            raise ValueError(f"names claimed twice: {sorted(twice)[:5]}, names already taken: {sorted(taken)[:5]}")
+        for folder in {f"{root}/{n}".rsplit("/", 1)[0] for n in names} | {root}:
+            fs.create_dir(folder, recursive=True)
+        for name, place in written:
+            fs.move(place, f"{root}/{name}")
+        self._clear(fs, root)
         with fs.open_output_stream(f"{root}/_SUCCESS"):
             pass
 
     def abort(self, messages) -> None:
-        """Files already renamed are complete; a rerun replaces them."""
+        """Nothing has been published; the attempts' files go."""
+        self._clear(*_filesystem(self.root))
+
+    def _clear(self, fs, root: str) -> None:
+        from pyarrow import fs as pafs
+
+        if fs.get_file_info(f"{root}/{self.staging}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/{self.staging}")
 
 
 def _filesystem(uri: str):
@@ -135,8 +165,11 @@ def write_chunks(
 ) -> None:
     """Write one chunk file per row, named ``{prefix}_{counter:010d}.bin``.
 
-    ``prefix`` may be a column, such as split and source, within which ``number`` counts.
+    ``prefix`` may be a column, such as the split and a slash, within which ``number`` counts;
+    ``prepare_chunks`` counts per split in ``counter`` and per source in ``chunk_no``. Rows that
+    would share a name fail the job, and so do names that the folder already has.
     """
+    ship_package(chunks.sparkSession)
     chunks.sparkSession.dataSource.register(PackedTokens)
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
     name = F.format_string("%s_%010d.bin", prefix, F.col(number).cast("long"))
@@ -159,6 +192,7 @@ def write_shards(
     A shard is one input file; ``part`` splits it after a bounded number of batches, so a huge
     input file becomes many files of like size written by many tasks.
     """
+    ship_package(sequences.sparkSession)
     sequences.sparkSession.dataSource.register(PackedTokens)
     dtype = {2: "uint16", 4: "uint32"}[token_size]
     folder = F.when(F.col(subset) == "", F.lit("")).otherwise(F.concat(F.col(subset), F.lit("/")))

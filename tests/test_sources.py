@@ -175,6 +175,41 @@ def test_chunk_files_round_trip(spark, tmp_path):
     assert [(r.dtype, r.chunk_size, r.tokens) for r in back] == [("uint16", 3, [1, 2, 65535]), ("uint16", 3, [4, 5, 6])]
 
 
+def test_names_are_never_shared(spark, tmp_path):
+    """Two rows of a name, in one task or in two, and a name that is taken: nothing is published."""
+    twice = spark.createDataFrame([(0, [1, 2]), (0, [3, 4])], "counter long, tokens array<int>")
+    for n, df in enumerate((twice.coalesce(1), twice.repartition(2))):
+        with pytest.raises(Exception, match="two rows|claimed twice"):
+            packed.write_chunks(df, str(tmp_path / str(n)), "p", "uint16")
+        assert not [p for p in (tmp_path / str(n)).rglob("*") if p.is_file()]
+    packed.write_chunks(twice.limit(1), str(tmp_path / "o"), "p", "uint16")
+    with pytest.raises(Exception, match="already taken"):
+        packed.write_chunks(twice.limit(1), str(tmp_path / "o"), "p", "uint16")
+    assert sorted(p.name for p in (tmp_path / "o").iterdir()) == ["_SUCCESS", "p_0000000000.bin"]
+
+
+def test_a_failing_task_leaves_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(i, [i, 70000 if i == 7 else 1]) for i in range(8)], "counter long, tokens array<int>").repartition(4)
+    with pytest.raises(Exception, match="outside uint16"):
+        packed.write_chunks(df, str(tmp_path / "o"), "p", "uint16")
+    # A task that still runs while the job is aborted may leave its attempt, in a hidden folder.
+    assert not [p for p in (tmp_path / "o").rglob("*") if p.is_file() and "_staging" not in str(p)]
+    assert packed.read_chunks(spark, str(tmp_path / "o")).collect() == []
+
+
+def test_chunks_of_all_sources_under_one_prefix(spark, tmp_path):
+    from quern.plans.prepare import prepare_chunks
+
+    rows = [(f"s{i % 3}", i, "a b c " * (i + 1)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "source string, row_index long, text string")
+    vocab = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], "token string, id int")
+    chunks = prepare_chunks(docs, vocab, 14, train_ratio="0.75").cache()
+    packed.write_chunks(chunks, str(tmp_path / "o"), F.concat("split", F.lit("/"), "split"), "uint16")
+    back = packed.read_chunks(spark, str(tmp_path / "o"))
+    assert back.count() == chunks.count()
+    assert sorted(r.tokens for r in back.collect()) == sorted(r.tokens for r in chunks.collect())
+
+
 def test_bad_chunk_files_are_refused(spark, tmp_path):
     put(tmp_path, "a.bin", b"NOTPACK" + bytes(17))
     with pytest.raises(Exception, match="not a packed token file"):

@@ -1,5 +1,3 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +24,22 @@ WANT = {0: [3, 4, 3], 1: [], 2: [4, 5], 3: [0, 0]}
 def test_vocabulary_ranks_by_count_then_word(spark, docs):
     got = {r.token: r.id for r in encode.word_vocabulary(docs, size=6).collect()}
     assert got == {"a": 3, "b": 4, "c": 5}
+    every = {r.token: r.id for r in encode.word_vocabulary(docs).collect()}
+    assert every == {"a": 3, "b": 4, "c": 5, "d\nd": 6, "e": 7}
+
+
+def test_words_come_back_whole(spark, docs):
+    vocab = encode.word_vocabulary(docs)
+    ids = encode.encode_words(docs, vocab).drop("text")
+    got = {r.row_index: r.text for r in encode.decode_words(ids, vocab).collect()}
+    assert got == {i: " ".join(t for t in text.split(" ") if t) for i, text in enumerate(TEXTS)}
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_a_token_listed_twice_has_its_smallest_id(spark, docs, monkeypatch, limit):
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", limit)
+    twice = spark.createDataFrame([("a", 6), ("b", 4), ("a", 3), ("c", 5)], "token string, id int")
+    assert {r.row_index: r.tokens for r in encode.encode_words(docs, twice).collect()} == WANT
 
 
 def test_both_encoders_agree(spark, docs, vocab):
@@ -95,37 +109,9 @@ def test_width_and_required_specials():
         require_specials(1, None, True, True)
 
 
-@pytest.fixture
-def tokenizer_json(tmp_path):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    t = Tokenizer(models.WordLevel({"<unk>": 0, "<s>": 1, "</s>": 2, "a": 3, "b": 4, "c": 5}, unk_token="<unk>"))
-    t.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-    t.add_special_tokens(["<s>", "</s>"])
-    path = tmp_path / "tokenizer.json"
-    t.save(str(path))
-    assert json.loads(path.read_text())["model"]["type"] == "WordLevel"
-    return str(path)
-
-
-def test_tokenizer_file(spark, docs, tokenizer_json):
-    tokenizer = encode.TokenizerFile(spark, tokenizer_json)
-    got = {r.row_index: r.tokens for r in encode.encode_file(docs, tokenizer).collect()}
-    assert got == {0: [3, 4, 3], 1: [], 2: [4, 5], 3: [0, 0, 0]}
-    wrapped = encode.encode_file(docs, tokenizer).withColumn("tokens", with_specials(F.col("tokens"), 1, 2))
-    assert encode.decode_file(wrapped, tokenizer).orderBy("row_index").first().text == "a b a"
-    assert tokenizer.token_to_id("b") == 4 and tokenizer.vocab_size() == 6
-    assert tokenizer.check_pad(2) == "</s>"
-    for bad in (None, 99, "2"):
-        with pytest.raises(ValueError):
-            tokenizer.check_pad(bad)
-    with pytest.raises(ValueError):
-        tokenizer.token_to_id("zz")
-
-
-def test_pipelines_take_every_kind_of_tokenizer(spark, docs, vocab, tokenizer_json):
+def test_pipelines_take_every_kind_of_tokenizer(spark, docs, vocab):
     length = lambda d: d.withColumn("tokens", F.transform(F.split("text", ""), lambda c: F.ascii(c)))
-    for tokenizer in (vocab, encode.TokenizerFile(spark, tokenizer_json), length):
+    for tokenizer in (vocab, length):
         tokens = tokenize(docs, tokenizer).collect()
         total = sum(len(r.tokens) for r in tokens)
         chunks = prepare_chunks(docs, tokenizer, 4).collect()
@@ -140,6 +126,17 @@ def test_pipelines_take_every_kind_of_tokenizer(spark, docs, vocab, tokenizer_js
     assert [(r.batch_no, r.tokens) for r in seqs] == [(0, [1, 3, 4, 3, 2]), (0, [1, 4, 5, 2, 2]), (1, [1, 0, 0, 2, 2])]
 
 
+def test_split_counts_over_all_documents(spark, vocab):
+    """Many files of one document each still give a tenth to validation."""
+    many = spark.createDataFrame([(f"f{i:03d}", 0, "a b") for i in range(100)], "source string, row_index long, text string")
+    got = prepare_chunks(many, vocab, 4, train_ratio="0.9").select("split", "source", "counter").collect()
+    assert sum(r.split == "train" for r in got) == 90
+    for split in ("train", "validation"):
+        assert [r.counter for r in sorted(got, key=lambda r: r.source) if r.split == split] == list(range(sum(r.split == split for r in got)))
+    alone = prepare_chunks(many, vocab, 4, train_ratio="0.9", split_within="source").select("split").distinct().collect()
+    assert [r.split for r in alone] == ["train"]
+
+
 def test_sequences_skip_blank_documents(spark, docs, vocab):
     seqs = prepare_sequences(docs, vocab, seq_length=3, batch_size=10).orderBy("seq_no").collect()
     # 1 3 4 3 2 | 1 4 5 2 | 1 0 0 2: thirteen tokens, the blank document is gone.
@@ -180,12 +177,12 @@ def test_quarantine_and_metadata(spark):
 
 
 def test_stateless_operators_accept_streams(spark, tmp_path, vocab):
-    from quern import streaming
+    from quern.functions.text import drop_blank, with_subset
 
     spark.createDataFrame([("/c/train/x", "a b"), ("/c/y", "  ")], "path string, text string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("path string, text string").parquet(str(tmp_path / "in"))
-    out = streaming.encode_words(streaming.with_subset(streaming.drop_blank(stream)), vocab)
-    out = out.withColumn("tokens", streaming.with_specials(F.col("tokens"), 1, 2))
+    out = encode.encode_words(with_subset(drop_blank(stream)), vocab)
+    out = out.withColumn("tokens", with_specials(F.col("tokens"), 1, 2))
     run = out.writeStream.format("memory").queryName("packed_stream").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     run.awaitTermination(120)
     assert [(r.subset, r.tokens) for r in spark.table("packed_stream").collect()] == [("train", [1, 3, 4, 2])]
