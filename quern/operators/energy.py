@@ -65,6 +65,46 @@ def with_power_kw(df: DataFrame, columns: Sequence[str], name: str = "power_kw")
     return df.withColumn(name, sum(watts[1:], watts[0]) / 1000)
 
 
+def run_profiles(df: DataFrame, run: str = "run_id") -> DataFrame:
+    """How each run was logged: ``(run, pattern, gpus_per_node)``.
+
+    A run has the first naming pattern under which any of its samples has a value, and as many
+    devices as columns of that pattern hold one; ``pattern`` is NULL and the count 0 for a run
+    without any. One aggregation, combined before the shuffle. Fails if the schema has no power
+    column at all.
+    """
+    detect_power_columns(df.schema)
+    patterns = _patterns(df.schema)
+    seen = {c: F.max(F.when(_no_nan(df, c).isNotNull(), 1).otherwise(0)) for cs in patterns.values() for c in cs}
+    flat = df.groupBy(run).agg(*[value.alias(f"__seen_{i}") for i, value in enumerate(seen.values())])
+    at = {c: F.col(f"__seen_{i}") for i, c in enumerate(seen)}
+    counts = {k: sum((at[c] for c in cs[1:]), at[cs[0]]) for k, cs in patterns.items()}
+    first = F.coalesce(*[F.when(n > 0, F.lit(k)) for k, n in counts.items()])
+    devices = F.coalesce(*[F.when(n > 0, n) for n in counts.values()], F.lit(0))
+    return flat.select(run, first.alias("pattern"), devices.cast("int").alias("gpus_per_node"))
+
+
+def _patterns(schema: T.StructType) -> dict[int, list[str]]:
+    names = set(schema.fieldNames())
+    found = {k: [c for c in (p.format(i) for i in range(MAX_DEVICES)) if c in names] for k, p in enumerate(POWER_PATTERNS)}
+    return {k: cs for k, cs in found.items() if cs}
+
+
+def with_run_power(df: DataFrame, profiles: DataFrame, run: str = "run_id", name: str = "power_kw") -> DataFrame:
+    """Sum each sample's watts over the columns of its run's own pattern, in kW.
+
+    NULL where the run has no pattern. ``profiles`` has one row per run (:func:`run_profiles`).
+    """
+    own = profiles.select(F.col(run).alias("__run"), "pattern")
+    joined = df.join(own, df[run].eqNullSafe(own["__run"]), "left")
+    watts = {
+        k: sum(F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(0.0)), F.lit(0.0)) for c in cs)
+        for k, cs in _patterns(df.schema).items()
+    }
+    value = F.coalesce(*[F.when(F.col("pattern") == k, w / 1000) for k, w in watts.items()])
+    return joined.withColumn(name, value).drop("__run", "pattern")
+
+
 def elapsed_hours(
     df: DataFrame,
     run: str = "run_id",
@@ -83,7 +123,9 @@ def elapsed_hours(
     )
     earliest = Window.partitionBy(run).orderBy("__at")
     first = per_block.select(run, "__block", F.first("__first").over(earliest).alias("__first"))
-    out = cut.join(first.hint("merge"), [run, "__block"])
+    # NULL is a run like others.
+    known = first.select(F.col(run).alias("__run"), F.col("__block").alias("__of"), "__first")
+    out = cut.join(known.hint("merge"), cut[run].eqNullSafe(known["__run"]) & (F.col("__block") == F.col("__of")))
     hours = (seconds - F.col("__first")) / 3600
     return out.select(*[F.col(f"`{c}`") for c in df.columns], hours.alias("runtime_hours"))
 
@@ -101,16 +143,22 @@ def with_runtime(
 ) -> DataFrame:
     """Usable samples as ``(run, order, power_kw, runtime_hours)``.
 
-    Hours come from ``_runtime`` seconds, else ``_timestamp`` since the first sample, else one
-    minute per sample. Samples without power or time, or with next to no power, are dropped.
+    Each run has its own clock: ``_runtime`` seconds if any of its samples has them, else
+    ``_timestamp`` since the first sample, else one minute per sample. Samples without power or
+    time, or with next to no power, are dropped.
     """
-    if "_runtime" in df.columns:
-        timed = df.withColumn("runtime_hours", F.col("_runtime").cast("double") / 3600)
-    elif "_timestamp" in df.columns:
-        timed = elapsed_hours(df.select(run, order, "power_kw", "_timestamp"), run, order, blocked=blocked)
-    else:
-        timed = _positions(df.select(run, order, "power_kw"), run, order, "__i", None, blocked)
-        timed = timed.withColumn("runtime_hours", F.col("__i") / 60)
+    clocks = [c for c in ("_runtime", "_timestamp") if c in df.columns]
+    timed = df.select(run, order, "power_kw", *clocks)
+    if "_timestamp" in clocks:
+        timed = elapsed_hours(timed, run, order, blocked=blocked).withColumnRenamed("runtime_hours", "__elapsed")
+    timed = _positions(timed, run, order, "__i", None, blocked)
+    hours = {"_runtime": lambda: F.col("_runtime").cast("double") / 3600, "_timestamp": lambda: F.col("__elapsed")}
+    has = df.groupBy(F.col(run).alias("__run")).agg(*[F.max(_no_nan(df, c).isNotNull()).alias(f"__has{c}") for c in clocks]) if clocks else None
+    value = F.col("__i") / 60
+    if has is not None:
+        timed = timed.join(has, timed[run].eqNullSafe(has["__run"]))
+        value = F.coalesce(*[F.when(F.col(f"__has{c}"), F.struct(hours[c]().alias("h"))) for c in clocks], F.struct(value.alias("h")))["h"]
+    timed = timed.withColumn("runtime_hours", value)
     usable = timed.select(run, order, "power_kw", "runtime_hours")
     for name in ("power_kw", "runtime_hours"):
         usable = usable.where(F.col(name).isNotNull() & ~F.isnan(name))
@@ -406,7 +454,7 @@ def run_duration(kept: DataFrame, run: str = "run_id") -> DataFrame:
     )
 
 
-def run_measures(kept: DataFrame, gpus_per_node: int, run: str = "run_id") -> DataFrame:
+def run_measures(kept: DataFrame, run: str = "run_id") -> DataFrame:
     """Energy, duration and power statistics of each run in one aggregation."""
     area = trapezoid(F.col("power_kw"), F.col("prev_kw"), F.col("runtime_hours"), F.col("prev_hours"))
     return kept.groupBy(run).agg(
@@ -414,8 +462,7 @@ def run_measures(kept: DataFrame, gpus_per_node: int, run: str = "run_id") -> Da
         (F.max("runtime_hours") - F.min("runtime_hours")).alias("duration_hours"),
         (F.avg("power_kw") * 1000).alias("avg_node_w"),
         (F.max("power_kw") * 1000).alias("peak_node_w"),
-        (F.avg("power_kw") * 1000 / gpus_per_node).alias("avg_gpu_w"),
-    ).withColumn("gpus_per_node", F.lit(gpus_per_node))
+    )
 
 
 def latest_step(main: DataFrame, system: DataFrame | None = None, run: str = "run_id") -> DataFrame:
@@ -445,8 +492,9 @@ def _no_nan(df: DataFrame, name: str) -> Column:
 
 
 def _first_key(config: Column, keys: Sequence[str]) -> Column:
-    values = [F.try_element_at(config, F.lit(k)).try_cast("double").cast("bigint") for k in keys]
-    return F.coalesce(*values)
+    """The number under the first key that is present; NULL if what stands there is none."""
+    first = F.coalesce(*[F.try_element_at(config, F.lit(k)) for k in keys])
+    return first.try_cast("double").cast("bigint")
 
 
 def resolve_params(config: Column, overrides: Mapping[str, int | None] | None = None) -> list[Column]:

@@ -210,3 +210,42 @@ def test_summary_csv(spark):
     assert list(row)[6:] == ["N/A", "3.00", "4.00", "10.0", "N/A", "N/A", "N/A", "N/A"]
     text = spark.createDataFrame([(999.5,), (1500.0,), (None,)], "k double").select(energy.format_energy(F.col("k")).alias("t"))
     assert [r.t for r in text.collect()] == ["999.50 kWh", "1.50 MWh (1500 kWh)", None]
+
+
+def test_every_run_by_its_own_names_and_clock(spark):
+    """Three naming patterns, one to three devices, three clocks, and a run without samples, in one table."""
+    rows = []
+    for i in range(4):
+        rows += [
+            ("a", i, 1000.0, 2000.0, None, None, None, None, 60.0 * i, None),
+            ("b", i, None, None, 500.0, None, None, None, None, 1000.0 + 120.0 * i),
+            ("c", i, None, None, None, 100.0, 200.0, 300.0, None, None),
+            ("d", i, None, None, None, None, None, None, 1.0 * i, None),
+            (None, i, 1000.0, None, None, None, None, None, 60.0 * i, None),
+        ]
+    schema = (
+        "run_id string, sample_index long, `system.gpu.0.powerWatts` double, `system.gpu.1.powerWatts` double, `gpu.0.power` double, "
+        "`gpu_0_power_watts` double, `gpu_1_power_watts` double, `gpu_2_power_watts` double, _runtime double, _timestamp double"
+    )
+    raw = spark.createDataFrame(rows, schema).repartition(3)
+    got = {r.run_id: r for r in energy_report(raw).collect()}
+    assert set(got) == {"a", "b", "c", "d", None}
+    want = {"a": (2, 3.0 * 3 / 60), "b": (1, 0.5 * 6 / 60), "c": (3, 0.6 * 3 / 60), None: (1, 1.0 * 3 / 60)}
+    for run, (gpus, kwh) in want.items():
+        assert got[run].status == "ok" and got[run].gpus_per_node == gpus
+        assert abs(got[run].total_energy_kwh - kwh) < 1e-9
+    assert abs(got["c"].avg_gpu_w - 200) < 1e-9
+    assert got["d"].status == "no usable samples" and got["d"].gpus_per_node == 0 and got["d"].total_energy_kwh is None
+
+
+def test_both_plans_keep_a_null_run(spark):
+    rows = [(r, i, 1.0, None if r is None else 60.0 * i, 5.0 + i) for r in ("x", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "run_id string, sample_index long, power_kw double, _runtime double, _timestamp double")
+    a, b = (sorted((tuple(r) for r in energy.with_runtime(df, blocked=x).collect()), key=str) for x in (False, True))
+    assert a == b and len(a) == 10
+
+
+def test_the_first_key_present_decides(spark):
+    df = spark.createDataFrame([({"seq_length": "many", "seq_len": "7"},), ({"seq_len": "7"},)], "config map<string,string>")
+    got = df.select(energy.resolve_params(F.col("config"))[0]).collect()
+    assert [r.seq_length for r in got] == [None, 7]
