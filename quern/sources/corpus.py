@@ -206,17 +206,19 @@ def read_corpus(
     return good, bad.select("source", "stage", "excerpt")
 
 
-def read_any(spark: SparkSession, files: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
-    """All documents under ``root`` in whatever known formats ``files`` lists.
+def read_any(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents of exactly the files that ``files`` (``path``, ``ext``) lists.
 
-    Formats without a reader are quarantined file by file.
+    A selection of files, such as the first of them or those that are not done, is thus all that is
+    read. Spark's readers take the names from the driver, which lists them anyway. Formats without
+    a reader are quarantined file by file.
     """
-    present = {r.ext for r in files.select("ext").distinct().collect()}
-    readable = [e for e in ("txt", "json", "parquet", "jsonl", "jsonl.zst") if e in present]
-    if "zst" in present and "jsonl.zst" not in readable:
-        readable.append("zst")
-    parts = [read_corpus(spark, root, e) for e in readable]
-    unread = files.where(~F.col("ext").isin([*readable, "zst"])).select(
+    by_ext: dict[str, list[str]] = {}
+    for r in files.select("path", "ext").distinct().collect():
+        by_ext.setdefault(r.ext, []).append(r.path)
+    readable = [e for e in ("txt", "json", "parquet", "jsonl", "jsonl.zst", "zst") if e in by_ext]
+    parts = [read_corpus(spark, sorted(by_ext[e]), e) for e in readable]
+    unread = files.where(~F.col("ext").isin(readable)).select(
         F.col("path").alias("source"), F.lit("unsupported").alias("stage"), F.col("ext").alias("excerpt")
     )
     docs, bad = None, unread

@@ -86,11 +86,23 @@ def test_readers(spark, tree):
 
 def test_everything_at_once(spark, tree):
     listed = corpus.list_corpus(spark, str(tree))
-    docs, bad = corpus.read_any(spark, listed, str(tree))
+    docs, bad = corpus.read_any(spark, listed)
     assert {"one", "plain", "c1", "x", "z"} <= set(texts(docs))
     assert [r.excerpt for r in bad.where("stage = 'unsupported'").collect()] == ["csv"]
 
 
+def test_only_the_listed_files_are_read(spark, tmp_path):
+    for name in ("a.txt", "b c.txt", "train/d.txt"):
+        put(tmp_path, name, f"text of {name}")
+    put(tmp_path, "e.jsonl", json.dumps({"text": "text of e"}))
+    listed = corpus._list_files(spark, str(tmp_path), "*.{txt,jsonl}")
+    for wanted in ({"a.txt"}, {"b c.txt", "e.jsonl"}, {"d.txt"}):
+        chosen = listed.filter(F.substring_index(F.regexp_replace("path", "%20", " "), "/", -1).isin(list(wanted)))
+        docs, bad = corpus.read_any(spark, chosen)
+        assert {r.text.split("/")[-1].split(" of ")[-1].split(".")[0] for r in docs.collect()} == {w.split(".")[0] for w in wanted}
+        assert bad.collect() == []
+
+
 def test_line_keys_follow_the_file_across_splits(spark, tmp_path):
     put(tmp_path, "big.txt", "".join(f"line {i:06d} {'x' * 60}\n" for i in range(20_000)))
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
