@@ -29,12 +29,12 @@ from quern.session import ship_package
 CONTRACT = """
 WITH RECURSIVE
 rows(round, piece, pos, token) AS (
-    SELECT 0, piece, pos, token FROM start
+    SELECT 0::INTEGER, piece, pos, token FROM start
     UNION ALL
-    SELECT round + 1, piece, pos, CASE WHEN pos = best & 4294967295 THEN best >> 32 ELSE token END
+    SELECT round + 1, piece, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE token END
     FROM (
         SELECT p.round, p.piece, p.pos, p.token, p.before,
-               min((m.merged << 32) + p.pos) OVER (PARTITION BY p.piece) AS best
+               min((m.merged::BIGINT << 32) + p.pos) OVER (PARTITION BY p.piece) AS best
         FROM (
             SELECT *, lead(token) OVER w AS next, lag(pos, 1, -1) OVER w AS before
             FROM rows WINDOW w AS (PARTITION BY piece ORDER BY pos)
@@ -62,10 +62,10 @@ class BpeSetup:
     Remembering is only to save work: a worker that forgets encodes a piece again.
     """
 
-    query_bytes: int = 1 << 19
-    batch_chars: int = 1 << 22
+    query_bytes: int = 1 << 18
+    batch_chars: int = 1 << 20
     remembered: int = 600_000
-    memory: str = "300MB"
+    memory: str = "160MB"
 
 
 class Remembered(dict):
@@ -117,8 +117,8 @@ class Vocabulary:
             for k in range(1, len(t))
             if t[:k] in self._id and t[k:] in self._id
         ]
-        merges = pa.table(list(map(pa.array, zip(*pairs, strict=True))) if pairs else [pa.array([], pa.int64())] * 3, ["first", "second", "merged"])
-        tokens = pa.table({"token": pa.array([r for _, r in self.ranks], pa.int64()), "bytes": pa.array([t for t, _ in self.ranks], pa.binary())})
+        merges = pa.table([pa.array([p[i] for p in pairs], pa.int32()) for i in range(3)], ["first", "second", "merged"])
+        tokens = pa.table({"token": pa.array([r for _, r in self.ranks], pa.int32()), "bytes": pa.array([t for t, _ in self.ranks], pa.binary())})
         for name, data in (("merges", merges), ("tokens", tokens)):
             self._db.register("incoming", data)
             self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
@@ -130,11 +130,11 @@ class Vocabulary:
         lengths = np.array([len(b) for b in raw])
         ends = np.cumsum(lengths)
         flat = np.frombuffer(b"".join(raw), np.uint8)
-        byte_ids = np.array([self._id[bytes([b])] for b in range(256)], np.int64)
+        byte_ids = np.array([self._id[bytes([b])] for b in range(256)], np.int32)
         start = pa.table(
             {
-                "piece": np.repeat(np.arange(len(raw)), lengths),
-                "pos": np.arange(flat.size) - np.repeat(ends - lengths, lengths),
+                "piece": np.repeat(np.arange(len(raw), dtype=np.int32), lengths),
+                "pos": (np.arange(flat.size) - np.repeat(ends - lengths, lengths)).astype(np.int32),
                 "token": byte_ids[flat],
             }
         )
@@ -171,12 +171,12 @@ class Vocabulary:
     def _assemble(self, segments: list[bytes]) -> None:
         """Remember the bytes of sequences of ids."""
         lengths = np.array([len(x) // 4 for x in segments])
-        flat = np.frombuffer(b"".join(segments), "<u4").astype(np.int64)
+        flat = np.frombuffer(b"".join(segments), "<u4").astype(np.int32)
         ends = np.cumsum(lengths)
         table = pa.table(
             {
-                "segment": np.repeat(np.arange(len(segments)), lengths),
-                "pos": np.arange(flat.size) - np.repeat(ends - lengths, lengths),
+                "segment": np.repeat(np.arange(len(segments), dtype=np.int32), lengths),
+                "pos": (np.arange(flat.size) - np.repeat(ends - lengths, lengths)).astype(np.int32),
                 "token": flat,
             }
         )
