@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.oracles import ORACLES  # noqa: F401
 from quern.llm.text import split_share
 
 
@@ -123,7 +124,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rule failures of every document and the verdict on its host."""
     from quern.llm.quality_rules import score_hosts
 
-    return score_hosts(table(spark, folder, "documents"))
+    return score_hosts(table(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -141,5 +142,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_rules,
     )
 }
-
-ORACLES: dict[str, str] = {}
