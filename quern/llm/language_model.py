@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import materialize, ship_package
+from quern.session import bound_batches, materialize, ship_package
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: No word has a space, so the end of a text cannot be one.
@@ -310,6 +310,7 @@ def _interpolation(docs: DataFrame, text: str, model: LanguageModel) -> np.ndarr
 
 def train(docs: DataFrame, text: str = "text", setup: LmSetup = LmSetup()) -> tuple[LanguageModel, DataFrame]:
     """The model of all texts, and its table of counts. An empty table gives a model without counts."""
+    bound_batches(docs.sparkSession)
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     segments = max(8, -(-chars // setup.segment_chars))
     table = materialize(count_ngrams(docs, text, segments, setup), "ngrams")

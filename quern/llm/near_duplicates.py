@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import materialize, ship_package
+from quern.session import bound_batches, materialize, ship_package
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MATCHES = np.uint64(0xBF58476D1CE4E5B9)
@@ -160,22 +160,34 @@ def bucket_members(nodes: DataFrame, setup: NearSetup) -> DataFrame:
     return keyed.join(crowded, "bucket").select("bucket", "band", "node", tiles.alias("tiles"))
 
 
-def _survivors(left: np.ndarray, right: np.ndarray, setup: NearSetup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows that pass every batch, and their numbers of matching values."""
-    step = setup.batch
+def _survivors(
+    left: np.ndarray, right: np.ndarray, band: int, within: bool, setup: NearSetup
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows that pass every batch, and their numbers of matching values.
+
+    A pair that meets in several bands is reported in the first alone. ``within`` is for a tile
+    against itself. A few rows at a time are compared with all others, so memory stays small.
+    """
+    step, rows = setup.batch, setup.band_rows
     found = []
-    for at in range(0, len(left), 128):
-        part = left[at : at + 128]
-        counts = (part[:, None, :step] == right[None, :, :step]).sum(axis=2)
+    for at in range(0, len(left), 64):
+        part = left[at : at + 64]
+        counts = (part[:, None, :step] == right[None, :, :step]).sum(axis=2, dtype=np.int16)
         i, j = np.nonzero(counts >= setup.least_matches[0])
-        found.append((i + at, j, counts[i, j]))
+        if within:
+            i, j = i[i + at < j], j[i + at < j]
+        m = counts[i, j].astype(np.int64)
+        for k, least in enumerate(setup.least_matches[1:], 1):
+            if not i.size:
+                break
+            m = m + (part[i, k * step : (k + 1) * step] == right[j, k * step : (k + 1) * step]).sum(axis=1)
+            i, j, m = i[m >= least], j[m >= least], m[m >= least]
+        if i.size and band:
+            same = (part[i, : band * rows] == right[j, : band * rows]).reshape(len(i), band, rows)
+            new = ~same.all(axis=2).any(axis=1)
+            i, j, m = i[new], j[new], m[new]
+        found.append((i + at, j, m))
     i, j, m = (np.concatenate(x) for x in zip(*found, strict=True))
-    for k, least in enumerate(setup.least_matches[1:], 1):
-        if not i.size:
-            break
-        m = m + (left[i, k * step : (k + 1) * step] == right[j, k * step : (k + 1) * step]).sum(axis=1)
-        ok = m >= least
-        i, j, m = i[ok], j[ok], m[ok]
     return i, j, m
 
 
@@ -193,7 +205,6 @@ def _compare(members: DataFrame, nodes: DataFrame, setup: NearSetup, choose: Cal
     )
     signed = placed.join(nodes.select("node", "sig"), "node")
     dealt = signed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "tile", "node")
-    rows = setup.band_rows
 
     def group(part: pd.DataFrame) -> pd.DataFrame | None:
         sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), setup.hashes)
@@ -203,14 +214,7 @@ def _compare(members: DataFrame, nodes: DataFrame, setup: NearSetup, choose: Cal
         if not within and cut == len(part):
             return None  # the other tile is empty
         a, b = (slice(None), slice(None)) if within else (slice(0, cut), slice(cut, None))
-        i, j, m = _survivors(sig[a], sig[b], setup)
-        if within:
-            i, j, m = (x[i < j] for x in (i, j, m)) if i.size else (i, j, m)
-        # A pair that meets in several bands is reported in the first alone.
-        band = int(part["band"].iat[0])
-        if i.size and band:
-            earlier = (sig[a][i, : band * rows] == sig[b][j, : band * rows]).reshape(len(i), band, rows).all(axis=2).any(axis=1)
-            i, j, m = i[~earlier], j[~earlier], m[~earlier]
+        i, j, m = _survivors(sig[a], sig[b], int(part["band"].iat[0]), within, setup)
         return choose(node[a][i], node[b][j], comp[a][i], comp[b][j], m) if i.size else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,8 +277,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, tex
             sets = [shingle_set(t, setup.width).tobytes() for t in batch]
             yield pd.DataFrame({"node": [xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in sets], "shingles": sets})
 
-    # Rows that share the key but not the text are told apart by their node.
-    coded = wanted.select("node", encode("text").alias("s")).filter("node = s.node")
+    # Rows that share the key but not the text are told apart by their node. The function counts as
+    # not deterministic, lest Spark should make the comparison a join key and encode all documents.
+    coded = wanted.select("node", encode.asNondeterministic()("text").alias("s")).filter("node = s.node")
     sets = materialize(coded.select("node", "s.shingles").dropDuplicates(["node"]), "sets")
 
     @F.pandas_udf("boolean")
@@ -299,6 +304,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     link, its component is NULL and it is kept. Rows that repeat a key are each returned; texts of
     the same key are linked like others. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     sketched = materialize(sketches(docs, key, text, setup), "sketches")
     nodes = materialize(
         sketched.filter("node IS NOT NULL AND key IS NOT NULL").groupBy("node").agg(F.min("key").alias("rep"), F.first("sig").alias("sig")),
