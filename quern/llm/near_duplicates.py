@@ -8,8 +8,8 @@ the chosen miss probability. What survives is verified on the full shingle sets.
 Large groups of similar documents have a number of pairs that grows with the square of their
 size, so pairs are never listed. A bucket of a band is cut into tiles; a task compares two tiles
 in memory. In the first pass each document keeps its most similar survivors only, which joins
-nearly all that belongs together. In the second pass only survivors whose documents are still in
-different components are kept. No link between components can be missing after that.
+nearly all that belongs together. In the second pass the tasks have the full sets too and return
+only verified links between components. No link between components can be missing after that.
 """
 
 from __future__ import annotations
@@ -191,11 +191,12 @@ def _survivors(
     return i, j, m
 
 
-def _compare(members: DataFrame, nodes: DataFrame, setup: NearSetup, choose: Callable, schema: str) -> DataFrame:
+def _compare(members: DataFrame, signed: DataFrame, setup: NearSetup, choose: Callable, schema: str) -> DataFrame:
     """Compare all members of each bucket in memory, two tiles at a time.
 
-    ``members`` may have a ``comp`` column. ``choose`` gets the nodes and components of both
-    sides, the surviving pairs and their matches, and returns the rows to keep.
+    ``members`` has a ``comp`` column, ``signed`` the signature of each node and its set, which may
+    be NULL. ``choose`` gets the nodes, components and sets of both sides of the surviving pairs,
+    and their matches, and returns the rows to keep.
     """
     tile = F.pmod(F.xxhash64("node", "bucket"), F.col("tiles")).cast("int")
     placed = members.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -203,19 +204,19 @@ def _compare(members: DataFrame, nodes: DataFrame, setup: NearSetup, choose: Cal
         "bucket", "band", "node", "tile", "comp",
         F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
     )
-    signed = placed.join(nodes.select("node", "sig"), "node")
-    dealt = signed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "tile", "node")
+    dealt = placed.join(signed.select("node", "sig", "shingles"), "node").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "tile", "node")
 
     def group(part: pd.DataFrame) -> pd.DataFrame | None:
         sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(part), setup.hashes)
         node, comp, tiles = part["node"].to_numpy(), part["comp"].to_numpy(), part["tile"].to_numpy()
+        sets = part["shingles"].to_numpy()
         cut = int(np.searchsorted(tiles, tiles[0], side="right"))
         within = part["low"].iat[0] == part["high"].iat[0]
         if not within and cut == len(part):
             return None  # the other tile is empty
         a, b = (slice(None), slice(None)) if within else (slice(0, cut), slice(cut, None))
         i, j, m = _survivors(sig[a], sig[b], int(part["band"].iat[0]), within, setup)
-        return choose(node[a][i], node[b][j], comp[a][i], comp[b][j], m) if i.size else None
+        return choose(node[a][i], node[b][j], comp[a][i], comp[b][j], sets[a][i], sets[b][j], m) if i.size else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -263,10 +264,9 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, setup: NearSetup) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    owners = materialize(asked.join(nodes.select("node", "rep"), "node"), "owners")
+def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, setup: NearSetup) -> DataFrame:
+    """(node, shingles): the full sets of the nodes asked for, as a table."""
+    owners = materialize(asked.distinct().join(nodes.select("node", "rep"), "node"), "owners")
     few = owners.count() <= setup.broadcast_rows
     body = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
     wanted = body.join(F.broadcast(owners) if few else owners, "rep")
@@ -280,16 +280,25 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, tex
     # Rows that share the key but not the text are told apart by their node. The function counts as
     # not deterministic, lest Spark should make the comparison a join key and encode all documents.
     coded = wanted.select("node", encode.asNondeterministic()("text").alias("s")).filter("node = s.node")
-    sets = materialize(coded.select("node", "s.shingles").dropDuplicates(["node"]), "sets")
+    return materialize(coded.select("node", "s.shingles").dropDuplicates(["node"]), "sets")
+
+
+def _linked(left: bytes, right: bytes, percent: int) -> bool:
+    """Whether two full sets reach the threshold."""
+    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    # No intersection can be larger than the smaller set.
+    if 100 * min(x.size, y.size) < percent * max(x.size, y.size):
+        return False
+    both = np.intersect1d(x, y, assume_unique=True).size
+    return 100 * both >= percent * (x.size + y.size - both)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, setup: NearSetup) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.intersect1d(x, y, assume_unique=True).size
-            out.append(100 * both >= setup.percent * (x.size + y.size - both))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([_linked(x, y, setup.percent) for x, y in zip(left, right, strict=True)], dtype=bool)
 
     of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(linked("set_a", "set_b")).select("a", "b")
@@ -312,30 +321,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     )
     members = materialize(bucket_members(nodes, setup), "members")
 
-    def nearest(a, b, _ca, _cb, m) -> pd.DataFrame:
+    def nearest(a, b, _ca, _cb, _sa, _sb, m) -> pd.DataFrame:
         one = pd.DataFrame({"node": np.r_[a, b], "other": np.r_[b, a], "matches": np.r_[m, m].astype(np.int64)})
         one = one.sort_values(["matches", "other"], ascending=[False, True])
         return one.groupby("node", sort=False).head(2)
 
-    def crossing(a, b, ca, cb, m) -> pd.DataFrame:
-        apart = ca != cb
-        return pd.DataFrame({"a": np.minimum(a, b)[apart], "b": np.maximum(a, b)[apart]})
+    def crossing(a, b, ca, cb, sa, sb, _m) -> pd.DataFrame:
+        at = [i for i in np.flatnonzero(ca != cb) if _linked(sa[i], sb[i], setup.percent)]
+        return pd.DataFrame({"a": np.minimum(a, b)[at], "b": np.maximum(a, b)[at]})
 
-    best = _compare(members.withColumn("comp", F.col("node")), nodes, setup, nearest, "node long, other long, matches long")
+    signed = nodes.select("node", "sig", F.lit(None).cast("binary").alias("shingles"))
+    best = _compare(members.withColumn("comp", F.col("node")), signed, setup, nearest, "node long, other long, matches long")
     first = best.groupBy("node").agg(F.max(F.struct("matches", "other")).alias("x"))
     pairs = materialize(
         first.select(F.least("node", "x.other").alias("a"), F.greatest("node", "x.other").alias("b")).distinct(), "pairs"
     )
-    links = materialize(_verified(pairs, nodes, docs, key, text, setup), "links")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    links = materialize(_verified(pairs, _sets(asked, nodes, docs, key, text, setup), setup), "links")
     found = components(links, setup.rounds)
 
     known = members.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     known = materialize(known, "members")
     open_buckets = known.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("bucket")
-    rest = _compare(known.join(open_buckets, "bucket", "left_semi"), nodes, setup, crossing, "a long, b long")
-    # Pairs that the first pass has already verified are either linked or refuted.
-    rest = materialize(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verified(rest, nodes, docs, key, text, setup), "links")
+    # Documents of one group may have very many pairs just below the threshold. They are verified
+    # where they are found, so that only links leave the task.
+    still = materialize(known.join(open_buckets, "bucket", "left_semi"), "members")
+    sets = _sets(still.select("node"), nodes, docs, key, text, setup)
+    more = materialize(_compare(still, nodes.join(sets, "node"), setup, crossing, "a long, b long"), "links")
     final = components(links.unionByName(more), setup.rounds)
 
     placed = sketched.select("key", "n_shingles", "node").join(final, "node", "left")
