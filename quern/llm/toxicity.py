@@ -37,14 +37,25 @@ dummkopf blödmann abschaum widerlich wertlos erbärmlich versager
 #: Pattern voters: forms of address, threats and ways of writing. Fixed values.
 PATTERNS = {
     "you_are_a": r"\byou(?:'re| are)(?: all)? (?:an? |such |so )?(?:total |complete )?(?:idiot|moron|loser|fool|joke|disgrace)",
-    "shut_up": r"\b(?:shut up|get lost|go away|drop dead|go to hell|screw you)\b",
+    "shut_up": r"\b(?:shut up|get lost|drop dead|go to hell|screw you)\b",
     "threat": r"\b(?:i(?:'ll| will) (?:kill|hurt|find|destroy) you|you (?:will|should) (?:die|suffer))\b",
     "hate": r"\bi (?:really |truly )?(?:hate|despise|loathe) (?:you|them|these|those)\b",
     "what_a": r"\bwhat an? (?:idiot|moron|loser|clown|joke|disgrace)\b",
-    "masked": r"\b[a-z]+[*#@$]{2,}[a-z]*\b",
+    "masked": r"\b[a-z]+(?:\*\*|##|@@|\$\$)[*#@$]*[a-z]+\b",
     "stretched": r"\b(?:s+t+u{2,}p+i+d+|l+o+s+e{2,}r+|d+u+m{2,}b+)\b",
 }
 
+#: A pattern is searched only in texts with one of these strings. Fixed values.
+PATTERN_GATES = {
+    "you_are_a": ("idiot", "moron", "loser", "fool", "joke", "disgrace"),
+    "shut_up": ("shut up", "get lost", "drop dead", "go to hell", "screw you"),
+    "threat": ("kill you", "hurt you", "find you", "destroy you", "you will", "you should"),
+    "hate": ("hate ", "despise ", "loathe "),
+    "what_a": ("what a",),
+    "masked": ("**", "##", "@@", "$$"),
+    "stretched": ("uup", "eer", "mmb"),
+}
+
 #: Lengths of word stems, and voters' shares of stems in a thousand words.
 STEM_LENGTHS = range(3, 8)
 DENSITIES = (2, 4, 8, 12, 15, 20, 30)
@@ -60,6 +71,7 @@ class ToxicitySetup:
     induced_voters: int = 64
     least_support: int = 8
     least_precision: float = 0.2
+    same_voters: float = 0.85
     rounds: int = 12
     descent_rounds: int = 400
     lasso: float = 2e-4
@@ -69,8 +81,9 @@ def profile(text: str | None) -> Counter[str]:
     """Counts of the lower-case words of the whole text, without punctuation at their ends."""
     counts: Counter[str] = Counter()
     for raw, n in Counter((text or "").lower().split()).items():
-        if word := raw.strip(_EDGES):
-            counts[word] += n
+        word = raw.strip(_EDGES)
+        counts[word] = counts.get(word, 0) + n
+    counts.pop("", None)
     return counts
 
 
@@ -136,7 +149,7 @@ class Voters:
     def vote(self, text: str | None, words: Counter[str] | None = None) -> list[int]:
         """Numbers of the voters that fire on a text, ascending."""
         if not hasattr(self, "_compiled"):
-            self._compiled = [re.compile(p) for p in PATTERNS.values()]
+            self._compiled = [(re.compile(p), PATTERN_GATES[name]) for name, p in PATTERNS.items()]
         words = profile(text) if words is None else words
         fired, hits, total = set(), 0, 0
         for w, n in words.items():
@@ -148,7 +161,9 @@ class Voters:
         fired.update(first + i for i, d in enumerate(DENSITIES) if hits and 1000 * hits >= d * total)
         low = (text or "").lower()
         first += len(DENSITIES)
-        fired.update(first + i for i, p in enumerate(self._compiled) if p.search(low))
+        for i, (pattern, gate) in enumerate(self._compiled):
+            if any(g in low for g in gate) and pattern.search(low):
+                fired.add(first + i)
         return sorted(fired)
 
     def features(self, text: str | None) -> tuple[list[int], np.ndarray]:
@@ -181,8 +196,9 @@ def fit_label_model(patterns: DataFrame, n_voters: int, share: float, setup: Tox
     """The label model of a table of vote patterns (``fired`` array, ``n``), and the correlations.
 
     Each round is one aggregation of all patterns into one row per voter, so what comes to the
-    driver has the size of the voters. The correlations of pairs are taken from the moments
-    of the votes within the posterior classes, after which the rates are fitted once more.
+    driver has the size of the voters. Correlations of pairs come from the moments of the votes,
+    first over all texts and then within the posterior classes, after which the rates are fitted
+    once more.
     """
     rates = np.vstack([np.full(n_voters, 0.002), np.full(n_voters, 0.1)])
     model = LabelModel(min(max(share, 0.001), 0.5), rates, np.ones(n_voters))
@@ -222,26 +238,39 @@ def fit_label_model(patterns: DataFrame, n_voters: int, share: float, setup: Tox
             m = LabelModel(float(np.clip(t / n, 1e-4, 0.5)), new, m.evidence)
         return m, n, t
 
-    model, n, t = rounds(model, setup.rounds)
-    pairs = (
-        patterns.withColumn("p", posterior(model))
-        .select("n", "p", F.explode("fired").alias("i"), "fired")
-        .select("n", "p", "i", F.explode("fired").alias("j"))
-        .filter("i < j")
-        .groupBy("i", "j")
-        .agg(F.sum(F.col("n") * F.col("p")).alias("t"), F.sum(F.col("n") * (1 - F.col("p"))).alias("c"))
-        .collect()
-    )
+    def both_fire(m: LabelModel | None):
+        """Weighted counts of pairs of voters that fire together, by class or all as class 0."""
+        p = F.lit(0.0) if m is None else posterior(m)
+        return (
+            patterns.withColumn("p", p)
+            .select("n", "p", F.explode("fired").alias("i"), "fired")
+            .select("n", "p", "i", F.explode("fired").alias("j"))
+            .filter("i < j")
+            .groupBy("i", "j")
+            .agg(F.sum(F.col("n") * F.col("p")).alias("t"), F.sum(F.col("n") * (1 - F.col("p"))).alias("c"))
+            .collect()
+        )
+
+    def phi(both: float, total: float, a: float, b: float) -> float:
+        spread = np.sqrt(a * (1 - a) * b * (1 - b))
+        return float(np.clip((both / total - a * b) / spread, -1, 1)) if total > 0 and spread > 0 else 0.0
+
+    # Voters that nearly always fire together would be taken for the class itself: they share their
+    # evidence from the start. No two voters that only share a class are that close.
     correlation = np.eye(n_voters)
-    for r in pairs:
-        own = []
-        for k, (both, total) in enumerate(((r.c, n - t), (r.t, t))):
-            a, b = model.rates[k, r.i], model.rates[k, r.j]
-            spread = np.sqrt(a * (1 - a) * b * (1 - b))
-            own.append((both / total - a * b) / spread if total > 0 and spread > 0 else 0.0)
-        weight = t / n if n else 0.0
-        value = own[0] * (1 - weight) + own[1] * weight
-        correlation[r.i, r.j] = correlation[r.j, r.i] = float(np.clip(value, -1, 1))
+    n, _, fired = sums(LabelModel(0.5, np.full((2, n_voters), 0.5), model.evidence))
+    often = fired.sum(axis=0) / max(n, 1.0)
+    for r in both_fire(None):
+        if (value := phi(r.c, n, often[r.i], often[r.j])) > setup.same_voters:
+            correlation[r.i, r.j] = correlation[r.j, r.i] = value
+    model.evidence = 1 / correlation.sum(axis=0)
+
+    model, n, t = rounds(model, setup.rounds)
+    weight = t / n if n else 0.0
+    for r in both_fire(model):
+        own = [phi(x, k, model.rates[c, r.i], model.rates[c, r.j]) for c, x, k in ((0, r.c, n - t), (1, r.t, t))]
+        value = max(own[0] * (1 - weight) + own[1] * weight, correlation[r.i, r.j])
+        correlation[r.i, r.j] = correlation[r.j, r.i] = value
     dependent = np.where(correlation > 0.1, correlation, 0).sum(axis=0)
     model = LabelModel(model.share, model.rates, 1 / np.maximum(dependent, 1.0))
     return rounds(model, 3)[0], correlation
@@ -257,10 +286,30 @@ class ToxicityModel:
 
     def score(self, text: str | None) -> float:
         """Probability of label 1 of the whole text; NULL and empty texts get the bias."""
-        _, idx = self.voters.features(text)
-        value = self.bias + float(self.weights[idx].sum())
+        if not hasattr(self, "_known"):
+            self._known = _WordWeights(self.weights)
+        words = profile(text)
+        marks = (f"<{self.voters.names[i]}>" for i in self.voters.vote(text, words))
+        value = self.bias + sum(map(self._known.__getitem__, words)) + sum(map(self._known.__getitem__, marks))
         return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_known"}
+
+
+class _WordWeights(dict):
+    """Weights by word, remembered up to a bound."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self._weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > 400_000:
+            self.clear()
+        value = self[word] = float(self._weights[bucket(word)])
+        return value
+
 
 def logistic_regression(rows: list[np.ndarray], target: np.ndarray, setup: ToxicitySetup) -> tuple[np.ndarray, float]:
     """Weights for indicator rows and soft labels, by adaptive proximal gradient descent.

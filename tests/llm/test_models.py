@@ -126,11 +126,17 @@ def test_label_model_finds_accuracies_and_shares_out_copies(spark):
     truth = random.random(6000) < 0.2
     rates = [(0.02, 0.7), (0.05, 0.6), (0.01, 0.4), (0.1, 0.5)]
     votes = [[random.random() < (hi if t else lo) for lo, hi in rates] for t in truth]
-    fired = [[i for i, v in enumerate([*v, v[0], v[0]]) if v] for v in votes]  # voter 0 twice more
-    df = spark.createDataFrame([(f,) for f in fired], "fired array<int>").groupBy("fired").agg(F.count("*").alias("n"))
-    model, correlation = toxicity.fit_label_model(df, 6, 0.2, toxicity.ToxicitySetup(rounds=25))
-    assert abs(model.share - 0.2) < 0.05
-    assert abs(model.rates[1, 1] - 0.6) < 0.1 and abs(model.rates[0, 1] - 0.05) < 0.04
+    setup = toxicity.ToxicitySetup(rounds=25)
+
+    def fitted(copies):
+        fired = [[i for i, x in enumerate([*v, *[v[0]] * copies]) if x] for v in votes]
+        df = spark.createDataFrame([(f,) for f in fired], "fired array<int>").groupBy("fired").agg(F.count("*").alias("n"))
+        return toxicity.fit_label_model(df, 4 + copies, 0.2, setup)
+
+    alone, _ = fitted(0)
+    assert np.abs(alone.rates - np.array(rates).T).max() < 0.12 and abs(alone.share - 0.2) < 0.1
+    model, correlation = fitted(2)  # voter 0 twice more: as if it were there once
+    assert np.abs(model.rates[:, :4] - alone.rates).max() < 0.02 and abs(model.share - alone.share) < 0.02
     assert correlation[0, 4] > 0.9 and abs(correlation[0, 1]) < 0.2
     assert model.evidence[0] < 0.5 < model.evidence[1]
 
