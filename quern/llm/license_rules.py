@@ -8,6 +8,7 @@ overlap the one of the earlier rule stays. Everything happens inside a document'
 from __future__ import annotations
 
 from dataclasses import dataclass
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +27,16 @@ BASE_PHRASES = {
     "mit license": "mit",
 }
 
-#: Licences: label, keyword that every form of it has, name, identifier, address. Patterns are
-#: matched on lower-case text, where ``_`` stands for a gap of up to three non-word characters.
+#: Licences: label, telling word, name, identifier, address. Patterns are matched on lower-case
+#: text, where ``_`` stands for a gap of up to three non-word characters. A rule is gated by the
+#: telling word only if its own pattern has it; see ``_keyword``.
 LICENSES = [
     ("agpl", "affero", r"(gnu_)?affero_general_public_licen[cs]e", r"agpl_[123](\.0)?(_only|_or_later)?", r"gnu\.org/licenses/agpl"),
     ("lgpl", "lesser", r"(gnu_)?lesser_general_public_licen[cs]e", r"lgpl_[23](\.[01])?(_only|_or_later)?", r"gnu\.org/licenses/lgpl"),
     ("lgpl", "library", r"(gnu_)?library_general_public_licen[cs]e", r"lgpl_2(\.0)?_only", r"gnu\.org/licenses/old_licenses/lgpl"),
     ("gpl", "gnu", r"gnu_general_public_licen[cs]e", r"gnu_gpl(_?v?[123](\.0)?)?", r"gnu\.org/licenses/gpl"),
-    ("gfdl", "free doc", r"(gnu_)?free_documentation_licen[cs]e", r"gfdl_1\.[123]", r"gnu\.org/licenses/fdl"),
+    ("gpl", "gpl", r"gpl_licen[cs]e", r"gpl_?v?[123](\.0)?(_only|_or_later)?", r"opensource\.org/licenses/gpl"),
+    ("gfdl", "documentation", r"(gnu_)?free_documentation_licen[cs]e", r"gfdl_1\.[123]", r"gnu\.org/licenses/fdl"),
     ("apache", "apache", r"apache_licen[cs]e", r"apache_[12]\.[01]", r"apache\.org/licenses"),
     ("mit", "mit", r"mit_licen[cs]e", r"mit_or_apache_2\.0", r"opensource\.org/licenses/mit"),
     ("mit-0", "mit", r"mit_no_attribution_licen[cs]e", r"mit_0", r"opensource\.org/licenses/mit_0"),
@@ -49,9 +52,9 @@ LICENSES = [
     ("epl", "eclipse", r"eclipse_public_licen[cs]e", r"eclipse_epl_[12]\.0", r"eclipse\.org/legal/epl"),
     ("edl", "eclipse", r"eclipse_distribution_licen[cs]e", r"eclipse_edl_1\.0", r"eclipse\.org/org/documents/edl"),
     ("cddl", "cddl", r"cddl_licen[cs]e", r"cddl_1\.[01]", r"opensource\.org/licenses/cddl"),
-    ("cddl", "common dev", r"common_development_and_distribution_licen[cs]e", r"common_development_and_distribution_licen[cs]e_1", r"netbeans\.org/cddl"),
-    ("cpl", "common pub", r"common_public_licen[cs]e", r"common_public_licen[cs]e_1\.0", r"opensource\.org/licenses/cpl"),
-    ("cpal", "cpal", r"common_public_attribution_licen[cs]e", r"cpal_1\.0", r"opensource\.org/licenses/cpal"),
+    ("cddl", "development", r"common_development_and_distribution_licen[cs]e", r"common_development_and_distribution_licen[cs]e_1", r"netbeans\.org/cddl"),
+    ("cpl", "common", r"common_public_licen[cs]e", r"common_public_licen[cs]e_1\.0", r"opensource\.org/licenses/cpl"),
+    ("cpal", "attribution", r"common_public_attribution_licen[cs]e", r"cpal_1\.0", r"opensource\.org/licenses/cpal"),
     ("eupl", "eupl", r"eupl_licen[cs]e", r"eupl_1\.[012]", r"joinup\.ec\.europa\.eu/.{0,40}eupl"),
     ("eupl", "european", r"european_union_public_licen[cs]e", r"european_union_public_licen[cs]e_1", r"eur_lex\.europa\.eu/.{0,40}licen[cs]e"),
     ("artistic", "artistic", r"artistic_licen[cs]e", r"artistic_[12]\.0", r"opensource\.org/licenses/artistic"),
@@ -68,21 +71,21 @@ LICENSES = [
     ("cc-by-nd", "nd", r"creative_commons_attribution_no_?deriv\w+", r"cc_by_nd(_[1-4]\.[05])?", r"creativecommons\.org/licenses/by_nd"),
     ("cc-by-sa", "sa", r"creative_commons_attribution_share_?alike", r"cc_by_sa(_[1-4]\.[05])?", r"creativecommons\.org/licenses/by_sa"),
     ("cc-by", "by", r"creative_commons_attribution(_licen[cs]e|_[1-4])", r"cc_by(_[1-4]\.[05])?", r"creativecommons\.org/licenses/by/"),
-    ("public-domain", "public domain", r"(in|into)_the_public_domain", r"public_domain_dedication", r"creativecommons\.org/.{0,20}public_?domain"),
+    ("public-domain", "domain", r"(in|into)_the_public_domain", r"public_domain_dedication", r"creativecommons\.org/.{0,20}public_?domain"),
     ("psf", "python", r"python_software_foundation_licen[cs]e", r"python_2\.0(\.1)?", r"python\.org/.{0,20}license"),
     ("php", "php", r"php_licen[cs]e", r"php_3\.0[01]?", r"php\.net/license"),
     ("ruby", "ruby", r"ruby_licen[cs]e", r"ruby_s_licen[cs]e", r"ruby_lang\.org/.{0,20}license"),
     ("postgresql", "postgresql", r"postgresql_licen[cs]e", r"postgresql_database_licen[cs]e", r"postgresql\.org/about/licen[cs]e"),
     ("openssl", "openssl", r"openssl_licen[cs]e", r"openssl_ssleay", r"openssl\.org/source/license"),
     ("odbl", "odbl", r"odbl_licen[cs]e", r"odbl_1\.0", r"opendatacommons\.org/licenses/odbl"),
-    ("odbl", "open database", r"open_database_licen[cs]e", r"open_data_commons_open_database", r"opendatacommons\.org/licenses/dbcl"),
-    ("ofl", "open font", r"(sil_)?open_font_licen[cs]e", r"sil_open_font", r"scripts\.sil\.org/ofl"),
+    ("odbl", "database", r"open_database_licen[cs]e", r"open_data_commons_open_database", r"opendatacommons\.org/licenses/dbcl"),
+    ("ofl", "font", r"(sil_)?open_font_licen[cs]e", r"sil_open_font", r"scripts\.sil\.org/ofl"),
     ("ofl", "ofl", r"ofl_licen[cs]e", r"ofl_1\.[01]", r"openfontlicense\.org"),
     ("ms-pl", "microsoft", r"microsoft_public_licen[cs]e", r"microsoft_ms_pl", r"opensource\.org/licenses/ms_pl"),
     ("ms-rl", "microsoft", r"microsoft_reciprocal_licen[cs]e", r"microsoft_ms_rl", r"opensource\.org/licenses/ms_rl"),
     ("afl", "academic", r"academic_free_licen[cs]e", r"academic_free_licen[cs]e_3\.0", r"opensource\.org/licenses/afl"),
-    ("osl", "open software", r"open_software_licen[cs]e", r"open_software_licen[cs]e_3\.0", r"opensource\.org/licenses/osl"),
-    ("qpl", "q public", r"q_public_licen[cs]e", r"q_public_licen[cs]e_1\.0", r"opensource\.org/licenses/qtpl"),
+    ("osl", "software", r"open_software_licen[cs]e", r"open_software_licen[cs]e_3\.0", r"opensource\.org/licenses/osl"),
+    ("qpl", "public", r"q_public_licen[cs]e", r"q_public_licen[cs]e_1\.0", r"opensource\.org/licenses/qtpl"),
     ("lppl", "latex", r"latex_project_public_licen[cs]e", r"latex_lppl_1\.3", r"latex_project\.org/lppl"),
     ("openrail", "rail", r"(big)?(open|code|science)_?(open)?_?rail(_m)?_licen[cs]e", r"openrail(_m)?", r"huggingface\.co/.{0,40}rail"),
     ("proprietary", "reserved", r"all_rights_reserved", r"no_rights_reserved", r"rights_reserved_worldwide"),
@@ -99,6 +102,10 @@ FORMS = [
 ]
 
 
+#: Literals that tell nothing.
+_COMMON = ("licen", "license", "licenses", "public", "only", "general", "open")
+
+
 @dataclass(frozen=True)
 class Rule:
     """One signature. A smaller ``priority`` wins over a larger one."""
@@ -110,6 +117,25 @@ class Rule:
     confidence: float
 
 
+def _literals(items) -> list[str]:
+    """Pieces of text that every match of a parsed pattern has."""
+    runs = [""]
+    for op, value in items:
+        if op is _parser.LITERAL and chr(value) != "_":
+            runs[-1] += chr(value)
+        elif op is _parser.SUBPATTERN:
+            runs += ["", *_literals(value[-1]), ""]
+        else:
+            runs.append("")
+    return [r for r in runs if r]
+
+
+def _keyword(pattern: str, word: str) -> str:
+    """A literal of the pattern: the longest that has ``word``, else the longest that is not a common one."""
+    own = _literals(_parser.parse(pattern))
+    return max([r for r in own if word in r] or [r for r in own if r not in _COMMON], key=len)
+
+
 def signature_rules() -> list[Rule]:
     """All rules in order: by form of sentence, then by licence."""
     rules = []
@@ -117,13 +143,14 @@ def signature_rules() -> list[Rule]:
         for label, keyword, name, identifier, address in LICENSES:
             body = form % {"name": name, "id": identifier, "url": address}[part]
             spread = body.replace("_", r"[^a-z0-9]{1,3}").replace(r"[^a-z0-9]{1,3}?", r"[^a-z0-9]{0,3}")
-            rules.append(Rule(len(rules), label, keyword, rf"(?<![a-z0-9]){spread}(?![a-z0-9])", confidence))
+            own = _keyword({"name": name, "id": identifier, "url": address}[part], keyword)
+            rules.append(Rule(len(rules), label, own, rf"(?<![a-z0-9]){spread}(?![a-z0-9])", confidence))
     return rules
 
 
 def _gate(rules: list[Rule]) -> str:
     """One pattern that finds nothing in a text which no rule can match: a common word of notices."""
-    return r"licen[cs]e|database|reserved|rights|domain|unlicense|wtfpl|cc0|cc[^a-z0-9]{1,3}by|creative|openrail|(?<![a-z])(gnu|gpl|lgpl|agpl|gfdl|mit|mpl|apache|bsd|bsl|busl|sspl|cddl|cpal|eupl|epl|artistic|ofl|odbl|elastic|sil|openssl|eclipse|microsoft|latex|open|python|zlib)[^a-z0-9]{1,3}(or|gpl|v?[0-9]|edl|epl|open|commons|project|lppl|ms|ssleay|acknowledgement)|(opensource|gnu|apache|mozilla|eclipse|netbeans|joinup|eur.lex|boost|mariadb|mongodb|elastic|creativecommons|python|php|ruby.lang|postgresql|openssl|opendatacommons|sil|openfontlicense|sourceforge|latex.project|huggingface|fsf)\.(org|net|com|co|ec)|expat\.sourceforge"
+    return r"licen[cs]e|database|reserved|rights|domain|unlicense|wtfpl|cc0|cc[^a-z0-9]{1,3}by|creative|openrail|(?<![a-z])(gnu|gpl|lgpl|agpl|gfdl|mit|mpl|apache|bsd|bsl|busl|sspl|cddl|cpal|eupl|epl|artistic|ofl|odbl|elastic|sil|openssl|eclipse|microsoft|latex|open|python|zlib|php)[^a-z0-9]{1,3}(or|gpl|v?[0-9]|edl|epl|open|commons|project|lppl|ms|ssleay|acknowledgement)|(opensource|gnu|apache|mozilla|eclipse|netbeans|joinup|eur.lex|boost|mariadb|mongodb|elastic|creativecommons|python|php|ruby.lang|postgresql|openssl|opendatacommons|sil|openfontlicense|sourceforge|latex.project|huggingface|fsf)\.(org|net|com|co|ec)|expat\.sourceforge|(?<![a-z0-9])gpl[^a-z0-9]{0,3}v?[123]"
 
 
 def _spans(text: Column, pattern: Column, rule: Column) -> Column:

@@ -1,4 +1,6 @@
+import itertools
 import re
+from re import _parser
 
 from quern.llm.license_rules import BASE_PHRASES, _gate, scan_licenses, signature_rules
 
@@ -70,3 +72,54 @@ def test_hard_rows(hard, nothing):
     assert len(rows) == hard.count()
     assert all(r.labels is not None and r.score is not None for r in rows)
     assert scan_licenses(nothing, ["doc_id"]).collect() == []
+
+
+def matches_of(items):
+    """Texts that a parsed pattern matches: each alternative, with and without what is optional."""
+    out = [""]
+    for op, value in items:
+        if op is _parser.LITERAL:
+            some = [chr(value)]
+        elif op is _parser.ANY:
+            some = ["x"]
+        elif op is _parser.IN:
+            some = [" "] if value[0][0] is _parser.NEGATE else [chr(v[0] if o is _parser.RANGE else v) if o is not _parser.CATEGORY else "a" for o, v in value[:4]]
+        elif op is _parser.BRANCH:
+            some = [x for branch in value[1] for x in matches_of(branch)]
+        elif op is _parser.SUBPATTERN:
+            some = matches_of(value[-1])
+        elif op is _parser.MAX_REPEAT:
+            least, most, body = value
+            some = [x * n for n in dict.fromkeys((least, min(least + 1, most))) for x in matches_of(body)]
+        else:
+            assert op is _parser.ASSERT_NOT
+            some = [""]
+        out = list(dict.fromkeys(a + b for a, b in itertools.product(out, some)))[:2000]
+    return out
+
+
+def test_gate_and_keyword_let_every_rule_through(spark):
+    gate = re.compile(_gate(signature_rules()))
+    rows = []
+    for r in signature_rules():
+        texts = matches_of(_parser.parse(r.pattern))
+        assert all(re.search(r.pattern, t) and r.keyword in t and gate.search(t) for t in texts), r
+        rows.append((r.priority, texts[0]))
+    found = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()
+    # The match itself is found whole, by this rule or by one that comes earlier or covers more.
+    assert len(found) == len(rows)
+    for r in found:
+        text = rows[r.doc_id][1]
+        assert min(d.start for d in r.detections) == 0 and max(d.end for d in r.detections) == len(text), text
+
+
+def test_identifiers_without_the_name(spark):
+    texts = {
+        "AGPL-3.0": "agpl", "SPDX-License-Identifier: AGPL-3.0-only": "agpl", "LGPL-2.1": "lgpl", "GFDL-1.3": "gfdl", "BSL-1.0": "bsl",
+        "BUSL-1.1": "busl", "SSPL-1.0": "sspl", "Common Public Attribution License": "cpal", "PHP-3.01": "php", "GPL-3.0-or-later": "gpl",
+        "https://creativecommons.org/publicdomain/zero/1.0/": "cc0", "https://www.gnu.org/licenses/agpl.html": "agpl",
+        "https://opensource.org/licenses/MS-PL": "ms-pl", "https://scripts.sil.org/OFL": "ofl", "into the public\ndomain": "public-domain",
+    }
+    df = spark.createDataFrame(list(texts.items()), "text string, label string")
+    for r in scan_licenses(df, ["text", "label"]).collect():
+        assert r.labels == [r.label], r
