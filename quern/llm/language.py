@@ -101,9 +101,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", setup: Langua
     """Dictionaries from texts with a language.
 
     For each language the pieces with the smallest hashes of their text are taken, so the
-    sample does not depend on partitions and copies count once. Spark keeps at most
-    ``sample_texts`` rows per language and partition before the shuffle. Pieces come from the
-    middle of a text, where there is least of headers.
+    sample does not depend on partitions. Copies count once: hashes are made distinct before
+    they are ranked, and Spark keeps at most ``sample_texts`` of them per language and partition
+    for that. Pieces come from the middle of a text, where there is least of headers.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0))
     begin = F.greatest(((F.length(text) - setup.piece_chars) / 2).cast("int"), F.lit(0)) + 1
@@ -111,16 +111,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", setup: Langua
         F.col(lang).cast("string").alias("lang"),
         F.substring(F.col(text), begin, F.lit(setup.piece_chars)).alias("piece"),
     ).withColumn("order", F.xxhash64("piece"))
-    by_hash = Window.partitionBy("lang").orderBy("order", "piece")
-    chosen = (
-        pieces.withColumn("rank", F.rank().over(by_hash))
+    # The smallest hashes first, without their texts; copies are one row by then.
+    smallest = (
+        pieces.groupBy("lang", "order").count()
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
         .filter(F.col("rank") <= setup.sample_texts)
-        .groupBy("lang", "order", "piece").count()
     )
-    rows = chosen.select("lang", "order", "piece").limit(setup.most_languages * setup.sample_texts + 1).collect()
-    languages = sorted({r.lang for r in rows})
+    bounds = smallest.groupBy("lang").agg(F.max("order").alias("last")).limit(setup.most_languages + 1).collect()
+    languages = sorted(r.lang for r in bounds)
     if len(languages) > setup.most_languages:
         raise ValueError(f"more than {setup.most_languages} languages: {len(languages)}")
+    last = docs.sparkSession.createDataFrame([tuple(r) for r in bounds], "lang string, last long")
+    chosen = pieces.join(F.broadcast(last), "lang").filter(F.col("order") <= F.col("last")).groupBy("lang", "order", "piece").count()
+    rows = chosen.select("lang", "order", "piece").collect()
     made = {}
     for one in languages:
         parts = sorted((r.order, r.piece) for r in rows if r.lang == one)

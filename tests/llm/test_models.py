@@ -49,6 +49,16 @@ def test_language_accuracy(tables):
     assert np.mean([r.lang == r.lang_pred for r in sure]) > 0.98
 
 
+def test_language_sample_counts_copies_once(spark):
+    setup = language.LanguageSetup(sample_texts=4)
+    plain = [(f"text number {i} of many about {'abcdefghij'[i] * 9}", "en") for i in range(10)]
+    first = language.train(spark.createDataFrame(plain, "text string, lang string"), setup=setup)
+    copied = spark.createDataFrame([x for x in plain for _ in range(6)], "text string, lang string")
+    again = language.train(copied, setup=setup)
+    assert again.dictionaries == first.dictionaries and first.dictionaries["en"].count(b"text number") == 4
+    assert again.texts == {"en": 60}
+
+
 def test_language_of_hard_rows(spark, hard, nothing):
     model = language.train(hard)
     rows = {r.doc_id: r for r in language.identify(hard.filter("doc_id IS NOT NULL"), model, ["doc_id"]).collect()}
