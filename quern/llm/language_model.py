@@ -5,18 +5,20 @@ that level's bit array; its count is read back by probing the levels upwards unt
 Bit arrays are cut into segments by the n-gram's hash, so that Spark counts and fills them
 independently. The filter is broadcast; scoring needs nothing but probes.
 
-What is broadcast has a fixed bound. If all levels together are larger, the lowest levels, which
-hold the rare n-grams, are left out until the rest fits, and their n-grams are treated as unseen.
+What is broadcast has a fixed bound. If all levels together are larger, nothing is broadcast: the
+distinct n-grams of a batch of texts go to their segments, are probed there on all levels, and their
+levels come back to the batch. Both ways give the same levels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,8 @@ _END = xxhash.xxh3_64_intdigest(b" end ")
 class LmSetup:
     """Bits per entry, probes, and the bounds of what is broadcast and held by one task.
 
-    ``filter_bytes`` bounds the broadcast bit arrays and ``vocabulary`` the broadcast words with
-    their exact counts; of more words the counts are joined. ``segment_chars`` is the text per
+    ``filter_bytes`` bounds the broadcast bit arrays; larger ones are probed by segment. ``vocabulary``
+    bounds the broadcast words with their exact counts; of more words the counts are joined. ``segment_chars`` is the text per
     segment and ``batch_chars`` the text whose n-grams a task holds at once.
     """
 
@@ -113,7 +115,11 @@ def has(array: np.ndarray, keys: np.ndarray, setup: LmSetup) -> np.ndarray:
 
 @dataclass
 class LogFrequencyFilter:
-    """Bit arrays by (segment, level), from ``lowest`` level on."""
+    """Bit arrays by (segment, level).
+
+    ``lowest`` is the level from which on they are within ``filter_bytes``. Above 1 the arrays stay in
+    the table of counts, and n-grams are probed there.
+    """
 
     arrays: dict[tuple[int, int], np.ndarray]
     segments: int
@@ -122,13 +128,15 @@ class LogFrequencyFilter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key's count, 0 if it is not held; a false positive can only raise it."""
+        if self.lowest > 1:
+            raise ValueError("the bit arrays are too large to hold: score with score_texts")
         out = np.zeros(keys.size, np.int64)
         segment = (keys % np.uint64(self.segments)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         cuts = np.searchsorted(segment[order], np.arange(self.segments + 1))
         for s in range(self.segments):
             at = order[cuts[s] : cuts[s + 1]]
-            level = self.lowest
+            level = 1
             while at.size and (array := self.arrays.get((s, level))) is not None:
                 at = at[has(array, keys[at], self.setup)]
                 out[at] = level
@@ -255,6 +263,15 @@ class LanguageModel:
     def score(self, texts: list[str | None]) -> pd.DataFrame:
         """n_tokens, n_known, base_score (both only with exact counts) and score of each text."""
         first, distinct, where, level, pair_level = self.evidence(texts)
+        exact = None
+        if self.words is not None:
+            at = np.minimum(np.searchsorted(self.words, distinct), max(self.words.size - 1, 0))
+            exact = np.where(self.words[at] == distinct, self.counts[at], 0) if self.words.size else np.zeros(distinct.size)
+            exact = exact[where]
+        return self.scores(first, level, pair_level, exact)
+
+    def scores(self, first: np.ndarray, level: np.ndarray, pair_level: np.ndarray, exact: np.ndarray | None) -> pd.DataFrame:
+        """Scores of the texts that begin at ``first``, from the levels and exact counts of their tokens."""
         add = self.filter.setup.add
         count = expected(level)
         unigram = (count + add) / (self.tokens + add * (self.distinct + 1))
@@ -264,43 +281,140 @@ class LanguageModel:
         before = np.maximum(np.r_[1.0, count[:-1]], 1.0)
         bigram = np.minimum(expected(pair_level) / before, 1.0)
         score = np.add.reduceat(np.log10(weight * bigram + (1 - weight) * unigram), first)
-        sizes = np.diff(np.r_[first, where.size])
+        sizes = np.diff(np.r_[first, level.size])
         frame = pd.DataFrame({"n_tokens": sizes.astype(np.int64), "score": score})
-        if self.words is not None:
-            at = np.minimum(np.searchsorted(self.words, distinct), max(self.words.size - 1, 0))
-            exact = np.where(self.words[at] == distinct, self.counts[at], 0) if self.words.size else np.zeros(distinct.size)
-            frame["n_known"] = np.add.reduceat((exact > 0).astype(np.int64)[where], first)
-            frame["base_score"] = np.add.reduceat(self._base(exact)[where], first)
+        if exact is not None:
+            frame["n_known"] = np.add.reduceat((exact > 0).astype(np.int64), first)
+            frame["base_score"] = np.add.reduceat(self._base(exact), first)
         return frame
 
 
-def _interpolation(docs: DataFrame, text: str, model: LanguageModel) -> np.ndarray:
+def _coded(docs: DataFrame, key: str | None, text: str, segments: int, setup: LmSetup) -> DataFrame:
+    """(key, batch, place, tokens, pairs, words, bigrams), one row per text, written.
+
+    ``tokens`` and ``pairs`` count into the batch's distinct ``words`` and ``bigrams``, which are
+    ordered by segment and kept with the first text of the batch.
+    """
+
+    @F.pandas_udf("batch long, place long, tokens binary, pairs binary, words binary, bigrams binary")
+    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts, rows = batch.tolist(), []
+            for a, b in _grouped(texts, setup.batch_chars):
+                number += 1
+                each = [token_keys(t) for t in texts[a:b]]
+                words, tokens = _by_segment(np.concatenate(each), segments)
+                bigrams, pairs = _by_segment(np.concatenate([pair_keys(k) for k in each]), segments)
+                at = 0
+                for i, k in enumerate(each):
+                    own = tokens[at : at + k.size].tobytes(), pairs[at - i : at - i + k.size - 1].tobytes()
+                    rows.append((number, i, *own, *((None, None) if i else (words.tobytes(), bigrams.tobytes()))))
+                    at += k.size
+            yield pd.DataFrame(rows, columns=["batch", "place", "tokens", "pairs", "words", "bigrams"])
+
+    kept = F.lit(None).cast("int") if key is None else F.col(key)
+    return materialize(docs.select(kept.alias("key"), code(F.col(text)).alias("c")).select("key", "c.*"), "coded")
+
+
+def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys ordered by segment, and where each key stands among them."""
+    distinct, where = np.unique(keys, return_inverse=True)
+    order = np.argsort((distinct % np.uint64(segments)).astype(np.int64), kind="stable")
+    rank = np.empty(order.size, np.uint32)
+    rank[order] = np.arange(order.size, dtype=np.uint32)
+    return distinct[order].astype("<u8"), rank[where].astype("<u4")
+
+
+def _probed(coded: DataFrame, table: DataFrame, segments: int, setup: LmSetup, use, schema: str) -> DataFrame:
+    """``use(places, first, levels, pair levels, exact counts)`` of every batch, probed by segment.
+
+    A segment's task holds that segment's arrays and the distinct keys that batches have in it; a
+    batch's task gets one level per distinct key. Segments grow in number, not in size.
+    """
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for batch, *both in zip(part["batch"], part["words"], part["bigrams"], strict=True):
+                rows = []
+                for kind, data in enumerate(both):
+                    keys = np.frombuffer(data, "<u8")
+                    cuts = np.searchsorted((keys % np.uint64(segments)).astype(np.int64), np.arange(segments + 1))
+                    rows += [(batch, s, kind, keys[cuts[s] : cuts[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(cuts))]
+                yield pd.DataFrame(rows, columns=["batch", "segment", "kind", "keys"])
+
+    def probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        arrays = {(0, int(j)): np.frombuffer(d, np.uint8) for j, d in zip(held["level"], held["data"], strict=True) if j}
+        own = LogFrequencyFilter(arrays, 1, 1, setup)
+        first = held[held["level"] == 0]
+        words, counts = (np.frombuffer(first[c].iat[0] if len(first) else b"", t) for c, t in (("data", "<u8"), ("counts", "<i8")))
+        rows = []
+        for batch, segment, kind, data in zip(asked["batch"], asked["segment"], asked["kind"], asked["keys"], strict=True):
+            keys, exact = np.frombuffer(data, "<u8"), b""
+            if kind == 0:
+                at = np.minimum(np.searchsorted(words, keys), max(words.size - 1, 0))
+                exact = (np.where(words[at] == keys, counts[at], 0) if words.size else np.zeros(keys.size)).astype("<i8").tobytes()
+            rows.append((batch, segment, kind, own.levels(keys).astype(np.uint8).tobytes(), exact))
+        return pd.DataFrame(rows, columns=["batch", "segment", "kind", "levels", "exact"])
+
+    def gather(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        texts, found = texts.sort_values("place"), found.sort_values("segment")
+        levels = [np.frombuffer(b"".join(found.loc[found["kind"] == k, "levels"]), np.uint8).astype(np.int64) for k in (0, 1)]
+        exact = np.frombuffer(b"".join(found.loc[found["kind"] == 0, "exact"]), "<i8")
+        tokens = np.frombuffer(b"".join(texts["tokens"]), "<u4")
+        first = np.r_[0, np.cumsum([len(t) // 4 for t in texts["tokens"]])[:-1]].astype(np.int64)
+        pair = np.zeros(tokens.size, np.int64)
+        single = np.ones(tokens.size, bool)
+        single[first] = False
+        pair[single] = levels[1][np.frombuffer(b"".join(texts["pairs"]), "<u4")]
+        return use(texts[["batch", "place"]].reset_index(drop=True), first, levels[0][tokens], pair, exact[tokens])
+
+    asked = coded.filter("words IS NOT NULL").select("batch", "words", "bigrams")
+    asked = asked.mapInPandas(send, "batch long, segment int, kind int, keys binary")
+    found = (
+        asked.groupBy("segment").cogroup(table.select("segment", "level", "data", "counts").groupBy("segment"))
+        .applyInPandas(probe, "batch long, segment int, kind int, levels binary, exact binary")
+    )
+    return coded.select("batch", "place", "tokens", "pairs").groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(gather, schema)
+
+
+def _tally(first: np.ndarray, level: np.ndarray, pair: np.ndarray) -> pd.DataFrame:
+    context = np.r_[0, level[:-1]]
+    context[first] = 0
+    return pd.DataFrame(
+        {
+            "level": np.arange(64),
+            "n": np.bincount(context, minlength=64)[:64].astype(np.int64),
+            "seen": np.bincount(context, pair >= 2, 64)[:64].astype(np.int64),
+        }
+    )
+
+
+def _interpolation(docs: DataFrame, text: str, model: LanguageModel, table: DataFrame) -> np.ndarray:
     """Weight of the bigram for each level of its context, over all training texts.
 
     It is the share of tokens, behind contexts of that level, whose pair also occurs elsewhere: each
     training token has itself been counted, so a pair of level 1 is one that was never seen before.
     A context of level 1 has no other occurrence and takes the weight of level 2.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for batch in batches:
-            texts = batch["text"].tolist()
-            for a, b in _grouped(texts, own.filter.setup.batch_chars):
-                first, _, _, level, pair = own.evidence(texts[a:b])
-                context = np.r_[0, level[:-1]]
-                context[first] = 0
-                seen = pair >= max(2, own.filter.lowest)
-                yield pd.DataFrame(
-                    {
-                        "level": np.arange(64),
-                        "n": np.bincount(context, minlength=64)[:64].astype(np.int64),
-                        "seen": np.bincount(context, seen, 64)[:64].astype(np.int64),
-                    }
-                )
-
-    sums = docs.select(F.col(text).alias("text")).mapInPandas(tally, "level long, n long, seen long").groupBy("level").sum("n", "seen")
+    schema, held = "level long, n long, seen long", model.filter
+    if held.lowest > 1:
+        coded = _coded(docs, None, text, held.segments, held.setup)
+        use = lambda _places, first, level, pair, _exact: _tally(first, level, pair)
+        tallied = _probed(coded, table, held.segments, held.setup, use, schema)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own = shared.value
+            for batch in batches:
+                texts = batch["text"].tolist()
+                for a, b in _grouped(texts, own.filter.setup.batch_chars):
+                    first, _, _, level, pair = own.evidence(texts[a:b])
+                    yield _tally(first, level, pair)
+
+        tallied = docs.select(F.col(text).alias("text")).mapInPandas(tally, schema)
+    sums = tallied.groupBy("level").sum("n", "seen")
     weights = np.zeros(64)
     for r in sums.collect():
         weights[r["level"]] = (r["sum(seen)"] + 0.5) / (r["sum(n)"] + 10)
@@ -318,9 +432,9 @@ def train(docs: DataFrame, text: str = "text", setup: LmSetup = LmSetup()) -> tu
     lowest, top = 1, max(sizes, default=0)
     while lowest < top and sum(sizes[j][0] for j in range(lowest, top + 1)) > setup.filter_bytes:
         lowest += 1
-    arrays = {
+    arrays = {} if lowest > 1 else {
         (r.segment, r.level): np.frombuffer(r.data, np.uint8)
-        for r in table.filter(F.col("level") >= lowest).select("segment", "level", "data").toLocalIterator()
+        for r in table.filter("level > 0").select("segment", "level", "data").toLocalIterator()
     }
     distinct = int(sizes.get(0, (0, 0))[1])
     counted = table.filter("level = 0")
@@ -335,7 +449,7 @@ def train(docs: DataFrame, text: str = "text", setup: LmSetup = LmSetup()) -> tu
         tokens = int(counts.sum())
     held = LogFrequencyFilter(arrays, segments, lowest, setup)
     model = LanguageModel(held, np.zeros(64), tokens, distinct, words, counts)
-    model.weights = _interpolation(docs, text, LanguageModel(held, model.weights, tokens, distinct, None, None))
+    model.weights = _interpolation(docs, text, LanguageModel(held, model.weights, tokens, distinct, None, None), table)
     return model, table
 
 
@@ -355,8 +469,11 @@ def score_texts(docs: DataFrame, model: LanguageModel, table: DataFrame, key: st
     ``score`` is the model's log10 probability, ``base_score`` that of a smoothed unigram model with
     exact counts. A NULL text is empty: its end is its only token. Repeated rows are scored each;
     an empty table gives an empty result. If the words were too many to broadcast, the exact
-    counts are joined to the distinct words of each text.
+    counts are joined to the distinct words of each text. If the bit arrays were too large to
+    broadcast, levels and exact counts both come from the segments.
     """
+    if model.filter.lowest > 1:
+        return _score_by_segment(docs, replace(model, words=None, counts=None), table, key, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     exact = model.words is not None
     names = ["n_tokens", "n_known", "base_score", "score"] if exact else ["n_tokens", "score"]
@@ -392,3 +509,17 @@ def score_texts(docs: DataFrame, model: LanguageModel, table: DataFrame, key: st
         .agg(F.sum(F.when(c > 0, F.col("t")).otherwise(0)).alias("n_known"), F.sum(F.col("t") * part).alias("base_score"))
     )
     return rows.join(sums, "row").select(F.col("key").alias(key), F.col("s.n_tokens").alias("n_tokens"), "n_known", "base_score", F.col("s.score").alias("score"))
+
+
+def _score_by_segment(docs: DataFrame, model: LanguageModel, table: DataFrame, key: str, text: str) -> DataFrame:
+    held = model.filter
+
+    def use(places: pd.DataFrame, *evidence: np.ndarray) -> pd.DataFrame:
+        frame = model.scores(*evidence)[["n_tokens", "n_known", "base_score", "score"]]
+        return pd.concat([places, frame], axis=1)
+
+    coded = _coded(docs, key, text, held.segments, held.setup)
+    schema = "batch long, place long, n_tokens long, n_known long, base_score double, score double"
+    scored = _probed(coded, table, held.segments, held.setup, use, schema)
+    found = coded.select("key", "batch", "place").join(scored, ["batch", "place"])
+    return found.select(F.col("key").alias(key), "n_tokens", "n_known", "base_score", "score")

@@ -64,6 +64,22 @@ def test_bound_of_the_filter_leaves_out_low_levels(documents):
     assert all(r.score < 0 for r in score_texts(documents, small, table).collect())
 
 
+def test_scores_are_the_same_beyond_the_bound_of_the_filter(documents):
+    setup = dict(segment_chars=1 << 17, batch_chars=1 << 16)
+    training = documents.filter("doc_id % 10 != 0")
+    both = []
+    for more in ({}, {"filter_bytes": 1000}, {"filter_bytes": 1000, "vocabulary": 10}):
+        model, table = train(training, setup=LmSetup(**setup, **more))
+        both.append((model, {r.doc_id: r for r in score_texts(documents, model, table).collect()}))
+    (near, want), *others = both
+    for far, got in others:
+        assert near.filter.lowest == 1 < far.filter.lowest and np.array_equal(near.weights, far.weights)
+        assert got.keys() == want.keys()
+        for d, r in got.items():
+            assert (r.n_tokens, r.n_known) == (want[d].n_tokens, want[d].n_known)
+            assert math.isclose(r.score, want[d].score, rel_tol=1e-9) and math.isclose(r.base_score, want[d].base_score, rel_tol=1e-9)
+
+
 def test_bit_arrays():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
