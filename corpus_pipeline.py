@@ -11,6 +11,22 @@ from pyspark.sql import functions as F
 QUALITY = 0.7
 
 
+def _numbered(docs: DataFrame, first: str | None = None) -> tuple[DataFrame, str]:
+    """The documents, written with an id of each row, and the id's column.
+
+    Rows may share a ``doc_id`` or have none, so stages that drop documents tell rows apart by this
+    id. With ``first`` it is ordered by that column, NULLs last.
+    """
+    from quern.llm.text import free_name
+    from quern.session import materialize
+
+    row = free_name(docs.columns, "row_id")
+    number = F.monotonically_increasing_id()
+    if first:
+        number = F.struct(F.col(first).isNull().alias("none"), F.col(first).alias("first"), number.alias("row"))
+    return materialize(docs.withColumn(row, number), "rows"), row
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labelled ones, accepts."""
     from quern.llm.quality_model import score_quality, train
@@ -25,14 +41,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near-duplicates."""
     from quern.llm.near_duplicates import NearSetup, drop_near_duplicates
 
-    return drop_near_duplicates(docs, setup=NearSetup(percent=80))
+    rows, row = _numbered(docs, "doc_id")
+    return drop_near_duplicates(rows, row, setup=NearSetup(percent=80)).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     from quern.llm.decontaminate import drop_leaks
 
-    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    rows, row = _numbered(docs)
+    return drop_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), row).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

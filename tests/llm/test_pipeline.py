@@ -81,3 +81,18 @@ def test_tokens_decode_to_the_masked_texts(stages):
 def test_run_is_all_stages(spark, stages):
     got = corpus_pipeline.run(spark, DATA)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in stages[5].collect()}
+
+
+def test_rows_that_share_an_id_or_have_none_are_dropped_by_row(spark, tmp_path):
+    one = " ".join(f"alpha{i}" for i in range(60))
+    two, three, four = one.replace("alpha", "beta"), one.replace("alpha", "gamma"), one.replace("alpha", "delta")
+    rows = [(None, one), (None, two), (None, two), (5, one), (5, three), (7, four), (7, four), (3, one), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    left = corpus_pipeline.drop_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    assert got(left) == sorted([(3, one), (None, two), (5, three), (7, four), (9, None)], key=str)
+    spark.createDataFrame([(1, one)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert got(left) == sorted([(d, t) for d, t in rows if t != one], key=str)
