@@ -82,4 +82,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed_rules = '' AND coalesce(host_rate <= 0.6, true) AS kept, failed_rules,
        round(host_rate, 9) AS host_rate, coalesce(host_rate > 0.6, false) AS host_rejected
 FROM f LEFT JOIN rated USING (host)""",
+    "op12_fill_in_middle": """WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(sha256('1:' || doc_id), i, 8))::BIGINT) AS h
+  FROM documents
+), cut AS (
+  SELECT doc_id, t, len(u) AS n, u, h, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS lo, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+), parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:lo], '') AS p, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts""",
 }

@@ -127,6 +127,17 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_hosts(table(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut in three and rearranged, with digests of the output and of the text rebuilt from it."""
+    from quern.llm.fill_middle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, folder, "documents"), ["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -140,5 +151,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_quality_classifier,
         op10_quality_rules,
+        op12_fill_in_middle,
     )
 }

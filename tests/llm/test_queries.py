@@ -22,6 +22,9 @@ COLUMNS = {
     "op7": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op8": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9": "doc_id held_out score predicted",
+    "op11": "vec_id n_links component_id kept",
+    "op12": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op13": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op10": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
 
