@@ -138,6 +138,16 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two public tokenizers in every document."""
+    import public_tokenizers
+
+    from quern.llm.cross_tokens import align_tokens
+
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokens(table(spark, folder, "documents"), ["doc_id"], *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -152,5 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_quality_rules,
         op12_fill_in_middle,
+        op13_cross_tokenizer_alignment,
     )
 }
