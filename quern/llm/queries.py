@@ -127,6 +127,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_hosts(table(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
+def op11_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings, by NN-descent."""
+    from quern.llm.embedding_duplicates import near_vectors
+
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut in three and rearranged, with digests of the output and of the text rebuilt from it."""
     from quern.llm.fill_middle import fill_in_middle, restored
@@ -161,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_quality_classifier,
         op10_quality_rules,
+        op11_embedding_near_duplicates,
         op12_fill_in_middle,
         op13_cross_tokenizer_alignment,
     )
