@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from catalog import fixtures
 from quern.functions import text as tx
 from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, TWO_BYTE_VOCAB, id_range, specials_length, token_width, with_specials
 from quern.operators import chat, encode, energy, ordered, packing, sampling, stats
@@ -16,6 +17,8 @@ from quern.plans.energy_report import energy_report
 from quern.plans.prepare import prepare_chunks, prepare_sequences
 from quern.session import materialize, scratch_path, widen
 from quern.sources import corpus, export, packed, requests
+from quern.sources.footers import parquet_footers, read_parquet_files, with_row_groups
+from quern.sources.json_ranges import json_array_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +184,60 @@ def source_json_arrays(spark, sf):
     return good.select("doc_id", "row_index", "text")
 
 
+def _filed(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    return docs.select(fixtures.file_no().alias("file"), "doc_id", "text")
+
+
+def _number(source: str = "source") -> Column:
+    return F.regexp_extract(source, r"f(\d+)\.", 1).cast("long").alias("file")
+
+
+@query
+def source_mixed_schema(spark, sf):
+    """Files whose text column differs, by both rules: the documents and the files without a text column."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "mixed", fixtures.write_mixed_parquet)
+    footers = parquet_footers(corpus.list_corpus(spark, path, "parquet"))
+    parts = []
+    for rule, candidates in (("named", None), ("listed", tx.TABLE_TEXT_NAMES)):
+        good, refused = read_parquet_files(spark, footers, "text", candidates)
+        parts.append(good.select(F.lit(rule).alias("rule"), _number(), "row_index", text_md5("text"), F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("excerpt")))
+        parts.append(refused.select(F.lit(rule), _number(), F.lit(None).cast("long"), F.lit(None).cast("string"), "stage", "excerpt"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+@query
+def source_json_large(spark, sf):
+    """Arrays read in ranges far smaller than a file, so that most elements cross a border: both halves."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "arrays", fixtures.write_json_array)
+    good, refused = json_array_records(corpus.list_corpus(spark, path, "json"), size=10_000)
+    good = good.select(_number(), "row_index", text_md5("text"), F.lit(None).cast("string").alias("stage"))
+    return good.union(refused.select(_number(), F.lit(None).cast("long"), F.lit(None).cast("string"), "stage"))
+
+
+@query
+def source_bad_files(spark, sf):
+    """Good and damaged files of four formats in one corpus: the documents of the good ones, and what was refused."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "damaged", fixtures.write_some_broken)
+    good, refused = corpus.read_any(spark, corpus.list_corpus(spark, path))
+    good = good.select(_number(), text_md5("text"), F.lit(None).cast("string").alias("stage"))
+    return good.union(refused.select(_number(), F.lit(None).cast("string"), "stage"))
+
+
+@query
+def pack_row_groups(spark, sf):
+    """Sequences of files with several row groups; batches begin anew at each file and row group."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "groups", fixtures.write_row_groups)
+    footers = parquet_footers(corpus.list_corpus(spark, path, "parquet"))
+    docs, _ = read_parquet_files(spark, footers)
+    docs = with_row_groups(docs, footers)
+    packed_rows = prepare_sequences(docs, vocabulary(spark, sf), seq_length=256, batch_size=16, within="row_group")
+    return packed_rows.select(_number(), "row_group", "batch_no", "seq_no", "n_real", ids_md5())
+
+
 @query
 def source_requests(spark, sf):
     turns = table(spark, sf, "conversations")

@@ -40,18 +40,23 @@ def prepare_sequences(
     pad: int | None = None,
     source: str = "source",
     order: str = "row_index",
+    within: str | None = None,
 ) -> DataFrame:
     """Documents to sequences of ``seq_length + 1`` tokens, packed within batches of a source.
 
+    Batches begin anew at each source and, with ``within``, at each of its parts, such as the
+    ``row_group`` of ``with_row_groups``.
+
     Text, not tokens, crosses the shuffle that numbers the documents; the tokens are made
-    where they are packed. Returns ``(source, batch_no, seq_no, tokens, n_real)``.
+    where they are packed. Returns ``(source, within, batch_no, seq_no, tokens, n_real)``.
     """
     pad = eos if pad is None else pad
     require_specials(bos, pad, bos is not None, True)
-    narrow = drop_blank(docs.select(source, order, "text"))
-    batched = with_batches(narrow, source, order, batch_size)
+    groups = [source, within] if within else [source]
+    narrow = drop_blank(docs.select(*groups, order, "text"))
+    batched = with_batches(narrow, groups, order, batch_size)
     tokens = tokenize(batched, tokenizer, bos, eos)
-    return pack_sequences(tokens, [source, "batch_no"], order, seq_length, pad)
+    return pack_sequences(tokens, [*groups, "batch_no"], order, seq_length, pad)
 
 
 def prepare_chunks(

@@ -15,6 +15,8 @@ from quern.functions.text import (
     subset_of,
 )
 from quern.operators.stats import with_quarantine
+from quern.sources.footers import parquet_footers, read_parquet_files
+from quern.sources.json_ranges import json_array_records, json_line_records, read_text_files
 
 # Extensions found by automatic discovery, and the directories searched first.
 AUTO_EXTENSIONS = ("txt", "json", "csv", "parquet", "jsonl", "zst")
@@ -135,40 +137,42 @@ def read_txt(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_json_lines(
-    spark: SparkSession, paths: str | list[str], compressed: bool = False
+    spark: SparkSession, paths: str | list[str] | DataFrame, compressed: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Documents of JSON Lines files, and the lines that hold none.
+    """Documents of JSON Lines files, and the lines and files that hold none; ``paths`` may list files.
 
     A line is a JSON string or an object with ``text``; in compressed files ``content``,
-    ``document`` and ``data`` are tried as well. Spark decompresses ``.zst`` while reading.
+    ``document`` and ``data`` are tried as well. Lines of any length are read, and files in parts.
     """
     keys = RECORD_TEXT_KEYS if compressed else RECORD_TEXT_KEYS[:1]
-    return parse_json_lines(_lines(spark, paths, "*.zst" if compressed else "*.jsonl"), keys)
+    files = paths if isinstance(paths, DataFrame) else _list_files(spark, paths, "*.zst" if compressed else "*.jsonl")
+    rows = json_line_records(files, keys, compressed)
+    ok = F.col("stage").isNull()
+    return rows.where(ok).select("source", "row_index", "text"), rows.where(~ok).select("source", "row_index", "stage", "excerpt")
 
 
 def parse_json_lines(lines: DataFrame, keys: tuple[str, ...] = RECORD_TEXT_KEYS) -> tuple[DataFrame, DataFrame]:
-    """Documents of JSON ``value`` lines, and the lines that hold none; blank lines are skipped."""
+    """Documents of JSON ``value`` lines, and the lines that hold none; blank lines are skipped.
+
+    For values that are in a table already; Spark's own parser refuses values above some 16 MB, which
+    :func:`read_json_lines` reads from files.
+    """
     others = [c for c in lines.columns if c != "value"]
     parsed = lines.where(not_blank(F.col("value"))).withColumn("text", record_text(F.col("value"), keys))
     good, bad = with_quarantine(parsed, F.col("text").isNotNull(), "value", "parse")
     return good.select(*others, "text"), bad.drop("text")
 
 
-def read_json_documents(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Documents of ``.json`` files (a file is one JSON value, hence one record), and bad files."""
-    whole = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .text(paths, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("source"), "value")
-    )
-    return parse_json_arrays(whole)
+def read_json_documents(spark: SparkSession, paths: str | list[str] | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of ``.json`` files, an array each, and bad files; ``paths`` may list files."""
+    return json_array_records(paths if isinstance(paths, DataFrame) else _list_files(spark, paths, "*.json"))
 
 
 def parse_json_arrays(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents of JSON arrays in ``value``: all strings, or all objects with ``text``.
 
     Values of any other shape are returned as bad rows. Objects without ``text`` are left out.
+    Spark's own parser refuses values above some 16 MB, which :func:`read_json_documents` reads.
     """
     others = [c for c in values.columns if c != "value"]
     parsed = F.try_parse_json("value")
@@ -187,14 +191,20 @@ def parse_json_arrays(values: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_corpus(
-    spark: SparkSession, root: str | list[str], fmt: str, text_column: str | None = None
+    spark: SparkSession, root: str | list[str] | DataFrame, fmt: str, text_column: str | None = None, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Documents ``(source, row_index, text)`` and quarantined rows of one format."""
-    none = spark.createDataFrame([], "source string, stage string, excerpt string")
+    """Documents ``(source, row_index, text)`` and refused ``(source, stage, excerpt)`` of one format.
+
+    ``root`` may list files (``path``, ``bytes``). A file or record that cannot be read is refused and
+    the others are read. Parquet files may have a text column of their own each; ``strict`` tries
+    the fixed list of names.
+    """
     if fmt == "parquet":
-        return read_parquet_text(spark, root, text_column or "text"), none
+        files = root if isinstance(root, DataFrame) else _list_files(spark, root, "*.parquet")
+        return read_parquet_files(spark, parquet_footers(files), text_column or "text", TABLE_TEXT_NAMES if strict else None)
     if fmt == "txt":
-        return read_txt(spark, root), none
+        files = root if isinstance(root, DataFrame) else _list_files(spark, root, "*.txt")
+        return read_text_files(files)
     if fmt == "jsonl":
         good, bad = read_json_lines(spark, root)
     elif fmt in ("jsonl.zst", "zst"):
@@ -206,25 +216,20 @@ def read_corpus(
     return good, bad.select("source", "stage", "excerpt")
 
 
-def read_any(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents of exactly the files that ``files`` (``path``, ``ext``) lists.
+#: Formats with a reader.
+READABLE = ("txt", "json", "parquet", "jsonl", "jsonl.zst", "zst")
+
+
+def read_any(spark: SparkSession, files: DataFrame, text_column: str | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The documents of exactly the files that ``files`` (``path``, ``ext``, ``bytes``) lists, and what was refused.
 
     A selection of files, such as the first of them or those that are not done, is thus all that is
-    read. Spark's readers take the names from the driver, which lists them anyway. Formats without
-    a reader are quarantined file by file.
+    read. A file that fails does not stop the others. Formats without a reader are refused file by file.
     """
-    by_ext: dict[str, list[str]] = {}
-    for r in files.select("path", "ext").distinct().collect():
-        by_ext.setdefault(r.ext, []).append(r.path)
-    readable = [e for e in ("txt", "json", "parquet", "jsonl", "jsonl.zst", "zst") if e in by_ext]
-    parts = [read_corpus(spark, sorted(by_ext[e]), e) for e in readable]
-    unread = files.where(~F.col("ext").isin(readable)).select(
-        F.col("path").alias("source"), F.lit("unsupported").alias("stage"), F.col("ext").alias("excerpt")
-    )
-    docs, bad = None, unread
-    for good, refused in parts:
-        docs = good if docs is None else docs.unionByName(good)
-        bad = bad.unionByName(refused)
-    if docs is None:
-        docs = spark.createDataFrame([], "source string, row_index long, text string")
+    unread = files.where(~F.coalesce(F.col("ext").isin(*READABLE), F.lit(False)))
+    docs = spark.createDataFrame([], "source string, row_index long, text string")
+    bad = unread.select(F.col("path").alias("source"), F.lit("unsupported").alias("stage"), F.col("ext").alias("excerpt"))
+    for ext in [r.ext for r in files.select("ext").distinct().orderBy("ext").collect() if r.ext in READABLE]:
+        good, refused = read_corpus(spark, files.where(F.col("ext") == ext), ext, text_column, strict)
+        docs, bad = docs.unionByName(good), bad.unionByName(refused)
     return docs, bad

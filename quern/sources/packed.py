@@ -19,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from quern.functions.tokens import TYPE_CODES
 from quern.session import ship_package
+from quern.sources.paths import filesystem as _filesystem
 
 # File format.
 MAGIC = b"LITPKDS"
@@ -142,19 +143,6 @@ class PackedWriter(DataSourceArrowWriter):
             fs.delete_dir(f"{root}/{self.staging}")
 
 
-def _filesystem(uri: str):
-    """File system and path of a URI; ``s3a`` is read as ``s3``."""
-    from pyarrow import fs as pafs
-
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[len("s3a://") :]
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
-
-
 def write_chunks(
     chunks: DataFrame,
     path: str,
