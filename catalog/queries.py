@@ -17,6 +17,7 @@ from quern.plans.energy_report import energy_report
 from quern.plans.prepare import prepare_chunks, prepare_sequences
 from quern.session import materialize, scratch_path, widen
 from quern.sources import corpus, export, packed, requests
+from quern.sources.blocks import block_plan, by_file, read_blocks
 from quern.sources.footers import parquet_footers, read_parquet_files, with_row_groups
 from quern.sources.json_ranges import json_array_records
 
@@ -526,6 +527,15 @@ def shuffle_blocks_epochs(spark, sf):
     return shuffled.select("epoch", "shard", "run_no", "position", ids_md5())
 
 
+@query
+def block_files(spark, sf):
+    """Chunk files published by tasks; their blocks planned from headers and read by byte ranges, in shuffled order."""
+    path = scratch_path(spark, "blocks")
+    packed.write_chunks(chunks(spark, sf), path, F.col("lang"), "int32", "chunk_no")
+    plan = block_plan(corpus.list_corpus(spark, path, "bin"), 3, 4, 512, 12345)
+    return read_blocks(by_file(plan)).select("shard", "run_no", "position", ids_md5())
+
+
 @query
 def mix_datasets(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), text_md5("text"))

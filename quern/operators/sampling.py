@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from fractions import Fraction
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.text import subset_rank
 from quern.operators.ordered import seeded_block, seeded_key, whole_div, with_ordinal
@@ -115,6 +115,14 @@ def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
+def block_permutation(seed: int, epoch: Column, run: Column, blocks: Column | int) -> Column:
+    """The numbers 0 to ``blocks`` - 1 of a run in their shuffled order, as an array."""
+    prefix = F.concat_ws("-", F.lit(str(seed)), epoch, run)
+    indices = F.sequence(F.lit(0), (blocks if isinstance(blocks, Column) else F.lit(blocks)) - 1)
+    keyed = F.transform(indices, lambda i: F.struct(F.md5(F.concat_ws("-", prefix, i)).alias("k"), i.alias("i")))
+    return F.transform(F.array_sort(keyed), lambda e: e["i"])
+
+
 def shuffle_blocks(
     chunks: DataFrame,
     n_chunks: int,
@@ -141,12 +149,8 @@ def shuffle_blocks(
     base = source.where(run < complete).select(
         *others, tokens, run.alias("run_no"), in_run.alias("__chunk")
     )
-    prefix = F.concat_ws("-", F.lit(str(seed)), F.col("epoch"), F.col("run_no"))
-    indices = F.sequence(F.lit(0), F.lit(n_chunks * n_blocks - 1))
-    shuffled = F.array_sort(
-        F.transform(indices, lambda i: F.struct(F.md5(F.concat_ws("-", prefix, i)).alias("k"), i.alias("i")))
-    )
-    placed = F.transform(shuffled, lambda e, p: F.struct(p.alias("position"), e["i"].alias("i")))
+    shuffled = block_permutation(seed, F.col("epoch"), F.col("run_no"), n_chunks * n_blocks)
+    placed = F.transform(shuffled, lambda i, p: F.struct(p.alias("position"), i.alias("i")))
     mine = F.filter(placed, lambda e: whole_div(e["i"], n_blocks) == F.col("__chunk"))
     spread = base.select(*others, "run_no", tokens, F.explode(mine).alias("__e"))
     block_no = F.col("__e.i") % n_blocks

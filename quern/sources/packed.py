@@ -6,20 +6,21 @@ u64 chunk size) and the raw ids. A shard file is the raw ids alone.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quern.functions.tokens import TYPE_CODES
-from quern.session import ship_package
-from quern.sources.paths import filesystem as _filesystem
+from quern.session import materialize, ship_package
+from quern.sources.paths import filesystem as _filesystem, spread
 
 # File format.
 MAGIC = b"LITPKDS"
@@ -59,9 +60,10 @@ class PackedTokens(DataSource):
 
     Rows of one file must be consecutive within a task (:func:`write_chunks` and
     :func:`write_shards` see to that). Options: ``dtype``; ``header`` ("true" for chunk
-    files, which have one row each). Tasks write into a folder of their own attempt; files get
-    their names when the job commits, so nothing of a failed job or of a lost attempt is ever
-    seen. A name that two rows or tasks claim, or that is already taken, fails the job.
+    files, which have one row each). Tasks write into a folder of their own attempt, and the commit
+    records the attempts that count; :func:`publish` then gives the files their names. Nothing of a
+    failed job or of a lost attempt is ever seen. A name that two rows or tasks claim, or that is
+    already taken, fails the write.
     """
 
     @classmethod
@@ -77,12 +79,17 @@ class PackedTokens(DataSource):
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    """Names of an attempt's files, by the path that each has until the commit."""
+    """The manifest of an attempt: a file that lists what the attempt wrote, and under which names it belongs."""
 
-    files: list[tuple[str, str]]
+    manifest: str
 
 
 class PackedWriter(DataSourceArrowWriter):
+    """Writes an attempt's files and their manifest; the commit only lists the manifests of the attempts.
+
+    The files get their names from :func:`publish`, which is a job of its own.
+    """
+
     def __init__(self, options):
         self.root = options["path"].rstrip("/")
         self.dtype = options.get("dtype", "uint16")
@@ -111,36 +118,126 @@ class PackedWriter(DataSourceArrowWriter):
                 stream.write(narrow(ids, self.dtype))
         if stream is not None:
             stream.close()
-        return WrittenFiles(list(written.items()))
+        manifest = f"{attempt}/manifest"
+        with fs.open_output_stream(manifest) as out:
+            out.write("".join(json.dumps([place, name]) + "\n" for name, place in written.items()).encode())
+        return WrittenFiles(manifest)
 
     def commit(self, messages) -> None:
-        from pyarrow import fs as pafs
-
         fs, root = _filesystem(self.root)
-        written = [f for m in messages if m is not None for f in m.files]
-        names = [name for name, _ in written]
-        twice = {n for n, k in Counter(names).items() if k > 1}
-        taken = [i.path for i in fs.get_file_info([f"{root}/{n}" for n in names]) if i.type != pafs.FileType.NotFound]
-        if twice or taken:
-            self.abort(messages)
-            raise ValueError(f"names claimed twice: {sorted(twice)[:5]}, names already taken: {sorted(taken)[:5]}")
-        for folder in {f"{root}/{n}".rsplit("/", 1)[0] for n in names} | {root}:
-            fs.create_dir(folder, recursive=True)
-        for name, place in written:
-            fs.move(place, f"{root}/{name}")
-        self._clear(fs, root)
-        with fs.open_output_stream(f"{root}/_SUCCESS"):
-            pass
+        fs.create_dir(f"{root}/{_COMMITS}", recursive=True)
+        listed = json.dumps({"staging": self.staging, "manifests": [m.manifest for m in messages if m is not None]})
+        # Written aside and then named, so that a commit is there as a whole or not at all.
+        with fs.open_output_stream(f"{root}/{self.staging}/commit") as out:
+            out.write(listed.encode())
+        fs.move(f"{root}/{self.staging}/commit", f"{root}/{_COMMITS}/{self.staging}")
 
     def abort(self, messages) -> None:
         """Nothing has been published; the attempts' files go."""
-        self._clear(*_filesystem(self.root))
+        _clear(*_filesystem(self.root), self.staging)
+
+
+#: Folder of the commits that wait to be published.
+_COMMITS = "_commits"
+
+
+def _clear(fs, root: str, staging: str) -> None:
+    from pyarrow import fs as pafs
+
+    if fs.get_file_info(f"{root}/{staging}").type == pafs.FileType.Directory:
+        fs.delete_dir(f"{root}/{staging}")
+
+
+def publish(spark: SparkSession, path: str) -> int:
+    """Give the files of every committed write below ``path`` their names; returns how many there are.
+
+    A Spark job reads the manifests, checks that no name is claimed twice or taken, and moves the files, all
+    in tasks. If it, an executor or the driver is lost half-way, call it again: a file that has its
+    name already is passed over, and what is left is moved. Names that clash fail the call
+    before anything is moved, and the write is discarded.
+    """
+    ship_package(spark)
+    fs, root = _filesystem(path.rstrip("/"))
+    total = 0
+    for staging, manifests in _waiting(fs, root):
+        files = materialize(_listed(spark, path, manifests), "manifest")
+        twice = files.groupBy("name").count().where("count > 1").orderBy("name").limit(5)
+        claimed = [r.name for r in twice.collect()]
+        taken = [r.name for r in _over_files(files, path, _state).where("staged AND named").orderBy("name").limit(5).collect()]
+        if claimed or taken:
+            _settle(fs, root, staging)
+            raise ValueError(f"names claimed twice: {claimed}, names already taken: {taken}")
+        total += _over_files(files, path, _move).count()
+        _settle(fs, root, staging)
+    with fs.open_output_stream(f"{root}/_SUCCESS"):
+        pass
+    return total
+
+
+def _settle(fs, root: str, staging: str) -> None:
+    """Forget a commit: the staged files go first, so that a loss in between leaves nothing unlisted."""
+    _clear(fs, root, staging)
+    fs.delete_file(f"{root}/{_COMMITS}/{staging}")
+    if not _waiting(fs, root):
+        fs.delete_dir(f"{root}/{_COMMITS}")
+
+
+def _waiting(fs, root: str) -> list[tuple[str, list[str]]]:
+    """(staging folder, manifests) of the commits that are not published: a line for each task that wrote."""
+    from pyarrow import fs as pafs
+
+    out = []
+    for found in fs.get_file_info(pafs.FileSelector(f"{root}/{_COMMITS}", allow_not_found=True)):
+        with fs.open_input_stream(found.path) as file:
+            commit = json.loads(file.read())
+        out.append((commit["staging"], commit["manifests"]))
+    return sorted(out)
+
+
+def _listed(spark: SparkSession, path: str, manifests: list[str]) -> DataFrame:
+    """(place, name) of every file that the manifests, paths on the file system of ``path``, list."""
+    listed = spark.createDataFrame([(m,) for m in manifests], "manifest string")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, _ = _filesystem(path)
+        for batch in batches:
+            for manifest in batch["manifest"]:
+                with fs.open_input_stream(manifest) as file:
+                    rows = [json.loads(line) for line in file.read().splitlines()]
+                if rows:
+                    yield pd.DataFrame(rows, columns=["place", "name"])
+
+    return spread(listed, "manifest").mapInPandas(read, "place string, name string")
+
+
+def _over_files(files: DataFrame, path: str, work: Callable) -> DataFrame:
+    """``work`` on each file, in tasks: (name, staged, named)."""
+    goal = path.rstrip("/")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = _filesystem(goal)
+        for batch in batches:
+            rows = [(name, *work(fs, place, f"{root}/{name}")) for place, name in zip(batch["place"], batch["name"], strict=True)]
+            yield pd.DataFrame(rows, columns=["name", "staged", "named"])
+
+    return spread(files, "name").mapInPandas(run, "name string, staged boolean, named boolean")
+
+
+def _state(fs, place: str, name: str) -> tuple[bool, bool]:
+    from pyarrow import fs as pafs
+
+    return tuple(i.type != pafs.FileType.NotFound for i in fs.get_file_info([place, name]))
 
-    def _clear(self, fs, root: str) -> None:
-        from pyarrow import fs as pafs
 
-        if fs.get_file_info(f"{root}/{self.staging}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{root}/{self.staging}")
+def _move(fs, place: str, name: str) -> tuple[bool, bool]:
+    """Move a file unless an earlier attempt has done so."""
+    staged, named = _state(fs, place, name)
+    if staged:
+        fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        fs.move(place, name)
+    elif not named:
+        raise FileNotFoundError(f"{name} is neither staged nor published")
+    return staged, True
 
 
 def write_chunks(
@@ -163,6 +260,7 @@ def write_chunks(
     name = F.format_string("%s_%010d.bin", prefix, F.col(number).cast("long"))
     rows = chunks.select(name.alias("file"), F.col(tokens).alias("tokens"))
     rows.write.format("packed_tokens").option("dtype", dtype).mode("append").save(path)
+    publish(chunks.sparkSession, path)
 
 
 def write_shards(
@@ -192,6 +290,7 @@ def write_shards(
         .select("file", F.col(tokens).alias("tokens"))
     )
     rows.write.format("packed_tokens").options(dtype=dtype, header="false").mode("append").save(path)
+    publish(sequences.sparkSession, path)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
