@@ -554,7 +554,7 @@ def docs_per_source(spark, sf):
 
 @query
 def corpus_totals(spark, sf):
-    return stats.corpus_totals(chunks(spark, sf, "source"))
+    return stats.chunk_totals(documents(spark, sf), word_count(), 2048)
 
 
 @query

@@ -54,25 +54,45 @@ def one_id(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.groupBy("token").agg(F.min("id").cast("int").alias("id"))
 
 
-def bounded_rows(df: DataFrame, limit: int) -> list | None:
+def bounded_rows(df: DataFrame, limit: int) -> pa.Table | None:
     """The rows of ``df`` when there are at most ``limit``, else None."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+    rows = df.limit(limit + 1).toArrow()
+    return rows if rows.num_rows <= limit else None
 
 
-def _word_encoder(tokens: list[str], ids: list[int], unknown: int) -> Callable[[pa.Array], pa.Array]:
-    """A function from a text array to a list<int32> array, all in Arrow kernels."""
+class WordIndex:
+    """Ids of words, sent as two Arrow columns; each worker makes its dictionary of them once."""
+
+    def __init__(self, table: pa.Table):
+        self._tokens, self._ids = table["token"].combine_chunks(), table["id"].combine_chunks()
+        self._of: dict[str, int] | None = None
+
+    def __getstate__(self):
+        return {"_tokens": self._tokens, "_ids": self._ids, "_of": None}
+
+    def look_up(self, words: list[str], unknown: int) -> np.ndarray:
+        if self._of is None:
+            self._of = dict(zip(self._tokens.to_pylist(), self._ids.to_pylist(), strict=True))
+        return np.fromiter((self._of.get(w, unknown) for w in words), np.int32, len(words))
+
+
+def _word_encoder(index: WordIndex, unknown: int) -> Callable[[pa.Array], pa.Array]:
+    """A function from a text array to a list<int32> array.
+
+    Words are made distinct within a batch by Arrow, and only the distinct ones are looked up.
+    """
 
     def encode(texts: pa.Array) -> pa.Array:
         split = pc.split_pattern(texts, " ")
         flat, parent = split.flatten(), pc.list_parent_indices(split)
         real = pc.not_equal(flat, "")
         flat, parent = flat.filter(real), parent.filter(real)
-        slot = pc.index_in(flat, value_set=pa.array(tokens, pa.string()))
-        found = pc.fill_null(pc.take(pa.array(ids, pa.int32()), slot), unknown)
+        coded = flat.dictionary_encode()
+        own = index.look_up(coded.dictionary.to_pylist(), unknown)
+        found = pa.array(own[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.int32))
         counts = np.bincount(parent.to_numpy(zero_copy_only=False), minlength=len(texts))
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, found.cast(pa.int32()))
+        return pa.ListArray.from_arrays(offsets, found)
 
     return encode
 
@@ -89,11 +109,11 @@ def encode_words(
     rows = bounded_rows(one_id(vocabulary), BROADCAST_ENTRIES)
     if rows is None:
         return encode_words_by_join(df, vocabulary, text, tokens, unknown)
-    shared = df.sparkSession.sparkContext.broadcast(([r.token for r in rows], [r.id for r in rows]))
+    shared = df.sparkSession.sparkContext.broadcast(WordIndex(rows))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        run = _word_encoder(*shared.value, unknown)
+        run = _word_encoder(shared.value, unknown)
         for texts in batches:
             yield run(texts)
 
@@ -171,26 +191,30 @@ def decode_words(
     rows = bounded_rows(table, BROADCAST_ENTRIES)
     if rows is None:
         return _decode_by_join(df, table, tokens, text, skip_special_tokens)
-    shared = df.sparkSession.sparkContext.broadcast([(r.id, r.token, r.special) for r in rows])
+    rows = rows.sort_by("id").combine_chunks()
+    columns = [rows[c].combine_chunks() for c in ("id", "token", "special")] if rows.num_rows else [pa.array([], pa.int32()), pa.array([], pa.string()), pa.array([], pa.bool_())]
+    shared = df.sparkSession.sparkContext.broadcast(columns)
 
     @F.arrow_udf(T.StringType())
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        entries = shared.value
-        ids = pa.array([e[0] for e in entries], pa.int32())
-        names = pa.array([e[1] for e in entries], pa.string())
-        special = np.array([e[2] for e in entries] + [False])
+        ids, names, special = shared.value
+        ids = ids.to_numpy()
+        names = pa.concat_arrays([names, pa.array(["<unk>"], pa.string())])
+        special = np.r_[special.to_numpy(zero_copy_only=False).astype(bool), False]
         for lists in batches:
             if isinstance(lists, pa.ChunkedArray):
                 lists = lists.combine_chunks()
             flat, parent = lists.flatten(), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-            slot = pc.index_in(flat.cast(pa.int32()), value_set=ids)
-            out = pc.fill_null(pc.take(names, slot), "<unk>")
+            wanted = flat.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            # The last slot stands for an unknown id.
+            slot = np.minimum(np.searchsorted(ids, wanted), max(len(ids) - 1, 0))
+            slot = np.where(ids[slot] == wanted, slot, len(ids)) if len(ids) else np.zeros(len(wanted), np.int64)
             if skip_special_tokens:
-                keep = ~special[pc.fill_null(slot, len(entries)).to_numpy(zero_copy_only=False)]
-                out, parent = out.filter(pa.array(keep)), parent[keep]
+                keep = ~special[slot]
+                slot, parent = slot[keep], parent[keep]
             counts = np.bincount(parent, minlength=len(lists))
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            yield pc.binary_join(pa.ListArray.from_arrays(offsets, out), " ")
+            yield pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(pa.array(slot))), " ")
 
     return df.withColumn(text, decode(F.col(tokens)))
 

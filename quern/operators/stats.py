@@ -27,6 +27,21 @@ def corpus_totals(packed: DataFrame, tokens: str = "tokens", source: str = "sour
     )
 
 
+def chunk_totals(docs: DataFrame, length: Column, chunk_size: int, source: str = "source") -> DataFrame:
+    """What :func:`corpus_totals` gives for chunks packed by source, from the documents' lengths alone.
+
+    A source of n tokens fills ``ceil(n / chunk_size)`` chunks, the last one padded; so nothing has to
+    be encoded or packed to know the totals.
+    """
+    per_source = docs.groupBy(source).agg(F.sum(length.cast("long")).alias("t")).where("t > 0")
+    chunks = F.call_function("div", F.col("t") + F.lit(chunk_size - 1), F.lit(chunk_size))
+    return per_source.agg(
+        F.coalesce(F.sum(chunks), F.lit(0)).alias("total_sequences"),
+        F.coalesce(F.sum(chunks * chunk_size), F.lit(0)).alias("total_tokens"),
+        F.count("*").alias("total_files"),
+    )
+
+
 def subset_stats(files: DataFrame, subset: str = "subset", size: str = "bytes") -> DataFrame:
     """Files, bytes and a readable size per subset."""
     stats = files.groupBy(subset).agg(

@@ -186,3 +186,12 @@ def test_stateless_operators_accept_streams(spark, tmp_path, vocab):
     run = out.writeStream.format("memory").queryName("packed_stream").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     run.awaitTermination(120)
     assert [(r.subset, r.tokens) for r in spark.table("packed_stream").collect()] == [("train", [1, 3, 4, 2])]
+
+
+def test_totals_from_lengths_are_those_of_the_chunks(spark):
+    from quern.operators import packing, stats
+
+    data = [(f"s{i % 3}", i, list(range(i % 7))) for i in range(60)] + [("empty", 99, [])]
+    df = spark.createDataFrame(data, "source string, doc_id long, tokens array<int>")
+    chunks = packing.pack_chunks(df, "source", "doc_id", 8, 0)
+    assert stats.chunk_totals(df, F.size("tokens"), 8).collect() == stats.corpus_totals(chunks).collect()
