@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.text import subset_rank
 from quern.operators.ordered import seeded_block, seeded_key, whole_div, with_ordinal
+from quern.sources.paths import spread
 
 #: Hash draws are integers below this bound.
 DRAW_RANGE = 1 << 32
+#: Draws that are made from one row.
+DRAW_BLOCK = 1 << 16
 #: Ratios are exact fractions; a larger denominator is refused.
 MAX_DENOMINATOR = 10**9
 
@@ -173,31 +176,34 @@ def mix(
 
     Draw i picks a dataset by a hash of (seed, i); the k-th draw of a dataset takes its k-th
     row by ``order``. The output ends before the first draw that finds its dataset exhausted.
-    Adds ``draw_no`` and ``dataset``. All datasets share their columns. With as many draws
-    as rows plus one, some dataset is always exhausted, so the end is found exactly.
+    Adds ``draw_no`` and ``dataset``. All datasets share their columns. With more draws than rows some
+    dataset is always exhausted, so the end is found exactly. Sizes, the number of draws and the end are
+    parts of the query, so for a numeric ``order`` no job runs while it is built.
     """
     weights = list(weights or [1.0] * len(datasets))
     if len(weights) != len(datasets) or min(weights) < 0 or sum(weights) <= 0:
         raise ValueError("one non-negative weight per dataset, not all zero")
-    spark = datasets[0].sparkSession
     rows = reduce(
         DataFrame.unionByName, [d.withColumn("dataset", F.lit(j)) for j, d in enumerate(datasets)]
     )
+    sizes = rows.groupBy("dataset").agg(F.count("*").alias("__size"))
     ranked = with_ordinal(rows, ["dataset"], order, "__k")
-    sizes = [d.count() for d in datasets]
 
     draw = F.conv(F.substring(seeded_key(seed, "draw_no"), 1, 8), 16, 10).cast("long")
     bounds = _cumulative(weights)
     pick = F.lit(len(datasets) - 1)
     for j in reversed(range(len(datasets) - 1)):
         pick = F.when(draw < bounds[j], F.lit(j)).otherwise(pick)
-    draws = spark.range(sum(sizes) + 1).select(F.col("id").alias("draw_no")).withColumn("dataset", pick)
-    numbered = with_ordinal(draws, ["dataset"], "draw_no", "__k")
-    size_of = F.lit(None).cast("long")
-    for j, n in enumerate(sizes):
-        size_of = F.when(F.col("dataset") == j, F.lit(n)).otherwise(size_of)
-    end = numbered.where(F.col("__k") == size_of).agg(F.min("draw_no")).first()[0]
-    taken = numbered.where(F.col("draw_no") < F.lit(end))
+    # Draws come in blocks, whose number is known when the query runs; a block is a row until it is dealt.
+    last = whole_div(F.coalesce(F.sum("__size"), F.lit(0)).cast("long"), DRAW_BLOCK)
+    blocks = sizes.agg(F.sequence(F.lit(0).cast("long"), last).alias("__blocks")).select(F.explode("__blocks").alias("__block"))
+    first = F.col("__block") * DRAW_BLOCK
+    draws = spread(blocks, "__block").select(F.explode(F.sequence(first, first + (DRAW_BLOCK - 1))).alias("draw_no"))
+    numbered = with_ordinal(draws.withColumn("dataset", pick), ["dataset"], "draw_no", "__k")
+    # A dataset without rows has no size here, and is exhausted at its first draw.
+    missed = numbered.join(sizes, "dataset", "left").where(F.col("__k") == F.coalesce("__size", F.lit(0)))
+    end = missed.agg(F.min("draw_no").alias("end"))
+    taken = numbered.where(F.col("draw_no") < end.scalar())
     joined = ranked.join(taken, ["dataset", "__k"])
     return joined.select("draw_no", "dataset", *datasets[0].columns)
 

@@ -103,3 +103,20 @@ def test_mix_rejects_bad_weights(spark):
     a = spark.range(3)
     with pytest.raises(ValueError):
         sampling.mix([a, a], "id", [1.0])
+
+
+def test_mix_runs_no_job_while_it_is_built(spark):
+    context = spark.sparkContext
+    context.setJobGroup("mix", "building")
+    a, b = spark.range(500), spark.range(1000, 1100)
+    df = sampling.mix([a, b], "id", [0.5, 0.5], seed=3)
+    assert not context.statusTracker().getJobIdsForGroup("mix")
+    context.setJobGroup("other", "running")
+    assert df.where("dataset = 1").count() == 100
+
+
+def test_mix_with_an_empty_dataset_ends_at_its_first_draw(spark):
+    a, none = spark.range(50), spark.range(0)
+    got = sampling.mix([a, none], "id", [0.5, 0.5], seed=1).collect()
+    assert sorted(r.draw_no for r in got) == list(range(len(got))) and len(got) < 50
+    assert sampling.mix([none, none], "id", seed=1).collect() == []
