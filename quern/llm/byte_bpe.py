@@ -23,23 +23,22 @@ from pyspark.sql import functions as F
 
 from quern.session import ship_package
 
-#: The fixpoint: each round keeps the rows of the pieces that still have a pair to merge.
-#: A piece's last round, the one from which nothing follows, holds its tokens. ``best`` is the
-#: least rank and, in its lower 32 bits, the leftmost position; the row after it goes.
+#: The fixpoint. A row holds a token and the one that follows it. In a round every piece that still has a
+#: pair to merge contracts one: ``best`` is the least rank and, in its lower 32 bits, the leftmost
+#: position; the row after it goes. A piece's last round, from which nothing follows, holds its tokens.
 CONTRACT = """
-WITH RECURSIVE
-rows(round, piece, pos, token) AS (
-    SELECT 0::INTEGER, piece, pos, token FROM start
+WITH RECURSIVE rows(round, piece, pos, token, next) AS (
+    SELECT 0::INTEGER, piece, pos, token, next FROM start
     UNION ALL
-    SELECT round + 1, piece, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE token END
+    SELECT round + 1, piece, pos,
+           CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE token END,
+           CASE WHEN pos = best & 4294967295 THEN after_next WHEN after_pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE next END
     FROM (
-        SELECT p.round, p.piece, p.pos, p.token, p.before,
-               min((m.merged::BIGINT << 32) + p.pos) OVER (PARTITION BY p.piece) AS best
-        FROM (
-            SELECT *, lead(token) OVER w AS next, lag(pos, 1, -1) OVER w AS before
-            FROM rows WINDOW w AS (PARTITION BY piece ORDER BY pos)
-        ) p
-        LEFT JOIN merges m ON m.first = p.token AND m.second = p.next
+        SELECT r.round, r.piece, r.pos, r.token, r.next,
+               min((m.merged::BIGINT << 32) + r.pos) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,
+               lag(r.pos, 1, -1) OVER w AS before, lead(r.pos) OVER w AS after_pos, lead(r.next) OVER w AS after_next
+        FROM rows r LEFT JOIN merges m ON m.first = r.token AND m.second = r.next
+        WINDOW w AS (PARTITION BY r.piece ORDER BY r.pos)
     )
     WHERE best IS NOT NULL AND before <> best & 4294967295
 )
@@ -49,7 +48,7 @@ GROUP BY piece
 """
 
 DECODE = """
-SELECT segment, list(t.bytes ORDER BY i.pos) AS parts
+SELECT segment, unhex(string_agg(t.bytes, '' ORDER BY i.pos)) AS bytes
 FROM ids i JOIN tokens t USING (token)
 GROUP BY segment
 """
@@ -118,7 +117,7 @@ class Vocabulary:
             if t[:k] in self._id and t[k:] in self._id
         ]
         merges = pa.table([pa.array([p[i] for p in pairs], pa.int32()) for i in range(3)], ["first", "second", "merged"])
-        tokens = pa.table({"token": pa.array([r for _, r in self.ranks], pa.int32()), "bytes": pa.array([t for t, _ in self.ranks], pa.binary())})
+        tokens = pa.table({"token": pa.array([r for _, r in self.ranks], pa.int32()), "bytes": pa.array([t.hex() for t, _ in self.ranks], pa.string())})
         for name, data in (("merges", merges), ("tokens", tokens)):
             self._db.register("incoming", data)
             self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
@@ -136,6 +135,7 @@ class Vocabulary:
                 "piece": np.repeat(np.arange(len(raw), dtype=np.int32), lengths),
                 "pos": (np.arange(flat.size) - np.repeat(ends - lengths, lengths)).astype(np.int32),
                 "token": byte_ids[flat],
+                "next": np.where(np.isin(np.arange(1, flat.size + 1), ends), -1, byte_ids[np.r_[flat[1:], flat[:1]]]).astype(np.int32),
             }
         )
         self._db.register("start", start)
@@ -183,11 +183,8 @@ class Vocabulary:
         self._db.register("ids", table)
         found = self._db.sql(DECODE).to_arrow_table()
         self._db.unregister("ids")
-        parts = found.column("parts").combine_chunks()
-        offsets = parts.offsets.to_pylist()
-        values = parts.values.to_pylist()
-        for k, at in enumerate(found.column("segment").to_pylist()):
-            self._segments[segments[at]] = b"".join(values[offsets[k] : offsets[k + 1]])
+        for at, raw in zip(found.column("segment").to_pylist(), found.column("bytes").to_pylist(), strict=True):
+            self._segments[segments[at]] = raw
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each sequence of ids.
