@@ -9,7 +9,7 @@ Large groups of similar documents have a number of pairs that grows with the squ
 size, so pairs are never listed. A bucket of a band is cut into tiles; a task compares two tiles
 in memory. In the first pass each document keeps its most similar survivors only, which joins
 nearly all that belongs together. In the second pass the tasks have the full sets too and return
-only verified links between components. No link between components can be missing after that.
+a spanning forest of the verified links between components. No link between components can be missing after that.
 """
 
 from __future__ import annotations
@@ -83,7 +83,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -313,7 +313,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     link, its component is NULL and it is kept. Rows that repeat a key are each returned; texts of
     the same key are linked like others. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, mb=8)
     sketched = materialize(sketches(docs, key, text, setup), "sketches")
     nodes = materialize(
         sketched.filter("node IS NOT NULL AND key IS NOT NULL").groupBy("node").agg(F.min("key").alias("rep"), F.first("sig").alias("sig")),
@@ -327,7 +327,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
         return one.groupby("node", sort=False).head(2)
 
     def crossing(a, b, ca, cb, sa, sb, _m) -> pd.DataFrame:
-        at = [i for i in np.flatnonzero(ca != cb) if _linked(sa[i], sb[i], setup.percent)]
+        at, up = [], {}
+
+        def top(c: int) -> int:
+            while (above := up.get(c, c)) != c:
+                up[c] = c = up.get(above, above)
+            return c
+
+        # Links that join nothing new are neither verified nor returned: a spanning forest is enough.
+        for i in np.flatnonzero(ca != cb).tolist():
+            x, y = top(int(ca[i])), top(int(cb[i]))
+            if x != y and _linked(sa[i], sb[i], setup.percent):
+                up[max(x, y)] = min(x, y)
+                at.append(i)
         return pd.DataFrame({"a": np.minimum(a, b)[at], "b": np.maximum(a, b)[at]})
 
     signed = nodes.select("node", "sig", F.lit(None).cast("binary").alias("shingles"))
