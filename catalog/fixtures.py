@@ -100,3 +100,8 @@ def write_some_broken(files, root: str, number: int, docs: pd.DataFrame) -> None
         data = data[:-3] if broken else data
     with files.open_output_stream(f"{root}/f{number:06d}.{name}", compression=None) as out:
         out.write(data)
+
+
+def write_lines(files, root: str, number: int, docs: pd.DataFrame) -> None:
+    with files.open_output_stream(f"{root}/f{number:06d}.jsonl") as out:
+        out.write("".join(json.dumps({"text": t}) + "\n" for t in docs["text"]).encode())

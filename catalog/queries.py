@@ -612,6 +612,19 @@ def export_plan(spark, sf):
     return export.export_plan(listed, done, chunk_size=50, start_chunk=2).select("path", "chunk_id")
 
 
+@query
+def export_copies(spark, sf):
+    """Files copied from their second chunk on, then in full: what the manifest says, and what the copies hold."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "outbox", fixtures.write_lines)
+    target, manifest = scratch_path(spark, "exported"), scratch_path(spark, "manifest")
+    listed = corpus.list_corpus(spark, path, "jsonl")
+    for start in (1, 0):
+        recorded = export.export(spark, listed, path, target, manifest, chunk_size=2, start_chunk=start, chunks_per_round=3)
+    copied, _ = corpus.read_json_lines(spark, target)
+    held = copied.groupBy(_number()).agg(F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"))
+    return recorded.select(_number("path"), "chunk_id", "status").join(held, "file")
+
+
 @query
 def export_stats(spark, sf):
     """Event rows as manifest rows: 'error' events failed."""

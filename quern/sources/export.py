@@ -6,9 +6,10 @@ import time
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.operators.ordered import whole_div, with_ordinal
+from quern.session import materialize, ship_package
 from quern.sources.packed import _filesystem
 
 MANIFEST = "path string, target string, chunk_id long, status string, error string, started double, finished double"
@@ -33,17 +34,19 @@ def export_plan(
     return plan
 
 
-def export_files(plan: DataFrame, root: str, target: str, attempts: int = 3) -> DataFrame:
+def export_files(plan: DataFrame, root: str, target: str, attempts: int = 3, wait: float = 0.5) -> DataFrame:
     """Copy the planned files, keeping their place below ``root``, as manifest rows.
 
-    Chunks are the unit of distribution. A failing file is retried and then recorded as
-    failed; it never stops the others. Write the result to the manifest table.
+    Chunks are the unit of distribution. A failing file is tried again after ``wait`` seconds, twice
+    as many before each further attempt, and then recorded as failed; it never stops the others.
+    The copies are made when the rows are computed: :func:`export` writes them to a manifest at once.
     """
+    ship_package(plan.sparkSession)
     base, goal = root.rstrip("/"), target.rstrip("/")
 
     def copy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.DataFrame([_copy_one(p, c, base, goal, attempts) for p, c in zip(part["path"], part["chunk_id"])])
+            yield pd.DataFrame([_copy_one(p, c, base, goal, attempts, wait) for p, c in zip(part["path"], part["chunk_id"])])
 
     spread = plan.select("path", "chunk_id").repartition("chunk_id")
     return spread.mapInPandas(copy, MANIFEST)
@@ -53,12 +56,59 @@ def _plain(path: str) -> str:
     return "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
 
 
-def _copy_one(path: str, chunk_id: int, base: str, goal: str, attempts: int) -> dict:
+def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    """The rows of a manifest, the latest of each file; none if there is no manifest yet."""
+    files, place = _filesystem(manifest)
+    if not _has_rows(files, place):
+        return spark.createDataFrame([], MANIFEST)
+    rows = spark.read.schema(MANIFEST).parquet(manifest)
+    latest = rows.groupBy("path").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "path"]), F.struct("finished", "status")).alias("r"))
+    return latest.select("path", "r.*")
+
+
+def _has_rows(files, place: str) -> bool:
+    from pyarrow import fs as pafs
+
+    found = files.get_file_info(pafs.FileSelector(place, allow_not_found=True))
+    return any(i.base_name.endswith(".parquet") for i in found)
+
+
+def export(
+    spark: SparkSession,
+    files: DataFrame,
+    root: str,
+    target: str,
+    manifest: str,
+    chunk_size: int = 1000,
+    start_chunk: int = 0,
+    chunks_per_round: int = 64,
+    attempts: int = 3,
+    wait: float = 0.5,
+) -> DataFrame:
+    """Copy ``files`` in rounds of chunks, appending each round to the ``manifest``; returns the manifest.
+
+    A round is a Spark job whose rows are appended to the manifest by Spark's commit protocol, as a whole or not
+    at all. After a lost driver the same call goes on: files that the manifest records as copied are left
+    out, failed ones are tried again, and a round that was not recorded is copied again, over what it left.
+    Chunk numbers depend on the names alone. ``start_chunk`` leaves out the chunks before it.
+    """
+    plan = materialize(export_plan(files, None, chunk_size, start_chunk), "export")
+    last = plan.agg(F.max("chunk_id")).first()[0]
+    for first in range(start_chunk, -1 if last is None else last + 1, chunks_per_round):
+        done = read_manifest(spark, manifest).where(F.col("status") == "ok").select("path")
+        left = plan.where(F.col("chunk_id").between(first, first + chunks_per_round - 1)).join(done, "path", "left_anti")
+        export_files(left, root, target, attempts, wait).write.mode("append").parquet(manifest)
+    return read_manifest(spark, manifest)
+
+
+def _copy_one(path: str, chunk_id: int, base: str, goal: str, attempts: int, wait: float = 0.0) -> dict:
     from pyarrow import fs as pafs
 
     relative = _plain(path)[len(_plain(base)) :].lstrip("/").replace("\\", "/")
     key, started, error = f"{goal}/{relative}", time.time(), None
-    for _ in range(attempts):
+    for attempt in range(attempts):
+        if attempt:
+            time.sleep(wait * 2 ** (attempt - 1))
         try:
             source_fs, source = _filesystem(path)
             target_fs, destination = _filesystem(key)
@@ -67,7 +117,7 @@ def _copy_one(path: str, chunk_id: int, base: str, goal: str, attempts: int) ->
             error = None
             break
         except Exception as problem:  # recorded in the manifest
-            error = str(problem)[:500]
+            error = str(problem)
     return {
         "path": path,
         "target": key,

@@ -287,3 +287,23 @@ def test_text_predicates(spark):
     with pytest.raises(Exception, match="malformed run address"):
         urls.select(tx.parse_run_url(F.col("u"))).collect()
     assert tx.preview(F.col("x"))[0] is not None
+
+
+def test_an_export_goes_on_from_its_manifest(spark, tmp_path):
+    """A file that fails is recorded, tried again by the next call, and the others are not copied twice."""
+    for i in range(9):
+        put(tmp_path / "src", f"d{i % 2}/f{i}.bin", f"content {i}")
+    files = corpus.list_corpus(spark, str(tmp_path / "src"), "bin").cache()
+    files.count()
+    (tmp_path / "src" / "d1" / "f5.bin").rename(tmp_path / "away")
+    call = lambda start=0: export.export(
+        spark, files, str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "manifest"), chunk_size=2, start_chunk=start, chunks_per_round=2, attempts=2, wait=0.01
+    )
+    first = {r.path.rsplit("/", 1)[1]: (r.chunk_id, r.status, r.finished) for r in call(1).collect()}
+    assert {n: s for n, (_, s, _) in first.items()} == {f"f{i}.bin": "failed" if i == 5 else "ok" for i in (1, 3, 4, 5, 6, 7, 8)}
+    (tmp_path / "away").rename(tmp_path / "src" / "d1" / "f5.bin")
+    second = {r.path.rsplit("/", 1)[1]: (r.chunk_id, r.status, r.finished) for r in call().collect()}
+    assert len(second) == 9 and all(s == "ok" for _, s, _ in second.values())
+    assert all(second[n] == row for n, row in first.items() if n != "f5.bin")
+    assert sorted(p.read_text() for p in (tmp_path / "out").rglob("*.bin")) == [f"content {i}" for i in range(9)]
+    assert call().count() == 9
