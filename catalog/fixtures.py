@@ -105,3 +105,11 @@ def write_some_broken(files, root: str, number: int, docs: pd.DataFrame) -> None
 def write_lines(files, root: str, number: int, docs: pd.DataFrame) -> None:
     with files.open_output_stream(f"{root}/f{number:06d}.jsonl") as out:
         out.write("".join(json.dumps({"text": t}) + "\n" for t in docs["text"]).encode())
+
+
+def write_folders(files, root: str, number: int, docs: pd.DataFrame) -> None:
+    """Text, JSON Lines and files of no known format below train, test and a folder that is not searched."""
+    folder = ("train/deep", "test", "elsewhere")[number % 3]
+    files.create_dir(f"{root}/{folder}", recursive=True)
+    with files.open_output_stream(f"{root}/{folder}/f{number:06d}.{('txt', 'jsonl', 'bin', 'csv')[number % 4]}") as out:
+        out.write("".join(docs["text"]).encode())

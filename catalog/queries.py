@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from catalog import fixtures
 from quern.functions import text as tx
-from quern.functions.tokens import BOS_ID, EOS_ID, PAD_ID, TWO_BYTE_VOCAB, id_range, specials_length, token_width, with_specials
+from quern.functions.tokens import BOS, BOS_ID, EOS, EOS_ID, IM_START_ID, PAD_ID, TWO_BYTE_VOCAB, id_range, specials_length, token_width, with_specials
 from quern.operators import chat, encode, energy, ordered, packing, sampling, stats
+from quern.operators.added_tokens import encode_added
 from quern.plans.energy_report import energy_report
 from quern.plans.prepare import prepare_chunks, prepare_sequences
 from quern.session import materialize, scratch_path, widen
@@ -91,6 +92,14 @@ def source_listing(spark, sf):
     return found.select(F.substring_index("path", "/", -1).alias("file"), "ext", "subset")
 
 
+@query
+def source_discovery(spark, sf):
+    """Files of a corpus found by themselves: all formats, only below train and test, where there are such folders."""
+    path = fixtures.write_files(spark, _filed(spark, sf), "corpus-found", fixtures.write_folders)
+    found = corpus.list_corpus(spark, path)
+    return found.select(_number("path"), "ext", "subset", F.col("bytes").cast("long").alias("bytes"))
+
+
 @query
 def source_parquet(spark, sf):
     docs = corpus.read_parquet_text(spark, f"{sf}/documents.parquet", "body")
@@ -333,6 +342,17 @@ def encode_max_length(spark, sf):
     return ids.select("doc_id", F.size(capped).alias("n_tokens"), ids_md5(capped))
 
 
+@query
+def encode_added_tokens(spark, sf):
+    """Rendered messages as ids, with the template's marks found inside of the text."""
+    turns = table(spark, sf, "conversations")
+    marks = [(chat.TURN_OPEN, IM_START_ID), (EOS, EOS_ID), (BOS, BOS_ID)]
+    flags = "false AS normalized, false AS lstrip, false AS rstrip, false AS single_word"
+    added = spark.createDataFrame(marks, "token string, id int").selectExpr("token", "id", *flags.split(", "))
+    ids = encode_added(chat.render_turns(turns), vocabulary(spark, sf), added, "rendered")
+    return ids.select("conv_id", "turn", F.size("tokens").alias("n_tokens"), ids_md5())
+
+
 @query
 def decode_words(spark, sf):
     vocab = vocabulary(spark, sf)
@@ -353,6 +373,14 @@ def token_lookup(spark, sf):
     return encode.lookup_ids(tokens, vocabulary(spark, sf)).select("item_id", "pos", "token", "id")
 
 
+@query
+def known_token_ids(spark, sf):
+    """Ids of words that all have to be in the vocabulary; an unknown one would fail the query."""
+    words = documents(spark, sf).select("doc_id", F.explode(encode.words(F.col("text"))).alias("token"))
+    found = encode.token_to_id(words, vocabulary(spark, sf))
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_words"), F.sum(F.col("id").cast("long")).alias("sum_ids"))
+
+
 @query
 def token_ids_by_source(spark, sf):
     """Ids in use and the storage type for the vocabulary."""
