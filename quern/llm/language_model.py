@@ -8,18 +8,21 @@ independently. The filter is broadcast; scoring needs nothing but probes.
 What is broadcast has a fixed bound. If all levels together are larger, nothing is broadcast: the
 distinct n-grams of a batch of texts go to their segments, are probed there on all levels, and their
 levels come back to the batch. Both ways give the same levels.
+
+Levels are read once: they are one byte for a token and one for a pair, from which both the weights
+and the scores follow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.session import bound_batches, materialize, ship_package
@@ -33,9 +36,9 @@ _END = xxhash.xxh3_64_intdigest(b" end ")
 class LmSetup:
     """Bits per entry, probes, and the bounds of what is broadcast and held by one task.
 
-    ``filter_bytes`` bounds the broadcast bit arrays; larger ones are probed by segment. ``vocabulary``
-    bounds the broadcast words with their exact counts; of more words the counts are joined. ``segment_chars`` is the text per
-    segment and ``batch_chars`` the text whose n-grams a task holds at once.
+    ``filter_bytes`` bounds the broadcast bit arrays and ``vocabulary`` the broadcast words with their exact
+    counts; beyond either, n-grams are probed by segment. ``segment_chars`` is the text per segment, ``run`` the
+    number of neighbouring segments that one task holds, and ``batch_chars`` the text whose n-grams a task holds at once.
     """
 
     bits: int = 10
@@ -43,6 +46,7 @@ class LmSetup:
     filter_bytes: int = 1 << 27
     vocabulary: int = 8_000_000
     segment_chars: int = 1 << 23
+    run: int = 8
     batch_chars: int = 1 << 23
     add: float = 0.1
 
@@ -83,31 +87,43 @@ def expected(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (np.exp2(levels - 1.0) + np.exp2(levels) - 1) / 2, 0.0)
 
 
-def _places(keys: np.ndarray, bits: int, probes: int) -> Iterator[np.ndarray]:
-    step = (keys >> np.uint64(17)) * _A | np.uint64(1)
-    at = keys * _B
-    for _ in range(probes):
-        yield (at >> np.uint64(11)) % np.uint64(bits)
-        at = at + step
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    """Segment of each key; it does not fall as the keys of pairs rise."""
+    return (((keys >> np.uint64(16)) & np.uint64(0xFFFFFFFF)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
+
+
+def _start_and_step(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = (keys ^ (keys >> np.uint64(23))) * _B
+    x ^= x >> np.uint64(32)
+    return x * _A, x * _B | np.uint64(1)
 
 
 def bit_array(keys: np.ndarray, setup: LmSetup) -> bytes:
     size = -(-keys.size * setup.bits // 8) * 8
     full = np.zeros(size, bool)
-    for at in _places(keys, size, setup.probes):
-        full[at] = True
+    at, step = _start_and_step(keys)
+    for _ in range(setup.probes):
+        full[(at >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)] = True
+        at += step
     return np.packbits(full).tobytes()
 
 
-def has(array: np.ndarray, keys: np.ndarray, setup: LmSetup) -> np.ndarray:
-    """Which keys are in a bit array, false positives included."""
+def has(array: np.ndarray, keys: np.ndarray, setup: LmSetup, begin: np.ndarray | None = None, size: np.ndarray | None = None) -> np.ndarray:
+    """Which keys are in a bit array, false positives included.
+
+    With ``begin`` (a byte) and ``size`` (a number of bits), each key has a part of the array of its own.
+    """
     alive = np.arange(keys.size)
-    for k, at in enumerate(_places(keys, array.size * 8, setup.probes)):
-        at = at[alive] if k else at
-        hit = (array[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1
-        alive = alive[hit.astype(bool)]
-        if not alive.size:
-            break
+    begin = np.zeros(keys.size, np.uint64) if begin is None else begin
+    size = np.full(keys.size, array.size * 8, np.uint64) if size is None else size
+    at, step = _start_and_step(keys)
+    for _ in range(setup.probes):
+        place = (at >> np.uint64(32)) * size >> np.uint64(32)
+        byte = array[begin + (place >> np.uint64(3))]
+        hit = np.flatnonzero(byte >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8)) & 1)
+        if hit.size < alive.size:
+            alive, at, step, begin, size = alive[hit], at[hit], step[hit], begin[hit], size[hit]
+        at += step
     out = np.zeros(keys.size, bool)
     out[alive] = True
     return out
@@ -115,32 +131,48 @@ def has(array: np.ndarray, keys: np.ndarray, setup: LmSetup) -> np.ndarray:
 
 @dataclass
 class LogFrequencyFilter:
-    """Bit arrays by (segment, level).
+    """Bit arrays of ``count`` neighbouring segments from ``first`` on, one array for each level.
 
-    ``lowest`` is the level from which on they are within ``filter_bytes``. Above 1 the arrays stay in
-    the table of counts, and n-grams are probed there.
+    Segment ``s`` of a level has ``bits[level][s]`` bits from byte ``begin[level][s]`` on. Without ``arrays``
+    they were too large to hold; n-grams are then probed in the table of counts.
     """
 
-    arrays: dict[tuple[int, int], np.ndarray]
     segments: int
-    lowest: int
     setup: LmSetup
+    first: int
+    arrays: list[np.ndarray] | None = None
+    begin: np.ndarray | None = None
+    bits: np.ndarray | None = None
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.size for a in self.arrays or [])
+
+    def fill(self, rows: Iterator[tuple[int, int, bytes]], count: int, sizes: list[int]) -> LogFrequencyFilter:
+        """Take in the arrays (segment, level, data); ``sizes`` are the bytes of the levels from 1 on."""
+        self.arrays = [np.empty(n, np.uint8) for n in sizes]
+        self.begin, self.bits = np.zeros((2, len(sizes), count), np.uint64)
+        ends = [0] * len(sizes)
+        for segment, level, data in rows:
+            j, s, at = level - 1, segment - self.first, ends[level - 1]
+            self.begin[j, s], self.bits[j, s] = at, len(data) * 8
+            ends[j] += len(data)
+            self.arrays[j][at : ends[j]] = np.frombuffer(data, np.uint8)
+        return self
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key's count, 0 if it is not held; a false positive can only raise it."""
-        if self.lowest > 1:
+        if self.arrays is None:
             raise ValueError("the bit arrays are too large to hold: score with score_texts")
-        out = np.zeros(keys.size, np.int64)
-        segment = (keys % np.uint64(self.segments)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        cuts = np.searchsorted(segment[order], np.arange(self.segments + 1))
-        for s in range(self.segments):
-            at = order[cuts[s] : cuts[s + 1]]
-            level = 1
-            while at.size and (array := self.arrays.get((s, level))) is not None:
-                at = at[has(array, keys[at], self.setup)]
-                out[at] = level
-                level += 1
+        segment = segment_of(keys, self.segments) - self.first
+        # In order of segments, neighbouring probes fall into the same part of an array.
+        alive = np.argsort(segment, kind="stable")
+        out = np.zeros(keys.size, np.uint8)
+        for j, array in enumerate(self.arrays):
+            bits = self.bits[j][segment[alive]]
+            alive, bits = alive[bits > 0], bits[bits > 0]
+            alive = alive[has(array, keys[alive], self.setup, self.begin[j][segment[alive]], bits)]
+            out[alive] = j + 1
         return out
 
 
@@ -155,6 +187,20 @@ def _grouped(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def _gathered(batches: Iterator[pd.DataFrame], chars: int) -> Iterator[list[str | None]]:
+    """Texts of several Arrow batches, about ``chars`` characters at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for t in batch["text"]:
+            held.append(t)
+            size += len(t or "")
+            if size >= chars:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def count_ngrams(docs: DataFrame, text: str, segments: int, setup: LmSetup) -> DataFrame:
     """The model's table: (segment, level, n, data, counts).
 
@@ -165,25 +211,22 @@ def count_ngrams(docs: DataFrame, text: str, segments: int, setup: LmSetup) -> D
     ship_package(docs.sparkSession)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].tolist()
-            for a, b in _grouped(texts, setup.batch_chars):
-                each = [token_keys(t) for t in texts[a:b]]
-                pairs = np.concatenate([pair_keys(k) for k in each])
-                for kind, keys in enumerate((np.concatenate(each), pairs)):
-                    keys, counts = np.unique(keys, return_counts=True)
-                    segment = (keys % np.uint64(segments)).astype(np.int64)
-                    order = np.argsort(segment, kind="stable")
-                    keys, counts, cuts = keys[order], counts[order].astype("<u4"), np.searchsorted(segment[order], np.arange(segments + 1))
-                    # Nearly all pairs of a batch occur once: those need no count.
-                    once = counts == 1
-                    rows = []
-                    for s in range(segments):
-                        k, c, o = (x[cuts[s] : cuts[s + 1]] for x in (keys, counts, once))
-                        if k.size:
-                            k = np.concatenate([k[~o], k[o]])
-                            rows.append((s, kind, _shorten(k, kind), c[~o].tobytes()))
-                    yield pd.DataFrame(rows, columns=["segment", "kind", "data", "counts"])
+        for texts in _gathered(batches, setup.batch_chars):
+            each = [token_keys(t) for t in texts]
+            pairs = np.concatenate([pair_keys(k) for k in each])
+            for kind, keys in enumerate((np.concatenate(each), pairs)):
+                keys, counts = np.unique(keys, return_counts=True)
+                segment = segment_of(keys, segments)
+                order = np.argsort(segment, kind="stable")
+                keys, counts, cuts = keys[order], counts[order].astype("<u4"), np.searchsorted(segment[order], np.arange(segments + 1))
+                # Nearly all pairs of a batch occur once: those need no count.
+                once = counts == 1
+                rows = []
+                for s in np.flatnonzero(np.diff(cuts)):
+                    k, c, o = (x[cuts[s] : cuts[s + 1]] for x in (keys, counts, once))
+                    k = np.concatenate([k[~o], k[o]])
+                    rows.append((s, kind, _shorten(k, kind), c[~o].tobytes()))
+                yield pd.DataFrame(rows, columns=["segment", "kind", "data", "counts"])
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         segment = int(part["segment"].iat[0])
@@ -230,66 +273,79 @@ def _lengthen(data: bytes, kind: int) -> np.ndarray:
 class LanguageModel:
     """The filter, the weights of bigrams by level of the context, and the corpus totals.
 
-    ``words`` and ``counts`` are the exact counts, sorted by key, if they were small enough.
+    ``words`` and ``counts`` are the exact counts, sorted by key, if the filter is held.
     """
 
     filter: LogFrequencyFilter
     weights: np.ndarray
     tokens: int
     distinct: int
-    words: np.ndarray | None
-    counts: np.ndarray | None
+    words: np.ndarray | None = None
+    counts: np.ndarray | None = None
 
-    def _base(self, counts: np.ndarray) -> np.ndarray:
+    def unigram(self, counts: np.ndarray) -> np.ndarray:
         add = self.filter.setup.add
-        return np.log10((counts + add) / (self.tokens + add * (self.distinct + 1)))
+        return (counts + add) / (self.tokens + add * (self.distinct + 1))
 
-    def evidence(self, texts: list[str | None]):
-        """Token and pair levels of texts: offsets, token keys, their levels, pair levels."""
+    def evidence(self, texts: list[str | None]) -> pd.DataFrame:
+        """``_EVIDENCE`` of each text, by the filter and the words that are held."""
         each = [token_keys(t) for t in texts]
-        ends = np.cumsum([k.size for k in each])
         keys = np.concatenate(each)
+        first = np.r_[0, np.cumsum([k.size for k in each])[:-1]].astype(np.int64)
         distinct, where = np.unique(keys, return_inverse=True)
-        pairs = np.zeros(keys.size, np.uint64)
-        pairs[1:] = pair_keys(keys)
-        first = np.r_[0, ends[:-1]]
-        single = np.ones(keys.size, bool)
+        own, back = np.unique(np.concatenate([pair_keys(k) for k in each]), return_inverse=True)
+        exact = _looked_up(distinct, self.words, self.counts)
+        return self.measured(first, self.filter.levels(distinct)[where], self.filter.levels(own)[back], exact[where])
+
+    def measured(self, first: np.ndarray, level: np.ndarray, pair: np.ndarray, exact: np.ndarray) -> pd.DataFrame:
+        """``_EVIDENCE`` of the texts that begin at ``first``; ``pair`` has no entry for a first token."""
+        ends = np.r_[first[1:], level.size]
+        pairs = np.zeros(level.size, np.uint8)
+        single = np.ones(level.size, bool)
         single[first] = False
-        own, back = np.unique(pairs[single], return_inverse=True)
-        pair_levels = np.zeros(keys.size, np.int64)
-        pair_levels[single] = self.filter.levels(own)[back]
-        return first, distinct, where, self.filter.levels(distinct)[where], pair_levels
-
-    def score(self, texts: list[str | None]) -> pd.DataFrame:
-        """n_tokens, n_known, base_score (both only with exact counts) and score of each text."""
-        first, distinct, where, level, pair_level = self.evidence(texts)
-        exact = None
-        if self.words is not None:
-            at = np.minimum(np.searchsorted(self.words, distinct), max(self.words.size - 1, 0))
-            exact = np.where(self.words[at] == distinct, self.counts[at], 0) if self.words.size else np.zeros(distinct.size)
-            exact = exact[where]
-        return self.scores(first, level, pair_level, exact)
-
-    def scores(self, first: np.ndarray, level: np.ndarray, pair_level: np.ndarray, exact: np.ndarray | None) -> pd.DataFrame:
-        """Scores of the texts that begin at ``first``, from the levels and exact counts of their tokens."""
-        add = self.filter.setup.add
-        count = expected(level)
-        unigram = (count + add) / (self.tokens + add * (self.distinct + 1))
-        context = np.r_[0, level[:-1]]
-        context[first] = 0
-        weight = np.where(context > 0, self.weights[context], 0.0)
-        before = np.maximum(np.r_[1.0, count[:-1]], 1.0)
-        bigram = np.minimum(expected(pair_level) / before, 1.0)
-        score = np.add.reduceat(np.log10(weight * bigram + (1 - weight) * unigram), first)
-        sizes = np.diff(np.r_[first, level.size])
-        frame = pd.DataFrame({"n_tokens": sizes.astype(np.int64), "score": score})
-        if exact is not None:
-            frame["n_known"] = np.add.reduceat((exact > 0).astype(np.int64), first)
-            frame["base_score"] = np.add.reduceat(self._base(exact), first)
+        pairs[single] = pair
+        frame = pd.DataFrame({"n_known": np.add.reduceat((exact > 0).astype(np.int64), first)})
+        frame["base_score"] = np.add.reduceat(np.log10(self.unigram(exact)), first)
+        for name, values in (("levels", level), ("pairs", pairs)):
+            frame[name] = [values[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
         return frame
 
+    def scores(self, first: np.ndarray, level: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Scores of the texts that begin at ``first``, from the levels of their tokens and pairs."""
+        count = expected(np.arange(256))
+        context = _context(first, level)
+        weight = np.where(context > 0, np.r_[self.weights, np.zeros(192)][context], 0.0)
+        bigram = np.minimum(count[pair] / np.maximum(count[context], 1.0), 1.0)
+        return np.add.reduceat(np.log10(weight * bigram + (1 - weight) * self.unigram(count)[level]), first)
+
+
+#: What is known of a text: the words that occur in training, their smoothed score by exact counts, and one byte
+#: for the level of every token and of its pair with the token before (0 at the first token).
+_EVIDENCE = "n_known long, base_score double, levels binary, pairs binary"
+
 
-def _coded(docs: DataFrame, key: str | None, text: str, segments: int, setup: LmSetup) -> DataFrame:
+def _looked_up(keys: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Exact counts of keys, 0 of those that are not among the sorted words."""
+    if not words.size:
+        return np.zeros(keys.size, np.int64)
+    at = np.minimum(np.searchsorted(words, keys), words.size - 1)
+    return np.where(words[at] == keys, counts[at], 0)
+
+
+def _context(first: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Level of the token before each token, 0 at the begin of a text."""
+    context = np.r_[np.zeros(1, np.uint8), level[:-1]]
+    context[first] = 0
+    return context
+
+
+def _opened(levels: pd.Series, pairs: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First tokens, levels and pair levels of several texts in a row; every text has an end, so none is empty."""
+    first = np.r_[0, np.cumsum([len(x) for x in levels])[:-1]].astype(np.int64)
+    return first, np.frombuffer(b"".join(levels), np.uint8), np.frombuffer(b"".join(pairs), np.uint8)
+
+
+def _coded(docs: DataFrame, key: Column, text: str, segments: int, setup: LmSetup) -> DataFrame:
     """(key, batch, place, tokens, pairs, words, bigrams), one row per text, written.
 
     ``tokens`` and ``pairs`` count into the batch's distinct ``words`` and ``bigrams``, which are
@@ -313,25 +369,27 @@ def _coded(docs: DataFrame, key: str | None, text: str, segments: int, setup: Lm
                     at += k.size
             yield pd.DataFrame(rows, columns=["batch", "place", "tokens", "pairs", "words", "bigrams"])
 
-    kept = F.lit(None).cast("int") if key is None else F.col(key)
-    return materialize(docs.select(kept.alias("key"), code(F.col(text)).alias("c")).select("key", "c.*"), "coded")
+    return materialize(docs.select(key.alias("key"), code(F.col(text)).alias("c")).select("key", "c.*"), "coded")
 
 
 def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys ordered by segment, and where each key stands among them."""
     distinct, where = np.unique(keys, return_inverse=True)
-    order = np.argsort((distinct % np.uint64(segments)).astype(np.int64), kind="stable")
+    order = np.argsort(segment_of(distinct, segments), kind="stable")
     rank = np.empty(order.size, np.uint32)
     rank[order] = np.arange(order.size, dtype=np.uint32)
     return distinct[order].astype("<u8"), rank[where].astype("<u4")
 
 
-def _probed(coded: DataFrame, table: DataFrame, segments: int, setup: LmSetup, use, schema: str) -> DataFrame:
-    """``use(places, first, levels, pair levels, exact counts)`` of every batch, probed by segment.
+def _probed(coded: DataFrame, table: DataFrame, model: LanguageModel) -> DataFrame:
+    """(key, evidence) of every text, probed by segment.
 
-    A segment's task holds that segment's arrays and the distinct keys that batches have in it; a
-    batch's task gets one level per distinct key. Segments grow in number, not in size.
+    A task holds the arrays of one run of segments and the distinct keys that batches have in it; a
+    batch's task gets one level per distinct key. Runs grow in number, not in size, and no more rows
+    are shuffled than batches have distinct keys.
     """
+    segments, setup = model.filter.segments, model.filter.setup
+    runs = -(-segments // setup.run)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -339,82 +397,85 @@ def _probed(coded: DataFrame, table: DataFrame, segments: int, setup: LmSetup, u
                 rows = []
                 for kind, data in enumerate(both):
                     keys = np.frombuffer(data, "<u8")
-                    cuts = np.searchsorted((keys % np.uint64(segments)).astype(np.int64), np.arange(segments + 1))
-                    rows += [(batch, s, kind, keys[cuts[s] : cuts[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(cuts))]
-                yield pd.DataFrame(rows, columns=["batch", "segment", "kind", "keys"])
+                    cuts = np.searchsorted(segment_of(keys, segments) // setup.run, np.arange(runs + 1))
+                    rows += [(batch, r, kind, keys[cuts[r] : cuts[r + 1]].tobytes()) for r in np.flatnonzero(np.diff(cuts))]
+                yield pd.DataFrame(rows, columns=["batch", "run", "kind", "keys"])
 
     def probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        arrays = {(0, int(j)): np.frombuffer(d, np.uint8) for j, d in zip(held["level"], held["data"], strict=True) if j}
-        own = LogFrequencyFilter(arrays, 1, 1, setup)
-        first = held[held["level"] == 0]
-        words, counts = (np.frombuffer(first[c].iat[0] if len(first) else b"", t) for c, t in (("data", "<u8"), ("counts", "<i8")))
-        rows = []
-        for batch, segment, kind, data in zip(asked["batch"], asked["segment"], asked["kind"], asked["keys"], strict=True):
-            keys, exact = np.frombuffer(data, "<u8"), b""
-            if kind == 0:
-                at = np.minimum(np.searchsorted(words, keys), max(words.size - 1, 0))
-                exact = (np.where(words[at] == keys, counts[at], 0) if words.size else np.zeros(keys.size)).astype("<i8").tobytes()
-            rows.append((batch, segment, kind, own.levels(keys).astype(np.uint8).tobytes(), exact))
-        return pd.DataFrame(rows, columns=["batch", "segment", "kind", "levels", "exact"])
+        own, exact_rows = held[held["level"] > 0], held[held["level"] == 0]
+        words = np.frombuffer(b"".join(exact_rows["data"]), "<u8")
+        order = np.argsort(words)
+        words, counts = words[order], np.frombuffer(b"".join(exact_rows["counts"]), "<i8")[order]
+        sizes = own["data"].map(len).groupby(own["level"]).sum()
+        rows = zip(own["segment"], own["level"], own["data"], strict=True)
+        begin = int(asked["run"].iat[0]) * setup.run if len(asked) else 0
+        found = LogFrequencyFilter(segments, setup, begin)
+        if len(asked):
+            found.fill(rows, setup.run, [int(sizes.get(j, 0)) for j in range(1, int(sizes.index.max() if len(sizes) else 0) + 1)])
+        out = []
+        for batch, run, kind, data in zip(asked["batch"], asked["run"], asked["kind"], asked["keys"], strict=True):
+            keys = np.frombuffer(data, "<u8")
+            exact = _looked_up(keys, words, counts).astype("<i8").tobytes() if kind == 0 else b""
+            out.append((batch, run, kind, found.levels(keys).tobytes(), exact))
+        return pd.DataFrame(out, columns=["batch", "run", "kind", "levels", "exact"])
 
     def gather(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        texts, found = texts.sort_values("place"), found.sort_values("segment")
-        levels = [np.frombuffer(b"".join(found.loc[found["kind"] == k, "levels"]), np.uint8).astype(np.int64) for k in (0, 1)]
+        texts, found = texts.sort_values("place"), found.sort_values("run")
+        words, bigrams = (np.frombuffer(b"".join(found.loc[found["kind"] == k, "levels"]), np.uint8) for k in (0, 1))
         exact = np.frombuffer(b"".join(found.loc[found["kind"] == 0, "exact"]), "<i8")
         tokens = np.frombuffer(b"".join(texts["tokens"]), "<u4")
         first = np.r_[0, np.cumsum([len(t) // 4 for t in texts["tokens"]])[:-1]].astype(np.int64)
-        pair = np.zeros(tokens.size, np.int64)
-        single = np.ones(tokens.size, bool)
-        single[first] = False
-        pair[single] = levels[1][np.frombuffer(b"".join(texts["pairs"]), "<u4")]
-        return use(texts[["batch", "place"]].reset_index(drop=True), first, levels[0][tokens], pair, exact[tokens])
+        pairs = np.frombuffer(b"".join(texts["pairs"]), "<u4")
+        frame = model.measured(first, words[tokens], bigrams[pairs], exact[tokens])
+        return pd.concat([texts[["batch", "place"]].reset_index(drop=True), frame], axis=1)
 
     asked = coded.filter("words IS NOT NULL").select("batch", "words", "bigrams")
-    asked = asked.mapInPandas(send, "batch long, segment int, kind int, keys binary")
+    asked = asked.mapInPandas(send, "batch long, run int, kind int, keys binary")
+    held = table.select(F.floor(F.col("segment") / setup.run).cast("int").alias("run"), "segment", "level", "data", "counts")
     found = (
-        asked.groupBy("segment").cogroup(table.select("segment", "level", "data", "counts").groupBy("segment"))
-        .applyInPandas(probe, "batch long, segment int, kind int, levels binary, exact binary")
+        asked.groupBy("run").cogroup(held.groupBy("run"))
+        .applyInPandas(probe, "batch long, run int, kind int, levels binary, exact binary")
     )
-    return coded.select("batch", "place", "tokens", "pairs").groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(gather, schema)
+    texts = coded.select("batch", "place", "tokens", "pairs")
+    each = texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(gather, "batch long, place long, " + _EVIDENCE)
+    return coded.select("key", "batch", "place").join(each, ["batch", "place"]).drop("batch", "place")
 
 
-def _tally(first: np.ndarray, level: np.ndarray, pair: np.ndarray) -> pd.DataFrame:
-    context = np.r_[0, level[:-1]]
-    context[first] = 0
-    return pd.DataFrame(
-        {
-            "level": np.arange(64),
-            "n": np.bincount(context, minlength=64)[:64].astype(np.int64),
-            "seen": np.bincount(context, pair >= 2, 64)[:64].astype(np.int64),
-        }
-    )
+def evidence(docs: DataFrame, model: LanguageModel, table: DataFrame, key: Column, text: str) -> DataFrame:
+    """(key, evidence) of every whole text, by the filter if it is held, else by segment."""
+    held = model.filter
+    if held.arrays is None:
+        return _probed(_coded(docs, key, text, held.segments, held.setup), table, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(_EVIDENCE)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for batch in batches:
+            texts = batch.tolist()
+            for a, b in _grouped(texts, own.filter.setup.batch_chars):
+                yield own.evidence(texts[a:b])
+
+    return docs.select(key.alias("key"), found(F.col(text)).alias("e")).select("key", "e.*")
 
 
-def _interpolation(docs: DataFrame, text: str, model: LanguageModel, table: DataFrame) -> np.ndarray:
-    """Weight of the bigram for each level of its context, over all training texts.
+def _interpolation(known: DataFrame) -> np.ndarray:
+    """Weight of the bigram for each level of its context, over the evidence of all training texts.
 
     It is the share of tokens, behind contexts of that level, whose pair also occurs elsewhere: each
     training token has itself been counted, so a pair of level 1 is one that was never seen before.
     A context of level 1 has no other occurrence and takes the weight of level 2.
     """
-    schema, held = "level long, n long, seen long", model.filter
-    if held.lowest > 1:
-        coded = _coded(docs, None, text, held.segments, held.setup)
-        use = lambda _places, first, level, pair, _exact: _tally(first, level, pair)
-        tallied = _probed(coded, table, held.segments, held.setup, use, schema)
-    else:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-
-        def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own = shared.value
-            for batch in batches:
-                texts = batch["text"].tolist()
-                for a, b in _grouped(texts, own.filter.setup.batch_chars):
-                    first, _, _, level, pair = own.evidence(texts[a:b])
-                    yield _tally(first, level, pair)
-
-        tallied = docs.select(F.col(text).alias("text")).mapInPandas(tally, schema)
-    sums = tallied.groupBy("level").sum("n", "seen")
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                first, level, pair = _opened(batch["levels"], batch["pairs"])
+                context = _context(first, level)
+                n, seen = np.bincount(context, minlength=64)[:64], np.bincount(context, pair >= 2, 64)[:64]
+                yield pd.DataFrame({"level": np.arange(64), "n": n.astype(np.int64), "seen": seen.astype(np.int64)})
+
+    sums = known.select("levels", "pairs").mapInPandas(tally, "level long, n long, seen long").groupBy("level").sum("n", "seen")
     weights = np.zeros(64)
     for r in sums.collect():
         weights[r["level"]] = (r["sum(seen)"] + 0.5) / (r["sum(n)"] + 10)
@@ -422,104 +483,75 @@ def _interpolation(docs: DataFrame, text: str, model: LanguageModel, table: Data
     return np.clip(weights, 0.0, 0.98)
 
 
-def train(docs: DataFrame, text: str = "text", setup: LmSetup = LmSetup()) -> tuple[LanguageModel, DataFrame]:
-    """The model of all texts, and its table of counts. An empty table gives a model without counts."""
+def counted(docs: DataFrame, text: str, setup: LmSetup) -> tuple[LanguageModel, DataFrame]:
+    """A model without weights, and its table of counts."""
     bound_batches(docs.sparkSession)
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     segments = max(8, -(-chars // setup.segment_chars))
     table = materialize(count_ngrams(docs, text, segments, setup), "ngrams")
     sizes = {r.level: (r.b, r.n) for r in table.groupBy("level").agg(F.sum(F.length("data")).alias("b"), F.sum("n").alias("n")).collect()}
-    lowest, top = 1, max(sizes, default=0)
-    while lowest < top and sum(sizes[j][0] for j in range(lowest, top + 1)) > setup.filter_bytes:
-        lowest += 1
-    arrays = {} if lowest > 1 else {
-        (r.segment, r.level): np.frombuffer(r.data, np.uint8)
-        for r in table.filter("level > 0").select("segment", "level", "data").toLocalIterator()
-    }
+    top = max(sizes, default=0)
     distinct = int(sizes.get(0, (0, 0))[1])
-    counted = table.filter("level = 0")
-    tokens = int(_exact_rows(counted).agg(F.sum("c")).first()[0] or 0) if distinct > setup.vocabulary else None
-    words = counts = None
-    if tokens is None:
-        parts = [(np.frombuffer(r.data, "<u8"), np.frombuffer(r.counts, "<i8")) for r in counted.select("data", "counts").toLocalIterator()]
-        words = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)])
-        order = np.argsort(words)
-        words = words[order]
-        counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])[order]
-        tokens = int(counts.sum())
-    held = LogFrequencyFilter(arrays, segments, lowest, setup)
-    model = LanguageModel(held, np.zeros(64), tokens, distinct, words, counts)
-    model.weights = _interpolation(docs, text, LanguageModel(held, model.weights, tokens, distinct, None, None), table)
+    held = LogFrequencyFilter(segments, setup, 0)
+    exact = table.filter("level = 0")
+    if distinct > setup.vocabulary or sum(sizes[j][0] for j in range(1, top + 1)) > setup.filter_bytes:
+        return LanguageModel(held, np.zeros(64), _total(exact), distinct), table
+    rows = table.filter("level > 0").select("segment", "level", "data").toLocalIterator()
+    held.fill(rows, segments, [sizes[j][0] for j in range(1, top + 1)])
+    parts = [(np.frombuffer(r.data, "<u8"), np.frombuffer(r.counts, "<i8")) for r in exact.select("data", "counts").toLocalIterator()]
+    words = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)])
+    order = np.argsort(words)
+    counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])[order]
+    return LanguageModel(held, np.zeros(64), int(counts.sum()), distinct, words[order], counts), table
+
+
+def train(docs: DataFrame, text: str = "text", setup: LmSetup = LmSetup()) -> tuple[LanguageModel, DataFrame]:
+    """The model of all texts, and its table of counts. An empty table gives a model without counts."""
+    model, table = counted(docs, text, setup)
+    model.weights = _interpolation(evidence(docs, model, table, F.lit(None).cast("int"), text))
     return model, table
 
 
-def _exact_rows(counted: DataFrame) -> DataFrame:
-    """(k, c): the exact counts as rows."""
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _total(exact: DataFrame) -> int:
+    """Sum of the exact counts."""
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data, counts in zip(batch["data"], batch["counts"], strict=True):
-                yield pd.DataFrame({"k": np.frombuffer(data, "<i8"), "c": np.frombuffer(counts, "<i8")})
+            yield pd.DataFrame({"n": [sum(int(np.frombuffer(c, "<i8").sum()) for c in batch["counts"])]})
 
-    return counted.select("data", "counts").mapInPandas(spread, "k long, c long")
+    return int(exact.select("counts").mapInPandas(add_up, "n long").agg(F.sum("n")).first()[0] or 0)
 
 
-def score_texts(docs: DataFrame, model: LanguageModel, table: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, n_known, base_score, score) of every whole text.
+def _scored(known: DataFrame, model: LanguageModel, key: str) -> DataFrame:
+    lean = LanguageModel(LogFrequencyFilter(model.filter.segments, model.filter.setup, 0), model.weights, model.tokens, model.distinct)
 
-    ``score`` is the model's log10 probability, ``base_score`` that of a smoothed unigram model with
-    exact counts. A NULL text is empty: its end is its only token. Repeated rows are scored each;
-    an empty table gives an empty result. If the words were too many to broadcast, the exact
-    counts are joined to the distinct words of each text. If the bit arrays were too large to
-    broadcast, levels and exact counts both come from the segments.
-    """
-    if model.filter.lowest > 1:
-        return _score_by_segment(docs, replace(model, words=None, counts=None), table, key, text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    exact = model.words is not None
-    names = ["n_tokens", "n_known", "base_score", "score"] if exact else ["n_tokens", "score"]
-    types = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
-    kind = ", ".join(f"{n} {types[n]}" for n in names) + ("" if exact else ", keys array<long>, times array<long>")
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for levels, pairs in batches:
+            yield pd.Series(lean.scores(*_opened(levels, pairs)) if len(levels) else [], dtype="float64")
 
-    @F.pandas_udf(kind)
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for batch in batches:
-            texts = batch.tolist()
-            out = []
-            for a, b in _grouped(texts, own.filter.setup.batch_chars):
-                frame = own.score(texts[a:b])[names]
-                if not exact:
-                    each = [np.unique(token_keys(t), return_counts=True) for t in texts[a:b]]
-                    frame = frame.assign(keys=[k.view(np.int64) for k, _ in each], times=[c for _, c in each])
-                out.append(frame)
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=[*names, *([] if exact else ["keys", "times"])])
-
-    found = docs.select(F.col(key).alias("key"), scored(F.col(text)).alias("s"))
-    if exact:
-        return found.select(F.col("key").alias(key), *[F.col(f"s.{n}").alias(n) for n in names])
-    rows = materialize(found.withColumn("row", F.monotonically_increasing_id()), "scored")
-    each = rows.select("row", F.explode(F.arrays_zip(F.col("s.keys").alias("k"), F.col("s.times").alias("t"))).alias("x"))
-    c = F.coalesce("c", F.lit(0))
-    add = model.filter.setup.add
-    part = F.log10((c + add) / (model.tokens + add * (model.distinct + 1)))
-    sums = (
-        each.select("row", "x.k", "x.t")
-        .join(_exact_rows(table.filter("level = 0")), "k", "left")
-        .groupBy("row")
-        .agg(F.sum(F.when(c > 0, F.col("t")).otherwise(0)).alias("n_known"), F.sum(F.col("t") * part).alias("base_score"))
+    return known.select(
+        F.col(key), F.length("levels").cast("long").alias("n_tokens"), "n_known", "base_score", score("levels", "pairs").alias("score")
     )
-    return rows.join(sums, "row").select(F.col("key").alias(key), F.col("s.n_tokens").alias("n_tokens"), "n_known", "base_score", F.col("s.score").alias("score"))
-
 
-def _score_by_segment(docs: DataFrame, model: LanguageModel, table: DataFrame, key: str, text: str) -> DataFrame:
-    held = model.filter
 
-    def use(places: pd.DataFrame, *evidence: np.ndarray) -> pd.DataFrame:
-        frame = model.scores(*evidence)[["n_tokens", "n_known", "base_score", "score"]]
-        return pd.concat([places, frame], axis=1)
+def score_texts(docs: DataFrame, model: LanguageModel, table: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, n_known, base_score, score) of every whole text.
 
-    coded = _coded(docs, key, text, held.segments, held.setup)
-    schema = "batch long, place long, n_tokens long, n_known long, base_score double, score double"
-    scored = _probed(coded, table, held.segments, held.setup, use, schema)
-    found = coded.select("key", "batch", "place").join(scored, ["batch", "place"])
-    return found.select(F.col("key").alias(key), "n_tokens", "n_known", "base_score", "score")
+    ``score`` is the model's log10 probability, ``base_score`` that of a smoothed unigram model with
+    exact counts. As the model's counts are the mean ones of their levels, the probabilities of all tokens
+    behind a context sum to one only nearly. A NULL text is empty: its end is its only token. Repeated
+    rows are scored each; an empty table gives an empty result.
+    """
+    known = evidence(docs, model, table, F.col(key), text)
+    return _scored(known.withColumnRenamed("key", key), model, key)
+
+
+def train_and_score(
+    docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", setup: LmSetup = LmSetup()
+) -> tuple[DataFrame, LanguageModel]:
+    """What ``train`` on the rows of ``training`` and ``score_texts`` on all give, and the model; every text is probed once."""
+    model, table = counted(docs.filter(training), text, setup)
+    both = F.struct(F.col(key).alias("key"), F.coalesce(training, F.lit(False)).alias("training"))
+    known = materialize(evidence(docs, model, table, both, text), "evidence")
+    model.weights = _interpolation(known.filter("key.training"))
+    return _scored(known.withColumn(key, F.col("key.key")), model, key), model

@@ -27,12 +27,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probability of every document, learned outside a tenth of them."""
-    from quern.llm.language_model import score_texts, train
+    from quern.llm.language_model import train_and_score
 
     docs = table(spark, folder, "documents")
     held_out = split_share(F.col("doc_id"), 10) == 0
-    model, counts = train(docs.filter(~held_out))
-    scored = score_texts(docs, model, counts)
+    scored, model = train_and_score(docs, ~held_out)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",

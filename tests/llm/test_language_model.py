@@ -1,10 +1,12 @@
 import math
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quern.llm.language_model import LmSetup, bit_array, expected, has, pair_keys, score_texts, token_keys, train
+from quern.llm.language_model import LmSetup, bit_array, expected, has, pair_keys, score_texts, token_keys, train, train_and_score
 
 
 def tokens(text):
@@ -56,12 +58,76 @@ def test_filter_holds_every_count_and_rarely_more(spark):
     assert expected(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
 
 
-def test_bound_of_the_filter_leaves_out_low_levels(documents):
+def test_a_filter_beyond_its_bound_is_not_held(documents):
     whole, _ = train(documents)
-    size = sum(a.size for a in whole.filter.arrays.values())
-    small, table = train(documents, setup=LmSetup(filter_bytes=size // 4))
-    assert small.filter.lowest > 1 and sum(a.size for a in small.filter.arrays.values()) <= size // 4
+    small, table = train(documents, setup=LmSetup(filter_bytes=whole.filter.nbytes // 4))
+    assert whole.filter.nbytes > 0 and small.filter.arrays is None and small.words is None
     assert all(r.score < 0 for r in score_texts(documents, small, table).collect())
+    exact, _ = train(documents, setup=LmSetup(filter_bytes=whole.filter.nbytes))
+    assert exact.filter.nbytes == whole.filter.nbytes
+
+
+def test_trained_and_scored_at_once(documents):
+    training = F.col("doc_id") % 10 != 0
+    setup = LmSetup(segment_chars=1 << 16, batch_chars=1 << 17)
+    model, table = train(documents.filter(training), setup=setup)
+    want = {r.doc_id: r for r in score_texts(documents, model, table).collect()}
+    for more in ({}, {"filter_bytes": 1000, "run": 3}):
+        got, own = train_and_score(documents, training, setup=replace(setup, **more))
+        assert np.array_equal(own.weights, model.weights) and own.tokens == model.tokens
+        rows = got.collect()
+        assert len(rows) == len(want)
+        for r in rows:
+            w = want[r.doc_id]
+            assert (r.n_tokens, r.n_known) == (w.n_tokens, w.n_known)
+            assert math.isclose(r.score, w.score, rel_tol=1e-9) and math.isclose(r.base_score, w.base_score, rel_tol=1e-9)
+
+
+def brute_scores(rows, training):
+    """The score by loops over plain counts, with each count replaced by the mean one of its level."""
+    words, pairs = Counter(), Counter()
+    for text in training:
+        t = tokens(text)
+        words.update(t)
+        pairs.update(zip(t, t[1:], strict=False))
+
+    def level(c):
+        return c.bit_length()
+
+    def mean(c):
+        return (2 ** (level(c) - 1) + 2 ** level(c) - 1) / 2 if c else 0
+
+    n, seen = Counter(), Counter()
+    for text in training:
+        t = tokens(text)
+        for a, b in zip(t, t[1:], strict=False):
+            n[level(words[a])] += 1
+            seen[level(words[a])] += pairs[a, b] >= 2
+    weight = {j: min((seen[j] + 0.5) / (n[j] + 10), 0.98) for j in range(64)}
+    weight[1] = weight[2]
+    total, distinct = sum(words.values()), len(words)
+    out = {}
+    for d, text in rows:
+        t, score = tokens(text), 0.0
+        for i, w in enumerate(t):
+            uni = (mean(words[w]) + 0.1) / (total + 0.1 * (distinct + 1))
+            c = words[t[i - 1]] if i else 0
+            share = min(mean(pairs[t[i - 1], w]) / mean(c), 1.0) if c else 0.0
+            k = weight[level(c)] if c else 0.0
+            score += math.log10(k * share + (1 - k) * uni)
+        out[d] = score
+    return out
+
+
+@pytest.mark.parametrize("filter_bytes", [1 << 27, 1000])
+def test_score_is_that_of_plain_loops(documents, filter_bytes):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    # So many bits that nothing is held falsely.
+    setup = LmSetup(bits=400, probes=9, filter_bytes=filter_bytes, segment_chars=1 << 16, batch_chars=1 << 17)
+    got, _ = train_and_score(documents, F.col("doc_id") % 10 != 0, setup=setup)
+    want = brute_scores(rows, [t for d, t in rows if d % 10])
+    for r in got.collect():
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-9), r.doc_id
 
 
 def test_scores_are_the_same_beyond_the_bound_of_the_filter(documents):
@@ -73,7 +139,7 @@ def test_scores_are_the_same_beyond_the_bound_of_the_filter(documents):
         both.append((model, {r.doc_id: r for r in score_texts(documents, model, table).collect()}))
     (near, want), *others = both
     for far, got in others:
-        assert near.filter.lowest == 1 < far.filter.lowest and np.array_equal(near.weights, far.weights)
+        assert near.filter.arrays is not None and far.filter.arrays is None and np.array_equal(near.weights, far.weights)
         assert got.keys() == want.keys()
         for d, r in got.items():
             assert (r.n_tokens, r.n_known) == (want[d].n_tokens, want[d].n_known)
