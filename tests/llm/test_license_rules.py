@@ -91,6 +91,8 @@ def matches_of(items):
         elif op is _parser.MAX_REPEAT:
             least, most, body = value
             some = [x * n for n in dict.fromkeys((least, min(least + 1, most))) for x in matches_of(body)]
+        elif op is _parser.ASSERT:
+            some = matches_of(value[1])
         else:
             assert op is _parser.ASSERT_NOT
             some = [""]
@@ -123,3 +125,30 @@ def test_identifiers_without_the_name(spark):
     df = spark.createDataFrame(list(texts.items()), "text string, label string")
     for r in scan_licenses(df, ["text", "label"]).collect():
         assert r.labels == [r.label], r
+
+
+#: Notices as they stand in files and on pages, written without looking at the rules.
+NOTICES = {
+    "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: EPL-2.0": "epl",
+    "SPDX-License-Identifier: Zlib": "zlib", "SPDX-License-Identifier: Unlicense": "unlicense", "SPDX-License-Identifier: PostgreSQL": "postgresql",
+    "SPDX-License-Identifier: OpenSSL": "openssl", "SPDX-License-Identifier: Ruby": "ruby", "SPDX-License-Identifier: AFL-3.0": "afl",
+    "SPDX-License-Identifier: OSL-3.0": "osl", "SPDX-License-Identifier: MS-PL": "ms-pl", "SPDX-License-Identifier: CPL-1.0": "cpl",
+    "SPDX-License-Identifier: LPPL-1.3c": "lppl", "SPDX-License-Identifier: Python-2.0": "psf", "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+    "# SPDX-License-Identifier: GPL-2.0+": "gpl", "// SPDX-License-Identifier: Apache-2.0": "apache",
+    "This package is released under MIT.": "mit", "The code is licensed under the ISC terms": "isc", "under AGPLv3": "agpl", "LGPLv3 or newer": "lgpl",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
+    "Redistribution and use in source and binary forms, with or without\n * modification, are permitted": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted": "isc",
+    "This is free and unencumbered software released into the public domain.": "public-domain,unlicense",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License": "lgpl",
+    "1. The origin of this software must not be misrepresented;": "zlib",
+    "No rights reserved.": "cc0", "Apache-2.0 OR MIT": "apache,mit", "license = \"MIT OR Apache-2.0\"": "apache,mit",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl",
+    "requires Python 2.0 or newer": "", "he studied at MIT or Harvard": "", "zlib and openssl are needed to build ruby": "", "Expat parses XML": "",
+}
+
+
+def test_real_notices(spark):
+    df = spark.createDataFrame(list(NOTICES.items()), "text string, want string")
+    got = {r.text: ",".join(r.labels) for r in scan_licenses(df, ["text", "want"]).collect()}
+    assert {t: (got[t], w) for t, w in NOTICES.items() if got[t] != w} == {}
