@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.oracles import ORACLES  # noqa: F401
@@ -111,9 +111,12 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     from quern.llm.pii import BASE, KINDS, detect_pii, spans_text
 
     found = detect_pii(table(spark, folder, "documents"), ["doc_id"])
-    counts = [
-        F.size(F.filter("base", lambda s, i=KINDS.index(kind): s["kind"] == i)).cast("long").alias(f"n_{kind}") for kind in BASE
-    ]
+
+    def count(kind: str) -> Column:
+        # A second parameter of the lambda, a default included, would be the position in the array.
+        return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE]
     return found.select(
         "doc_id", *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans")
     )

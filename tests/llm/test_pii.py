@@ -93,3 +93,15 @@ def test_long_runs(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in detect_pii(df, ["doc_id"]).select("doc_id", spans_text("base").alias("b")).collect():
         assert r.b == brute(texts[r.doc_id]), r.doc_id
+
+
+def test_counts_by_kind(spark, tmp_path):
+    """The counts of the query are those of its own base spans, whatever kinds come together."""
+    from quern.llm.queries import op7_pii
+
+    texts = ["host 10.0.0.1", "a@b.cc and c@d.ee", "card 4111 1111 1111 1111, call +1 301 555 0346", "a@b.cc 10.0.0.1 10.0.0.2, 4111111111111111", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in op7_pii(spark, str(tmp_path)).collect()}
+    kinds = {i: [x.split(":")[0] for x in brute(t).split(",")] for i, t in enumerate(texts)}
+    assert got == {i: tuple(k.count(x) for x in SHAPES) for i, k in kinds.items()}
+    assert got[3] == (1, 2, 1, 0)
