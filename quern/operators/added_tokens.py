@@ -13,11 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quern.functions.tokens import UNK_ID
-from quern.operators.encode import BROADCAST_ENTRIES, WordIndex, bounded_rows, one_id, words
-from quern.session import ship_package
+from quern.operators import encode
+from quern.operators.encode import WordIndex, bounded_rows, flat_lists, ids_by_join, one_id, words
+from quern.session import materialize, ship_package
 
 _PIECE = "array<struct<piece:string,id:int>>"
 #: Rows of a table of added tokens that a query may hold as a pattern.
@@ -86,16 +87,27 @@ def encode_added(
 ) -> DataFrame:
     """Add ``out``: ids of a text's words and of the added tokens in it, in order."""
     ship_package(df.sparkSession)
-    rows = bounded_rows(one_id(vocabulary), BROADCAST_ENTRIES)
-    if rows is None:
-        raise ValueError(f"a vocabulary of more than {BROADCAST_ENTRIES} words")
-    shared = df.sparkSession.sparkContext.broadcast(WordIndex(rows))
+    known = materialize(one_id(vocabulary), "vocabulary")
     none = F.lit(None).cast("string")
     spread = lambda p: F.when(p["id"].isNotNull(), F.array(F.struct(none.alias("word"), p["id"].alias("id")))).otherwise(
         F.transform(words(p["piece"]), lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("id")))
     )
     listed = F.flatten(F.transform(split_added(F.col(text), tokens, normalize), spread))
 
+    cut = df.withColumn("__pieces", listed)
+    word = F.col("__pieces")["word"]
+    rows = bounded_rows(known, encode.BROADCAST_ENTRIES)
+    if rows is None:
+        found = ids_by_join(cut, word, flat_lists, known, "__words", unknown)
+    else:
+        found = cut.withColumn("__words", _looker(WordIndex(rows), df.sparkSession, unknown)(word))
+    ids = F.zip_with(F.col("__pieces")["id"], F.col("__words"), lambda added, word: F.coalesce(added, word))
+    return found.withColumn(out, ids).drop("__pieces", "__words")
+
+
+def _looker(index: WordIndex, spark: SparkSession, unknown: int) -> Callable[[Column], Column]:
+    shared = spark.sparkContext.broadcast(index)
+
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
@@ -106,6 +118,4 @@ def encode_added(
             offsets = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own[slots].astype(np.int32)))
 
-    cut = df.withColumn("__pieces", listed)
-    ids = F.zip_with(F.col("__pieces")["id"], look_up(F.col("__pieces")["word"]), lambda added, word: F.coalesce(added, word))
-    return cut.withColumn(out, ids).drop("__pieces")
+    return look_up

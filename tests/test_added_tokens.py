@@ -68,3 +68,15 @@ def test_unknown_tokens_fail(spark):
     assert [r.id for r in token_ids(df, tokens).collect()] == [2]
     with pytest.raises(Exception, match="not in the table: <T>"):
         token_ids(spark.createDataFrame([("<T>",)], "token string"), tokens).collect()
+
+
+@pytest.mark.parametrize("limit", [0, 2, 1_000_000])
+def test_a_vocabulary_of_any_size(spark, monkeypatch, limit):
+    from quern.operators import encode
+
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", limit)
+    added = table(spark, [("<x>", 90, ""), ("<y>", 91, "")])
+    vocab = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5), ("d", 6)], "token string, id int")
+    docs = spark.createDataFrame([(0, "a<x>d e<y><y> b a"), (1, ""), (2, None), (3, "<x>")], "i int, text string")
+    got = {r.i: r.tokens for r in encode_added(docs, vocab, added).collect()}
+    assert got == {0: [3, 90, 6, 0, 91, 91, 4, 3], 1: [], 2: [], 3: [90]}

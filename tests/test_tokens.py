@@ -195,3 +195,34 @@ def test_totals_from_lengths_are_those_of_the_chunks(spark):
     df = spark.createDataFrame(data, "source string, doc_id long, tokens array<int>")
     chunks = packing.pack_chunks(df, "source", "doc_id", 8, 0)
     assert stats.chunk_totals(df, F.size("tokens"), 8).collect() == stats.corpus_totals(chunks).collect()
+
+
+@pytest.mark.parametrize("limit", [0, 1, 2, 5, 40])
+def test_a_large_vocabulary_is_broadcast_in_part(spark, monkeypatch, limit):
+    """Words of the head, words of the rest and unknown words, in one text and in many."""
+    known = {f"w{i}": 3 + i for i in range(30)}
+    texts = [None, "", " ", *[" ".join(f"w{(i * j) % 41}" for j in range(i)) for i in range(1, 60)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row_index long, text string").repartition(3)
+    vocab = spark.createDataFrame([*known.items(), ("w2", 99), ("gone", None)], "token string, id int")
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", limit)
+    ids = encode.encode_words(docs, vocab)
+    want = {i: [known.get(w, 0) for w in (t or "").split()] for i, t in enumerate(texts)}
+    assert {r.row_index: r.tokens for r in ids.collect()} == want
+    by_id = {i: w for w, i in known.items()}
+    back = encode.decode_words(ids.drop("text"), vocab.where("id <> 99"))
+    assert {r.row_index: r.text for r in back.collect()} == {i: " ".join(by_id.get(t, "<unk>") for t in ts) for i, ts in want.items()}
+    rows = docs.select("row_index", F.explode(encode.words(F.col("text"))).alias("token"))
+    found = encode.lookup_ids(rows, encode.one_id(vocab), broadcast_limit=limit)
+    assert sorted((r.row_index, r.token, r.id or 0) for r in found.collect()) == sorted((i, w, known.get(w, 0)) for i, t in enumerate(texts) for w in (t or "").split())
+
+
+def test_only_rare_words_cross_the_shuffle(spark, monkeypatch):
+    """Words of the head never become rows, and others once a document; before, all did, beside 32 copies of the vocabulary."""
+    seen = []
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", 2)
+    real = encode._pin
+    monkeypatch.setattr(encode, "_pin", lambda df: seen.append(real(df)) or seen[-1])
+    docs = spark.createDataFrame([(1, "a b a b z c z c c")], "row_index long, text string")
+    vocab = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5), ("d", 6)], "token string, id int")
+    assert encode.encode_words(docs, vocab).first().tokens == [3, 4, 3, 4, 0, 5, 0, 5, 5]
+    assert sorted(seen[0].first()["__e"].rest) in (["b", "c", "z"], ["c", "z"])
