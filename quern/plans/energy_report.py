@@ -30,6 +30,7 @@ def energy_report(
     global_batch_size: int | None = None,
     target_steps: float | None = None,
     target_tokens: float | None = None,
+    gpus_per_node: int | None = None,
     run: str = "run_id",
     order: str = "sample_index",
 ) -> DataFrame:
@@ -37,6 +38,8 @@ def energy_report(
 
     Every run is read by its own column names, device count and clock. A run without a usable
     sample comes out with the status ``no usable samples`` and no figures; others are ``ok``.
+    A device that logged nothing in a whole run cannot be seen there: where it is known how many a node has,
+    ``gpus_per_node`` says so for every run with a power column.
 
     ``system`` holds power samples, ``main`` the step counters, ``config`` a
     ``(run_id, config map<string,string>)`` table. Runs that fit a task are measured behind a
@@ -45,6 +48,9 @@ def energy_report(
     """
     check_targets(target_steps, target_tokens)
     profiles = run_profiles(system, run)
+    if gpus_per_node is not None:
+        given = F.when(F.col("pattern").isNotNull(), F.lit(gpus_per_node)).otherwise(F.col("gpus_per_node"))
+        profiles = profiles.withColumn("gpus_per_node", given.cast("int"))
     keyed = [c for c in (run, order, "_runtime", "_timestamp") if c in system.columns]
     powered = with_run_power(system, profiles, run).select(*keyed, "power_kw")
 

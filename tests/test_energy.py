@@ -249,3 +249,14 @@ def test_the_first_key_present_decides(spark):
     df = spark.createDataFrame([({"seq_length": "many", "seq_len": "7"},), ({"seq_len": "7"},)], "config map<string,string>")
     got = df.select(energy.resolve_params(F.col("config"))[0]).collect()
     assert [r.seq_length for r in got] == [None, 7]
+
+
+def test_devices_without_a_value(spark):
+    """A device that logs nothing in a whole run counts where the size of a node is given."""
+    raw = spark.createDataFrame(
+        [("r", i, 60.0 * i, 500.0, None) for i in range(5)] + [("none", 0, 0.0, None, None)],
+        "run_id string, sample_index long, _timestamp double, `gpu.0.power` double, `gpu.1.power` double",
+    )
+    count = lambda **given: {r.run_id: r.gpus_per_node for r in energy_report(raw, **given).collect()}
+    assert count() == {"r": 1, "none": 0}
+    assert count(gpus_per_node=2) == {"r": 2, "none": 0}
