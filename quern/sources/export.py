@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quern.operators.ordered import whole_div, with_ordinal
 from quern.session import materialize, ship_package
 from quern.sources.packed import _filesystem
+from quern.sources.paths import spread
+
+#: While a job of rounds takes less than this, the next one has twice as many.
+JOB_SECONDS = 60.0
 
 MANIFEST = "path string, target string, chunk_id long, status string, error string, started double, finished double"
 
@@ -48,8 +52,7 @@ def export_files(plan: DataFrame, root: str, target: str, attempts: int = 3, wai
         for part in parts:
             yield pd.DataFrame([_copy_one(p, c, base, goal, attempts, wait) for p, c in zip(part["path"], part["chunk_id"])])
 
-    spread = plan.select("path", "chunk_id").repartition("chunk_id")
-    return spread.mapInPandas(copy, MANIFEST)
+    return spread(plan.select("path", "chunk_id"), "chunk_id").mapInPandas(copy, MANIFEST)
 
 
 def _plain(path: str) -> str:
@@ -85,19 +88,25 @@ def export(
     attempts: int = 3,
     wait: float = 0.5,
 ) -> DataFrame:
-    """Copy ``files`` in rounds of chunks, appending each round to the ``manifest``; returns the manifest.
+    """Copy ``files`` in rounds of chunks, appending the rounds to the ``manifest``; returns the manifest.
 
-    A round is a Spark job whose rows are appended to the manifest by Spark's commit protocol, as a whole or not
-    at all. After a lost driver the same call goes on: files that the manifest records as copied are left
+    The first round is a Spark job of its own. While jobs are short, each has twice as many rounds as the one
+    before, so that small rounds do not cost a job each, and a lost job is never much longer than
+    ``JOB_SECONDS``. A job's rows are appended to the manifest by Spark's commit protocol, as a whole or not at all. After a lost driver the same call goes on: files that the manifest records as copied are left
     out, failed ones are tried again, and a round that was not recorded is copied again, over what it left.
     Chunk numbers depend on the names alone. ``start_chunk`` leaves out the chunks before it.
     """
     plan = materialize(export_plan(files, None, chunk_size, start_chunk), "export")
     last = plan.agg(F.max("chunk_id")).first()[0]
-    for first in range(start_chunk, -1 if last is None else last + 1, chunks_per_round):
+    first, chunks = start_chunk, chunks_per_round
+    while last is not None and first <= last:
+        begun = time.time()
         done = read_manifest(spark, manifest).where(F.col("status") == "ok").select("path")
-        left = plan.where(F.col("chunk_id").between(first, first + chunks_per_round - 1)).join(done, "path", "left_anti")
+        left = plan.where(F.col("chunk_id").between(first, first + chunks - 1)).join(done, "path", "left_anti")
         export_files(left, root, target, attempts, wait).write.mode("append").parquet(manifest)
+        first += chunks
+        if time.time() - begun < JOB_SECONDS:
+            chunks *= 2
     return read_manifest(spark, manifest)
 
 

@@ -307,3 +307,14 @@ def test_an_export_goes_on_from_its_manifest(spark, tmp_path):
     assert all(second[n] == row for n, row in first.items() if n != "f5.bin")
     assert sorted(p.read_text() for p in (tmp_path / "out").rglob("*.bin")) == [f"content {i}" for i in range(9)]
     assert call().count() == 9
+
+
+def test_short_rounds_share_jobs(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        put(tmp_path / "src", f"f{i:02}.bin", f"content {i}")
+    files = corpus.list_corpus(spark, str(tmp_path / "src"), "bin")
+    jobs, real = [], export.export_files
+    monkeypatch.setattr(export, "export_files", lambda plan, *rest: jobs.append(sorted(r.chunk_id for r in plan.collect())) or real(plan, *rest))
+    got = export.export(spark, files, str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "manifest"), chunk_size=2, chunks_per_round=1)
+    assert got.where("status = 'ok'").count() == 40
+    assert len(jobs) == 5 and sorted(sum(jobs, [])) == sorted(i // 2 for i in range(40))
