@@ -309,6 +309,21 @@ def test_an_export_goes_on_from_its_manifest(spark, tmp_path):
     assert call().count() == 9
 
 
+def test_tables_stored_as_folders(spark, tmp_path):
+    """A table of several files is one in a listing, and its rows are counted over all of them."""
+    for i in range(3):
+        spark.createDataFrame([(f"text {3 * i + j}",) for j in range(3)], "text string").coalesce(1).write.parquet(str(tmp_path / "away" / str(i)))
+        (tmp_path / "in" / "train" / "docs.parquet").mkdir(parents=True, exist_ok=True)
+        next((tmp_path / "away" / str(i)).glob("*.parquet")).rename(tmp_path / "in" / "train" / "docs.parquet" / f"part-{i}.parquet")
+    next_to_it = tmp_path / "in" / "one.parquet"
+    next_to_it.write_bytes((tmp_path / "in" / "train" / "docs.parquet" / "part-0.parquet").read_bytes())
+    listed = corpus.whole_tables(corpus.list_corpus(spark, str(tmp_path / "in"), "parquet"))
+    assert sorted((r.path.rsplit("/", 1)[1], r.ext, r.subset) for r in listed.collect()) == [("docs.parquet", "parquet", "train"), ("one.parquet", "parquet", "")]
+    docs = str(tmp_path / "in" / "train" / "docs.parquet")
+    assert sorted((r.row_index, r.text) for r in corpus.read_parquet_text(spark, docs, across=True).collect()) == [(i, f"text {i}") for i in range(9)]
+    assert sorted(r.row_index for r in corpus.read_parquet_text(spark, docs).collect()) == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
 def test_short_rounds_share_jobs(spark, tmp_path, monkeypatch):
     for i in range(40):
         put(tmp_path / "src", f"f{i:02}.bin", f"content {i}")
