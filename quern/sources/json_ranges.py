@@ -18,6 +18,7 @@ import json
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,9 +29,10 @@ from quern.operators.ordered import ordered_sums
 from quern.session import materialize, ship_package
 from quern.sources.paths import described, filesystem, spread
 
-#: Bytes of a range, and of what is read at a time beyond its end.
+#: Bytes of a range, and the most and least of what is read at a time beyond its end.
 RANGE = 8 << 20
 STEP = 1 << 20
+LEAST_STEP = 1 << 12
 
 _OPEN, _CLOSE, _COMMA = b"[{", b"]}", b","
 _IS_STRUCTURE = np.zeros(256, bool)
@@ -95,6 +97,8 @@ def _blank_from(read: Read, at: int, size: int) -> bool:
 def _elements(read: Read, size: int, begin: int, end: int, inside: bool, depth: int) -> Iterator[tuple[int, bytes | None, str]]:
     """(offset, bytes, problem) of the elements that begin in a range, and of faults of the structure."""
     escaped, at, limit = _odd_run(read, begin), begin, end
+    # What is read for the last element grows with the element, not with the file.
+    step = min(STEP, max(LEAST_STEP, (end - begin) // 8))
     began, first, parts, seen = -1, False, [], False
     while True:
         block = read(at, limit)
@@ -139,7 +143,7 @@ def _elements(read: Read, size: int, begin: int, end: int, inside: bool, depth:
         if limit >= size:
             yield began, b"".join(parts)[:200], "array not closed"
             return
-        at, limit = limit, min(limit + STEP, size)
+        at, limit, step = limit, min(limit + step, size), min(2 * step, STEP)
 
 
 _LINE_END = re.compile(rb"[\r\n]")
@@ -335,11 +339,14 @@ def json_array_records(files: DataFrame, size: int = RANGE) -> tuple[DataFrame,
     states = ordered_sums(inside, "path", "number", {"depth": F.when(F.col("inside"), F.col("in")).otherwise(F.col("out"))})
     ready = ranges.join(states.select("path", "number", "inside", "depth"), ["path", "number"])
 
+    def of_range(r) -> Iterator[tuple]:
+        return _parsed(r.path, r.number, lambda f: enumerate(_elements(_reader(f), r.bytes, r.begin, r.end, bool(r.inside), int(r.depth))))
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for r in batch.itertuples():
-                rows = lambda f, r=r: enumerate(_elements(_reader(f), r.bytes, r.begin, r.end, bool(r.inside), int(r.depth)))
-                yield from _framed(_parsed(r.path, r.number, rows), ["source", "number", "position", "at", "kind", "text", "excerpt"])
+            # Ranges share frames, as a short one has but a few rows.
+            rows = chain.from_iterable(of_range(r) for r in batch.itertuples())
+            yield from _framed(rows, ["source", "number", "position", "at", "kind", "text", "excerpt"])
 
     schema = "source string, number long, position long, at long, kind string, text string, excerpt string"
     records = materialize(spread(ready, "path", "number").mapInPandas(parse, schema), "records")

@@ -38,6 +38,27 @@ def in_ranges(raw, size):
     return out
 
 
+def test_short_ranges_read_little_beyond_their_ends():
+    """Before, a range read a whole step beyond its end, which was the rest of the file."""
+    raw = json.dumps(["x" * 500] * 2000).encode()
+    taken = []
+
+    def read(begin, end):
+        taken.append(end - begin)
+        return raw[begin:end]
+
+    quotes = depth = count = 0
+    for begin in range(0, len(raw), 10_000):
+        end = min(begin + 10_000, len(raw))
+        count += sum(1 for _ in json_ranges._elements(read, len(raw), begin, end, quotes % 2 == 1, depth))
+        found = json_ranges.scan(raw[begin:end], quotes % 2 == 1, False)
+        quotes += found.quotes
+        depth += int(json_ranges._DEEPER[found.chars].sum())
+    assert count == 2000
+    assert sum(taken) < 3 * len(raw)
+
+
+
 @pytest.fixture
 def small_steps(monkeypatch):
     monkeypatch.setattr(json_ranges, "STEP", 7)
