@@ -9,6 +9,8 @@ and nothing else. The endless form derives the same plan from a stream of run nu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -95,22 +97,31 @@ def read_blocks(plan: DataFrame, tokens: str = "tokens") -> DataFrame:
     """The plan's rows with ``tokens``, the ids of each block as 64-bit integers.
 
     A task has whole files' blocks where the plan was dealt by :func:`by_file`, and reads each range once.
+    Blocks of several files share a frame, as a small file has but a few.
     """
     ship_package(plan.sparkSession)
     kept = [f"`{n}` {t}" for n, t in plan.dtypes]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, rows in batch.groupby("path", sort=False):
-                files, place = filesystem(path)
-                with files.open_input_file(place) as file:
-                    for at in range(0, len(rows), 256):
-                        part = rows.iloc[at : at + 256].sort_values("begin")
-                        yield part.assign(**{tokens: [_ids(file, *r) for r in part[["begin", "length", "dtype"]].itertuples(index=False)]})
+            yield from _read(batch, tokens)
 
     return plan.mapInPandas(read, ", ".join([*kept, f"`{tokens}` array<bigint>"]))
 
 
+def _read(plan: pd.DataFrame, tokens: str, most: int = 256) -> Iterator[pd.DataFrame]:
+    """The rows of a part of a plan with their ids, ``most`` to a frame."""
+    rows = plan.sort_values(["path", "begin"])
+    for at in range(0, len(rows), most):
+        part = rows.iloc[at : at + most]
+        found = []
+        for path, own in groupby(part[["path", "begin", "length", "dtype"]].itertuples(index=False, name=None), itemgetter(0)):
+            files, place = filesystem(path)
+            with files.open_input_file(place) as file:
+                found += [_ids(file, *r[1:]) for r in own]
+        yield part.assign(**{tokens: found})
+
+
 def _ids(file, begin: int, length: int, dtype: str) -> np.ndarray:
     raw = file.read_at(length, begin)
     if len(raw) != length:

@@ -132,3 +132,18 @@ def test_the_stream_starts_over_and_resumes(spark, tmp_path):
     assert last >= 4  # beyond the second epoch: two runs each
     expected = [r for r in rows(loaded(spark, path, 3, 2, 7, 60, last // 2 + 1)) if r[0] * 2 + r[2] <= last]
     assert rows(found) == expected
+
+
+def test_blocks_of_many_small_files_share_frames(tmp_path):
+    """Before, each file had a frame of its own."""
+    import pandas as pd
+
+    plan = []
+    for i in range(40):
+        (tmp_path / f"f{i}").write_bytes(np.arange(10 * i, 10 * i + 10, dtype="<i4").tobytes())
+        plan += [(str(tmp_path / f"f{i}"), begin, 16, "int32", i) for begin in (16, 0)]
+    plan = pd.DataFrame(plan, columns=["path", "begin", "length", "dtype", "file"]).sample(frac=1, random_state=3)
+    frames = list(blocks._read(plan, "tokens", 30))
+    assert [len(f) for f in frames] == [30, 30, 20]
+    read = {(r.file, r.begin): r.tokens.tolist() for f in frames for r in f.itertuples()}
+    assert read == {(i, b): [10 * i + b // 4 + j for j in range(4)] for i in range(40) for b in (0, 16)}
