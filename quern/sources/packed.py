@@ -308,22 +308,39 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _decode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            raw = content.as_buffer()
-            dtype, chunk_size = parse_header(raw.slice(0, min(HEADER_SIZE, raw.size)).to_pybytes())
-            ids = np.frombuffer(raw, np.dtype(dtype).newbyteorder("<"), offset=HEADER_SIZE).astype(np.int64)
-            if len(ids) != chunk_size:
-                raise ValueError(f"{path.as_py()}: {len(ids)} ids, header says {chunk_size}")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([path.as_py()]),
-                    pa.array([dtype]),
-                    pa.array([chunk_size], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids)),
-                ],
-                names=["path", "dtype", "chunk_size", "tokens"],
-            )
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                raw = content.as_buffer()
+                dtype, chunk_size = parse_header(raw.slice(0, min(HEADER_SIZE, raw.size)).to_pybytes())
+                ids = np.frombuffer(raw, np.dtype(dtype).newbyteorder("<"), offset=HEADER_SIZE).astype(np.int64)
+                if len(ids) != chunk_size:
+                    raise ValueError(f"{path.as_py()}: {len(ids)} ids, header says {chunk_size}")
+                yield path.as_py(), dtype, chunk_size, ids
+
+    return _gathered(rows(), {"path": pa.string(), "dtype": pa.string(), "chunk_size": pa.int64()})
+
+
+def _gathered(rows: Iterator[tuple], others: dict[str, pa.DataType], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of rows of ``others`` and ids, as ``tokens``; a batch has at most ``most`` ids, or one row."""
+
+    def batch() -> pa.RecordBatch:
+        *columns, ids = zip(*part, strict=True)
+        offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+        arrays = [pa.array(c, t) for c, t in zip(columns, others.values(), strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], names=[*others, "tokens"])
+
+    part, size = [], 0
+    for row in rows:
+        # A row counts as some ids itself, so that empty ones are bounded too.
+        weight = len(row[-1]) + 64
+        if part and size + weight > most:
+            yield batch()
+            part, size = [], 0
+        part.append(row)
+        size += weight
+    if part:
+        yield batch()
 
 
 def read_shards(spark: SparkSession, path: str, token_size: int) -> DataFrame:
@@ -338,10 +355,8 @@ def read_shards(spark: SparkSession, path: str, token_size: int) -> DataFrame:
     kind = np.dtype({2: "<u2", 4: "<u4"}[token_size])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for where, content in zip(batch.column("path"), batch.column("content")):
-                ids = np.frombuffer(content.as_buffer(), kind).astype(np.int64)
-                tokens = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([pa.array([where.as_py()]), tokens], names=["path", "tokens"])
+        pairs = (pair for batch in batches for pair in zip(batch.column("path"), batch.column("content")))
+        rows = ((where.as_py(), np.frombuffer(content.as_buffer(), kind).astype(np.int64)) for where, content in pairs)
+        return _gathered(rows, {"path": pa.string()})
 
     return files.mapInArrow(decode, "path string, tokens array<bigint>")

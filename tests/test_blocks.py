@@ -147,3 +147,16 @@ def test_blocks_of_many_small_files_share_frames(tmp_path):
     assert [len(f) for f in frames] == [30, 30, 20]
     read = {(r.file, r.begin): r.tokens.tolist() for f in frames for r in f.itertuples()}
     assert read == {(i, b): [10 * i + b // 4 + j for j in range(4)] for i in range(40) for b in (0, 16)}
+
+
+def test_small_packed_files_share_batches():
+    """Before, each file had a batch of its own."""
+    import pyarrow as pa
+
+    made = [(f"p{i}", list(range(i % 5))) for i in range(300)]
+    content = [packed.header("int32", len(t)) + packed.narrow(np.array(t, np.int64), "int32") for _, t in made]
+    out = list(packed._decode_chunks(iter([pa.RecordBatch.from_pydict({"path": [p for p, _ in made], "content": content})])))
+    assert len(out) == 1
+    assert [(r["path"], r["tokens"]) for b in out for r in b.to_pylist()] == made
+    whole = list(packed._gathered(iter([("a", np.arange(200)), ("b", np.arange(3)), ("c", np.arange(0))]), {"path": pa.string()}, 150))
+    assert [b.column("path").to_pylist() for b in whole] == [["a"], ["b", "c"]]
