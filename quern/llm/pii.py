@@ -198,7 +198,11 @@ def detect_pii(docs: DataFrame, keep: list[str], text: str = "text", setup: Boot
     )
     plain = lambda spans: F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     secrets = F.filter("secrets", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
-    joined = found.select(row, *keep, plain("base").alias("base"), plain(secrets).alias("secrets")).join(unseen, row, "left")
+    # Only texts with candidates can gain by the join; the others, which are most, are not shuffled for it.
+    some = F.size("candidates") > 0
+    ready = lambda rows: rows.select(row, *keep, plain("base").alias("base"), plain(secrets).alias("secrets"))
+    none = F.lit(None).cast(unseen.schema["unseen"].dataType).alias("unseen")
+    joined = ready(found.where(some)).join(unseen, row, "left").unionByName(ready(found.where(~some)).select("*", none))
     # A secret may be found by its shape and by its context: the shape's span stays.
     new = F.filter(
         F.coalesce("unseen", F.array().cast("array<struct<kind:int,start:int,end:int>>")),

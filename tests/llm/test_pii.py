@@ -105,3 +105,16 @@ def test_counts_by_kind(spark, tmp_path):
     kinds = {i: [x.split(":")[0] for x in brute(t).split(",")] for i, t in enumerate(texts)}
     assert got == {i: tuple(k.count(x) for x in SHAPES) for i, k in kinds.items()}
     assert got[3] == (1, 2, 1, 0)
+
+
+def test_texts_without_candidates_are_not_joined(spark):
+    """Before, every text was shuffled to meet the unseen identifiers of a few."""
+    token = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(i, f'prose number {i} goes on: token = "{token(i)}" and ends') for i in range(40)]
+    rows += [(100, 'here the token = "short-7x9" is an unseen one'), (101, "plain words"), (101, "plain words"), (None, None)]
+    found = detect_pii(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "(size(candidates" in plan
+    got = [(r.doc_id, r.text, r.s) for r in found.select("doc_id", "text", spans_text("spans").alias("s")).collect()]
+    assert sorted((i, t) for i, t, _ in got if i is not None) == sorted(rows[:-1])
+    assert {i: s for i, _, s in got if i is None or i >= 100} == {100: "secret:18:27", 101: "", None: ""}
