@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -23,28 +24,26 @@ from pyspark.sql import functions as F
 
 from quern.session import ship_package
 
-#: The fixpoint. A row holds a token and the one that follows it. In a round every piece that still has a
-#: pair to merge contracts one: ``best`` is the least rank and, in its lower 32 bits, the leftmost
-#: position; the row after it goes. A piece's last round, from which nothing follows, holds its tokens.
-CONTRACT = """
-WITH RECURSIVE rows(round, piece, pos, token, next) AS (
-    SELECT 0::INTEGER, piece, pos, token, next FROM start
+#: No pair: a rank above all others.
+NONE = (1 << 31) - 1
+
+#: The fixpoint. A row is a piece: its tokens between two borders of -1, and the rank of each token with the one
+#: that follows it. In a round every piece that still has a pair to merge contracts one, the leftmost of the least
+#: rank, and only the two pairs that it now takes part in are looked up. A row without a pair is finished.
+CONTRACT = f"""
+WITH RECURSIVE rows(piece, ids, ranks, best) AS (
+    SELECT piece, ids, ranks, list_min(ranks) FROM start
     UNION ALL
-    SELECT round + 1, piece, pos,
-           CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE token END,
-           CASE WHEN pos = best & 4294967295 THEN after_next WHEN after_pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE next END
+    SELECT piece, ids, ranks, list_min(ranks)
     FROM (
-        SELECT r.round, r.piece, r.pos, r.token, r.next,
-               min((m.merged::BIGINT << 32) + r.pos) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,
-               lag(r.pos, 1, -1) OVER w AS before, lead(r.pos) OVER w AS after_pos, lead(r.next) OVER w AS after_next
-        FROM rows r LEFT JOIN merges m ON m.first = r.token AND m.second = r.next
-        WINDOW w AS (PARTITION BY r.piece ORDER BY r.pos)
+        SELECT piece, ids[1:spot - 1] || [best] || ids[spot + 2:len(ids)] AS ids,
+               ranks[1:spot - 2] || [coalesce(l.merged, {NONE}), coalesce(r.merged, {NONE})] || ranks[spot + 2:len(ranks)] AS ranks
+        FROM (SELECT piece, ids, ranks, best, list_position(ranks, best) AS spot FROM rows WHERE best < {NONE}) x
+        LEFT JOIN merges l ON l.first = x.ids[spot - 1] AND l.second = best
+        LEFT JOIN merges r ON r.first = best AND r.second = x.ids[spot + 2]
     )
-    WHERE best IS NOT NULL AND before <> best & 4294967295
 )
-SELECT piece, list(token ORDER BY pos) AS ids
-FROM rows JOIN (SELECT piece, max(round) AS round FROM rows GROUP BY piece) USING (piece, round)
-GROUP BY piece
+SELECT piece, ids[2:len(ids) - 1] AS ids FROM rows WHERE best = {NONE}
 """
 
 DECODE = """
@@ -63,7 +62,7 @@ class BpeSetup:
 
     query_bytes: int = 1 << 18
     batch_chars: int = 1 << 20
-    remembered: int = 600_000
+    remembered: int = 300_000
     memory: str = "160MB"
 
 
@@ -80,12 +79,11 @@ class Remembered(dict):
             self._older = dict(self)
             self.clear()
         out = []
-        for key in keys:
-            if key not in self:
-                if key in self._older:
-                    self[key] = self._older[key]
-                else:
-                    out.append(key)
+        for key in [k for k in keys if k not in self]:
+            if (value := self._older.get(key)) is not None:
+                self[key] = value
+            else:
+                out.append(key)
         return out
 
 
@@ -116,6 +114,8 @@ class Vocabulary:
             for k in range(1, len(t))
             if t[:k] in self._id and t[k:] in self._id
         ]
+        self._byte_ids = np.array([self._id[bytes([b])] for b in range(256)], np.int32)
+        self._byte_ranks = np.array([[self._id.get(bytes([a, b]), NONE) for b in range(256)] for a in range(256)], np.int32)
         merges = pa.table([pa.array([p[i] for p in pairs], pa.int32()) for i in range(3)], ["first", "second", "merged"])
         tokens = pa.table({"token": pa.array([r for _, r in self.ranks], pa.int32()), "bytes": pa.array([t.hex() for t, _ in self.ranks], pa.string())})
         for name, data in (("merges", merges), ("tokens", tokens)):
@@ -127,33 +127,34 @@ class Vocabulary:
         """Remember the ids of pieces that are no tokens themselves."""
         raw = [p.encode() for p in pieces]
         lengths = np.array([len(b) for b in raw])
-        ends = np.cumsum(lengths)
         flat = np.frombuffer(b"".join(raw), np.uint8)
-        byte_ids = np.array([self._id[bytes([b])] for b in range(256)], np.int32)
-        start = pa.table(
-            {
-                "piece": np.repeat(np.arange(len(raw), dtype=np.int32), lengths),
-                "pos": (np.arange(flat.size) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-                "token": byte_ids[flat],
-                "next": np.where(np.isin(np.arange(1, flat.size + 1), ends), -1, byte_ids[np.r_[flat[1:], flat[:1]]]).astype(np.int32),
-            }
-        )
+        # Borders before and behind each piece, and a rank for each but the last.
+        begin = np.r_[0, np.cumsum(lengths + 2)].astype(np.int32)
+        tokens = np.full(begin[-1], -1, np.int32)
+        inside = np.arange(flat.size) + 2 * np.repeat(np.arange(len(raw)), lengths) + 1
+        tokens[inside] = self._byte_ids[flat]
+        ranks = np.full(begin[-1], NONE, np.int32)
+        paired = np.flatnonzero(np.diff(inside) == 1)
+        ranks[inside[paired]] = self._byte_ranks[flat[paired], flat[paired + 1]]
+        start = pa.table({"piece": np.arange(len(raw), dtype=np.int32), "ids": pa.ListArray.from_arrays(begin, tokens), "ranks": pa.ListArray.from_arrays(begin, ranks)})
         self._db.register("start", start)
         found = self._db.sql(CONTRACT).to_arrow_table()
         self._db.unregister("start")
         ids = found.column("ids").combine_chunks()
         flat_ids = ids.values.to_numpy().astype("<u4").tobytes()
         offsets = (ids.offsets.to_numpy() * 4).tolist()
-        for k, at in enumerate(found.column("piece").to_pylist()):
-            self._pieces[pieces[at]] = flat_ids[offsets[k] : offsets[k + 1]]
+        for at, begin, end in zip(_plain(found.column("piece")), offsets, offsets[1:], strict=False):
+            self._pieces[pieces[at]] = flat_ids[begin:end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         self._open()
         cut = [self._split(t) for t in texts]
+        coded = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        distinct = _plain(coded.dictionary)
         fresh: list[str] = []
         size = 0
-        for piece in self._pieces.missing(set().union(*cut)):
+        for piece in self._pieces.missing(distinct):
             raw = piece.encode()
             if (whole := self._id.get(raw)) is not None:
                 self._pieces[piece] = whole.to_bytes(4, "little")
@@ -165,8 +166,7 @@ class Vocabulary:
                 fresh, size = [], 0
         if fresh:
             self._contract(fresh)
-        known = self._pieces.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        return _joined(list(map(self._pieces.__getitem__, distinct)), coded.indices, [len(c) for c in cut])
 
     def _assemble(self, segments: list[bytes]) -> None:
         """Remember the bytes of sequences of ids."""
@@ -183,7 +183,7 @@ class Vocabulary:
         self._db.register("ids", table)
         found = self._db.sql(DECODE).to_arrow_table()
         self._db.unregister("ids")
-        for at, raw in zip(found.column("segment").to_pylist(), found.column("bytes").to_pylist(), strict=True):
+        for at, raw in zip(_plain(found.column("segment")), _plain(found.column("bytes")), strict=True):
             self._segments[segments[at]] = raw
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
@@ -193,14 +193,17 @@ class Vocabulary:
         decoded once, by ordered aggregation.
         """
         self._open()
-        cut = []
-        for raw in ids:
-            starts = np.flatnonzero(self._begins[np.frombuffer(raw, "<u4")])
-            at = [0, *(starts[starts > 0] * 4).tolist(), len(raw)]
-            cut.append([raw[a:b] for a, b in zip(at, at[1:], strict=False) if b > a])
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        ends = np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)
+        cut = self._begins[flat]
+        cut[(edges := np.r_[0, ends])[edges < flat.size]] = True
+        starts = np.flatnonzero(cut)
+        offsets = pa.py_buffer(np.r_[starts, flat.size].astype(np.int64) * 4)
+        coded = pa.Array.from_buffers(pa.large_binary(), starts.size, [None, offsets, pa.py_buffer(flat)]).dictionary_encode()
+        distinct = _plain(coded.dictionary)
         fresh: list[bytes] = []
         size = 0
-        for segment in self._segments.missing(set().union(*cut)):
+        for segment in self._segments.missing(distinct):
             fresh.append(segment)
             size += len(segment)
             if size >= 4 * self.setup.query_bytes:
@@ -208,8 +211,21 @@ class Vocabulary:
                 fresh, size = [], 0
         if fresh:
             self._assemble(fresh)
-        known = self._segments.__getitem__
-        return [b"".join(map(known, segments)) for segments in cut]
+        return _joined(list(map(self._segments.__getitem__, distinct)), coded.indices, np.diff(np.searchsorted(starts, np.r_[0, ends])))
+
+
+def _plain(column: pa.Array | pa.ChunkedArray) -> list:
+    """As ``to_pylist``, which makes an object of Arrow's for every value."""
+    return column.to_numpy(zero_copy_only=False).tolist() if isinstance(column, pa.Array) else column.to_numpy().tolist()
+
+
+def _joined(parts: list[bytes], at: pa.Array, counts: Sequence[int]) -> list[bytes]:
+    """For each of ``counts`` the next so many of the parts that ``at`` names, joined."""
+    found = pa.array(parts, pa.large_binary()).take(at)
+    offsets = np.frombuffer(found.buffers()[1], np.int64)
+    edges = offsets[np.r_[0, np.cumsum(counts, dtype=np.int64)]].tolist()
+    data = memoryview(found.buffers()[2] or b"")
+    return [bytes(data[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def read_ranks(path: str) -> list[tuple[bytes, int]]:
