@@ -26,7 +26,7 @@ def tokenize(
     max_length: int = -1,
 ) -> DataFrame:
     """Replace ``text`` by ``tokens`` with the wanted special tokens around them."""
-    encoded = encode_words(docs, tokenizer) if isinstance(tokenizer, DataFrame) else tokenizer(docs)
+    encoded = encode_words(docs, tokenizer, keep_text=False) if isinstance(tokenizer, DataFrame) else tokenizer(docs)
     return encoded.withColumn("tokens", with_specials(F.col("tokens"), bos, eos, max_length)).drop("text")
 
 

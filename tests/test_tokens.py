@@ -48,6 +48,15 @@ def test_both_encoders_agree(spark, docs, vocab):
     assert a == b == WANT
 
 
+def test_text_that_is_not_kept_is_not_written(docs, vocab, monkeypatch):
+    stored, pin = [], encode._pin
+    monkeypatch.setattr(encode, "_pin", lambda df: stored.append(df.columns) or pin(df))
+    out = encode.encode_words_by_join(docs, vocab, keep_text=False)
+    assert {r.row_index: r.tokens for r in out.collect()} == WANT
+    assert "text" not in stored[0] and "text" not in out.columns
+    assert out.columns == encode.encode_words(docs, vocab, keep_text=False).columns
+
+
 def test_a_large_vocabulary_is_joined(spark, docs, vocab, monkeypatch):
     monkeypatch.setattr(encode, "BROADCAST_ENTRIES", 2)
     assert {r.row_index: r.tokens for r in encode.encode_words(docs, vocab).collect()} == WANT
