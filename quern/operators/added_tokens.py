@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quern.functions.tokens import UNK_ID
 from quern.operators import encode
-from quern.operators.encode import WordIndex, bounded_rows, flat_lists, ids_by_join, one_id, words
+from quern.operators.encode import WordIndex, bounded_rows, flat_lists, ids_by_join, words
 from quern.session import materialize, ship_package
 
 _PIECE = "array<struct<piece:string,id:int>>"
@@ -87,7 +87,7 @@ def encode_added(
 ) -> DataFrame:
     """Add ``out``: ids of a text's words and of the added tokens in it, in order."""
     ship_package(df.sparkSession)
-    known = materialize(one_id(vocabulary), "vocabulary")
+    known = materialize(vocabulary.select("token", "id"), "vocabulary")
     none = F.lit(None).cast("string")
     spread = lambda p: F.when(p["id"].isNotNull(), F.array(F.struct(none.alias("word"), p["id"].alias("id")))).otherwise(
         F.transform(words(p["piece"]), lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("id")))
@@ -113,7 +113,7 @@ def _looker(index: WordIndex, spark: SparkSession, unknown: int) -> Callable[[Co
         for lists in batches:
             lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
             coded = lists.flatten().dictionary_encode()
-            own = np.r_[shared.value.look_up(coded.dictionary.to_pylist(), unknown), np.int32(unknown)]
+            own = np.r_[shared.value.look_up(coded.dictionary, unknown), np.int32(unknown)]
             slots = coded.indices.fill_null(len(own) - 1).to_numpy(zero_copy_only=False)
             offsets = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own[slots].astype(np.int32)))

@@ -67,3 +67,19 @@ def test_oversized_groups_take_the_blocked_plan(spark, monkeypatch):
     got = {(r.g, r.plan) for r in seen.select("g", "plan").distinct().collect()}
     assert {g for g, plan in got if plan == "blocked"} == {"hot"}
     assert seen.count() == 900
+
+
+def test_positions_over_all_rows(spark, tmp_path):
+    """Of two text keys, for any number of ranges; the rows are written once and not shuffled again."""
+    rows = [(-(i % 7), f"w{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "least long, token string").repartition(5)
+    want = {r: n for n, r in enumerate(sorted(rows))}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "3", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = ordered.with_position(df, ["least", "token"], "rank")
+            assert got.columns == ["least", "token", "rank"] and {(r.least, r.token): r["rank"] for r in got.collect()} == want
+            assert ordered.with_position(df.limit(0), ["least", "token"], "rank").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,3 +237,38 @@ def test_only_rare_words_cross_the_shuffle(spark, monkeypatch):
     vocab = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5), ("d", 6)], "token string, id int")
     assert encode.encode_words(docs, vocab).first().tokens == [3, 4, 3, 4, 0, 5, 0, 5, 5]
     assert sorted(seen[0].first()["__e"].rest) in (["b", "c", "z"], ["c", "z"])
+
+
+def test_a_vocabulary_of_millions_is_broadcast_as_arrays(spark, docs, vocab, monkeypatch):
+    """Before, more than a million entries were joined, and the rows with their ids written and shuffled."""
+    monkeypatch.setattr(encode, "_encode_by_join", None)
+    many = spark.range(1_000_000).select(F.concat(F.lit("w"), "id").alias("token"), (F.col("id") + 100).cast("int").alias("id"))
+    ids = encode.encode_words(docs, vocab.select("token", "id").unionByName(many))
+    assert {r.row_index: r.tokens for r in ids.collect()} == {r.row_index: r.tokens for r in encode.encode_words(docs, vocab).collect()}
+
+
+@pytest.mark.parametrize("spread", [1, 3, 1 << 40])
+def test_words_that_share_a_hash_are_told_apart(monkeypatch, spread):
+    real = encode._hashes
+    monkeypatch.setattr(encode, "_hashes", lambda words: real(words) % np.uint64(spread))
+    listed = [("a", 5), ("b", 6), ("a", 3), ("c", 7), ("b", 9), ("", 8), (None, 1), ("d", None)]
+    table = pa.table({"token": [t for t, _ in listed], "id": pa.array([i for _, i in listed], pa.int32())})
+    asked = pa.array(["a", "b", "c", "", "d", "e", "a"])
+    assert encode.WordIndex(table).look_up(asked, -1).tolist() == [3, 6, 7, 8, -1, -1, 3]
+    assert encode.WordIndex(table.slice(0, 0)).look_up(asked, -1).tolist() == [-1] * 7
+
+
+def test_a_vocabulary_is_bounded_by_bytes(spark, vocab, monkeypatch):
+    stored = spark.createDataFrame([("a" * 50, 3), ("b" * 50, 4)], "token string, id int")
+    assert encode.bounded_rows(stored, 2).num_rows == 2
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 60)
+    assert encode.bounded_rows(stored, 2) is None and encode.head_of(stored, 2)[0].count() <= 1
+
+
+def test_a_vocabulary_is_written_once_before_its_join(spark, docs, vocab, monkeypatch):
+    """Before, it was shuffled and written again only to list each token once."""
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", 2)
+    labels, real = [], encode.materialize
+    monkeypatch.setattr(encode, "materialize", lambda df, label: labels.append(label) or real(df, label))
+    encode.encode_words(docs, vocab).collect()
+    assert labels == ["vocabulary", "keyed"]
