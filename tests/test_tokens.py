@@ -272,3 +272,13 @@ def test_a_vocabulary_is_written_once_before_its_join(spark, docs, vocab, monkey
     monkeypatch.setattr(encode, "materialize", lambda df, label: labels.append(label) or real(df, label))
     encode.encode_words(docs, vocab).collect()
     assert labels == ["vocabulary", "keyed"]
+
+
+@pytest.mark.parametrize("limit", [2, 10])
+def test_known_words_of_whole_texts(spark, docs, vocab, monkeypatch, limit):
+    """Words are looked up without a row for each; before, their rows met the broadcast head twice."""
+    monkeypatch.setattr(encode, "BROADCAST_ENTRIES", limit)
+    got = encode.encode_known_words(docs.where("row_index < 3"), vocab)
+    assert {r.row_index: r.tokens for r in got.collect()} == {i: WANT[i] for i in range(3)} and "text" not in got.columns
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        encode.encode_known_words(docs, vocab).collect()
